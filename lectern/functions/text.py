@@ -7,9 +7,9 @@ UDF over pyarrow's vectorised Unicode normaliser.
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -47,10 +47,18 @@ def collapse_ws(col: Column | str) -> Column:
     return trim_unicode(F.regexp_replace(_c(col), WS_PATTERN, " "))
 
 
+def _nfkc_one(x):
+    if x is None or (isinstance(x, float) and x != x):
+        return None
+    # ASCII text is already in NFKC; skip the normaliser for it.
+    return x if x.isascii() else unicodedata.normalize("NFKC", x)
+
+
 @F.pandas_udf(StringType())
 def _nfkc_udf(s: pd.Series) -> pd.Series:
-    arr = pa.array(s, type=pa.string(), from_pandas=True)
-    return pc.utf8_normalize(arr, form="NFKC").to_pandas()
+    # pyarrow's utf8_normalize does not recompose (e + U+0301 stays two code
+    # points), so the standard library normaliser is used per value.
+    return s.map(_nfkc_one, na_action="ignore")
 
 
 def nfkc(col: Column | str) -> Column:

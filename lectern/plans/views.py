@@ -19,13 +19,13 @@ TOPIC_NAME = """list_extract(['business','entertainment','politics','sport','tec
 
 LOGITS = """logits AS (
     SELECT vec_id AS doc_id,
-           list_transform(embedding[1:5], x -> CAST(x AS DOUBLE) * 10) AS z,
+           list_transform(embedding[1:5], lambda x: CAST(x AS DOUBLE) * 10) AS z,
            CAST(label % 5 AS BIGINT) AS y
     FROM embeddings),
 scored AS (
-    SELECT doc_id, z, y, list_transform(e, x -> x / list_sum(e)) AS probs,
+    SELECT doc_id, z, y, list_transform(e, lambda x: x / list_sum(e)) AS probs,
            CAST(list_position(z, list_max(z)) - 1 AS BIGINT) AS pred
-    FROM (SELECT *, list_transform(z, x -> exp(x - list_max(z))) AS e FROM logits)),
+    FROM (SELECT *, list_transform(z, lambda x: exp(x - list_max(z))) AS e FROM logits)),
 scored2 AS (
     SELECT *, probs[pred + 1] AS confidence FROM scored)"""
 
