@@ -25,3 +25,23 @@ def join_label_dict(df: DataFrame, mapping: Mapping[str, int], class_col: str =
     d = label_dict_frame(df.sparkSession, mapping).withColumnRenamed("category", "_cat")
     d = bounded_broadcast(d, known_rows=len(mapping))
     return df.join(d, df[class_col] == d["_cat"], "left").drop("_cat")
+
+
+def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
+                max_broadcast_rows: int = 2_000_000, salts: int = 16,
+                salt_source: str | None = None) -> DataFrame:
+    """Join a large fact table to a dimension with one row per ``key``.
+
+    Broadcast when the dimension's counted rows are under the bound. Beyond
+    it, a shuffle join salted on the fact side: every fact row gets a salt
+    from ``salt_source`` (a column; default the key itself mixed with a row
+    hash), the dimension is replicated ``salts`` times. A hot key (a token
+    in a third of all rows) is then spread over ``salts`` tasks.
+    """
+    n = dim.count()
+    if n <= max_broadcast_rows:
+        return facts.join(F.broadcast(dim), key, how)
+    src = F.col(salt_source) if salt_source else F.xxhash64(*[F.col(c) for c in facts.columns])
+    f = facts.withColumn("_salt", F.pmod(src, F.lit(salts)))
+    d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    return f.join(d, [key, "_salt"], how).drop("_salt")

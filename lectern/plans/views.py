@@ -76,3 +76,18 @@ ranked AS (
 splitted AS (
     SELECT *, CASE WHEN rn % 100 < 10 THEN 'test' WHEN rn % 100 < 10 + 10 THEN 'val' ELSE 'train' END AS split
     FROM ranked)"""
+
+
+def tok_sql(x: str) -> str:
+    return r"list_filter(regexp_split_to_array(lower(" + x + r"), '[^\p{L}]+'), lambda t: t <> '')"
+
+
+VOCAB = RANKED + """,
+train AS (SELECT * FROM splitted WHERE split = 'train'),
+vc AS (SELECT token, count(*) AS n FROM (SELECT unnest(""" + tok_sql("text") + """) AS token FROM train) GROUP BY token),
+vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 AS BIGINT) AS token_id, n FROM vc),
+dtok AS (SELECT doc_id, unnest(l) AS token, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS pos
+         FROM (SELECT doc_id, """ + tok_sql("body") + """ AS l FROM docs_articles)),
+dids AS (SELECT doc_id, pos, token, CAST(coalesce(token_id, 1) AS BIGINT) AS token_id FROM dtok LEFT JOIN vocab USING (token)),
+idl AS (SELECT d.doc_id, coalesce(list(token_id ORDER BY pos) FILTER (WHERE token_id IS NOT NULL), []) AS ids
+        FROM docs_articles d LEFT JOIN dids USING (doc_id) GROUP BY d.doc_id)"""
