@@ -29,9 +29,11 @@ def nb_model(spark, sf, splitted=None):
     return naive_bayes.train_nb(filter_split(s, "train"), LANG_CLASSES)
 
 
-NB_SQL = with_(RANKED) + """,
+def nb_sql(test_cte: str, extra: str = "") -> str:
+    """NB training on the train split and scoring of ``test`` (doc_id, category, text)."""
+    return with_(RANKED) + extra + """,
 train AS (SELECT * FROM splitted WHERE split = 'train'),
-test AS (SELECT * FROM splitted WHERE split = 'test'),
+""" + test_cte + """,
 ttok AS (SELECT category, unnest(""" + tok_sql("text") + """) AS token FROM train),
 counts AS (SELECT category, token, count(*) AS n FROM ttok GROUP BY category, token),
 vsize AS (SELECT count(DISTINCT token) AS v FROM counts),
@@ -56,6 +58,9 @@ p2 AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY z DESC, cid) AS
 """
 
 
+NB_SQL = nb_sql("test AS (SELECT * FROM splitted WHERE split = 'test')")
+
+
 @register("train_nb", with_(RANKED) + """,
 train AS (SELECT * FROM splitted WHERE split = 'train'),
 ttok AS (SELECT category, unnest(""" + tok_sql("text") + """) AS token FROM train),
