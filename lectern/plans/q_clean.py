@@ -175,3 +175,9 @@ def q_safe_divide(spark, sf):
     g = s.groupBy("y").agg(F.count_if(F.col("pred") == F.col("y")).alias("a"),
                            F.count_if(F.col("pred") == 4).alias("b"))
     return g.select("y", F.round(scores.safe_divide(F.col("a").cast("double"), "b"), 6).alias("ratio"))
+
+
+@register("true_confidence", with_(LOGITS) + "SELECT doc_id, round(probs[y + 1], 6) AS true_confidence FROM scored2")
+def q_true_confidence(spark, sf):
+    s = scored_logits(logits(spark, sf))
+    return s.select("doc_id", F.round(scores.true_confidence("probs", "y"), 6).alias("true_confidence"))

@@ -25,6 +25,16 @@ from lectern.streaming.score_append import stream_score_append
 
 RUN_TS = dt.datetime(2024, 1, 8, 6, 30, 0, tzinfo=dt.timezone.utc)
 
+SAMPLE_TEST = """test AS (SELECT doc_id, title, body, category, body AS text FROM docs_articles
+    WHERE body IS NOT NULL AND title IS NOT NULL
+    ORDER BY md5('42' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100)"""
+SAMPLE_ROWS = """SELECT t.doc_id, t.title, t.body, t.category, p2.cls AS predicted_label
+FROM test t JOIN p2 ON p2.doc_id = t.doc_id AND p2.r = 1"""
+DAY_NUMBERED = """numbered AS (
+    SELECT doc_id, title, body, category,
+           CAST(row_number() OVER (ORDER BY title, doc_id) % 30 AS BIGINT) AS day_num
+    FROM docs_articles WHERE body IS NOT NULL AND title IS NOT NULL)"""
+
 
 def scratch(spark, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
@@ -104,7 +114,7 @@ def q_scan_predictions(spark, sf):
                      (F.array_position(names, F.col("true_label")) - 1).cast("bigint").alias("true_id"))
 
 
-@register("sink_append")
+@register("sink_append", nb_sql(SAMPLE_TEST) + SAMPLE_ROWS + " UNION ALL " + SAMPLE_ROWS)
 def q_sink_append(spark, sf):
     """Append the scored 100-row sample twice: the table holds both appends."""
     path = scratch(spark, "append")
@@ -145,7 +155,7 @@ def q_response_json(spark, sf):
     return requests.response_json(scored, model.class_names)
 
 
-@register("guard_empty")
+@register("guard_empty", with_(DOCS) + "," + DAY_NUMBERED + " SELECT doc_id, title FROM numbered WHERE day_num = 7")
 def q_guard_empty(spark, sf):
     """Daily slice guard: a non-empty slice passes through, an empty one would return 0 rows written."""
     from lectern.operators.splits import filter_day
@@ -188,7 +198,10 @@ def q_daily_predictions(spark, sf):
     return out.select(*keep, *rounded).withColumn("run_timestamp", F.col("run_timestamp").cast("timestamp_ntz"))
 
 
-@register("job_daily_inference")
+@register("job_daily_inference", nb_sql(DAY_NUMBERED + """,
+test AS (SELECT doc_id, title, body, category, body AS text, day_num FROM numbered WHERE day_num IN (7, 8))""") + """
+SELECT t.doc_id, t.day_num AS day_partition, p2.cls AS predicted_label, round(p2.prob, 6) AS confidence
+FROM test t JOIN p2 ON p2.doc_id = t.doc_id AND p2.r = 1""")
 def q_job_daily_inference(spark, sf):
     """Run day 7 twice for the same date (rerun-safe) and day 8 once; read the table."""
     path = scratch(spark, "daily")
@@ -197,14 +210,17 @@ def q_job_daily_inference(spark, sf):
     jobs.job_daily_inference(spark, d, model, path, day=7, now=RUN_TS)
     jobs.job_daily_inference(spark, d, model, path, day=7, now=RUN_TS)
     jobs.job_daily_inference(spark, d, model, path, day=8, now=RUN_TS)
-    return spark.read.parquet(path).select("doc_id", "day_partition", "predicted_label", "confidence")
+    return spark.read.parquet(path).select("doc_id", F.col("day_partition").cast("bigint").alias("day_partition"),
+                                           "predicted_label", F.round("confidence", 6).alias("confidence"))
 
 
-@register("job_sample_inference")
+@register("job_sample_inference", nb_sql(SAMPLE_TEST) + """
+SELECT t.doc_id, t.title, t.body, t.category, p2.cls AS predicted_label, CAST(100 AS BIGINT) AS rows_written
+FROM test t JOIN p2 ON p2.doc_id = t.doc_id AND p2.r = 1""")
 def q_job_sample_inference(spark, sf):
     path = scratch(spark, "sample")
     n = jobs.job_sample_inference(spark, docs_articles(spark, sf), nb_model(spark, sf), path)
-    return spark.read.parquet(path).withColumn("rows_written", F.lit(n))
+    return spark.read.parquet(path).withColumn("rows_written", F.lit(n).cast("bigint"))
 
 
 @register("job_train")
@@ -233,7 +249,10 @@ def q_job_report(spark, sf):
     return per.unionByName(avg).unionByName(es)
 
 
-@register("stream_score_append")
+@register("stream_score_append", nb_sql("""test AS (SELECT doc_id, title, body, category, body AS text
+    FROM docs_articles WHERE body IS NOT NULL)""") + """
+SELECT t.doc_id, t.title, t.category, p2.cls AS predicted_label, round(p2.prob, 6) AS confidence
+FROM test t JOIN p2 ON p2.doc_id = t.doc_id AND p2.r = 1""")
 def q_stream_score_append(spark, sf):
     """New article files arrive in a folder; the stream scores and appends each once."""
     src = scratch(spark, "stream-src")
@@ -244,4 +263,4 @@ def q_stream_score_append(spark, sf):
     stream_score_append(spark, src, d.schema, nb_model(spark, sf), sink, ck)
     # a second run finds no new files and writes nothing
     stream_score_append(spark, src, d.schema, nb_model(spark, sf), sink, ck)
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).select("doc_id", "title", "category", "predicted_label", "confidence")

@@ -161,3 +161,18 @@ def q_score_external_model(spark, sf):
     e = e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("x"))
     out = external.score_external_model(e, make_linear_logits, "x", 64, TOPIC_CLASSES, batch_size=32)
     return out.select("doc_id", "predicted_label", F.round("confidence", 6).alias("confidence"))
+
+
+@register("optional_labels_schema", NB_SQL + """
+SELECT doc_id, cls AS predicted, round(prob, 6) AS confidence FROM p2 WHERE r = 1""")
+def q_optional_labels_schema(spark, sf):
+    """Unlabelled input: no true_label / correct columns in the prediction frame."""
+    from lectern.plans.jobs import predictions_frame
+
+    s = split_docs(spark, sf)
+    m = nb_model(spark, sf, s)
+    test = filter_split(s, "test").drop("category", "label")
+    scored = naive_bayes.score_nb(m, test)
+    has_labels = "category" in test.columns
+    out = predictions_frame(scored, LANG_CLASSES, has_labels)
+    return out.select("doc_id", "predicted", F.round("confidence", 6).alias("confidence"))
