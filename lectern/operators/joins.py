@@ -38,7 +38,7 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
     hash), the dimension is replicated ``salts`` times. A hot key (a token
     in a third of all rows) is then spread over ``salts`` tasks.
     """
-    n = dim.count()
+    n = dim.count() if max_broadcast_rows > 0 else 1
     if n <= max_broadcast_rows:
         return facts.join(F.broadcast(dim), key, how)
     src = F.col(salt_source) if salt_source else F.xxhash64(*[F.col(c) for c in facts.columns])

@@ -1,27 +1,33 @@
 """Multinomial naive Bayes as relational algebra (add-one smoothing).
 
-Training is two map-side-combined counts: (class, token) and per-class
-document / token totals. The model is two tables:
+Training is one map-side-combined count over (class, token), written once
+to the shared checkpoint folder. One NULL sentinel token per document makes
+the same count also give the documents per class. From that table:
 
 * terms   (token, w)   w[c] = ln(n(token, c) + 1) for every class c, built by
                        a pivot over the known class ids (no class cross join)
-* classes (class_id, class, log_prior, log_denom = ln(T_c + |V|))
+* class parameters     log_prior_c, log_denom_c = ln(T_c + |V|)  (C numbers,
+                       kept on the driver with the model)
 
 Because ln(0 + 1) = 0, a document's class score only needs the tokens it
 shares with the vocabulary:
 
     z_c = log_prior_c + sum_t cnt_t * w_t[c] - n_in_vocab * log_denom_c
 
-which equals the textbook sum over all tokens. Scoring is one lookup join
-(doc, token, cnt) -> terms and one aggregate per document.
+which equals the textbook sum over all tokens. Scoring explodes the
+document's tokens, looks them up in ``terms`` (broadcast while the
+vocabulary is under a row bound, otherwise a salted shuffle join after a
+per-(doc, token) pre-aggregation) and sums per document; the per-document
+sum is combined map-side, since a document's tokens come from one row.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import os
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,78 +35,102 @@ from pyspark.sql import functions as F
 from lectern.functions.scores import argmax_label, decode_label, pick, softmax
 from lectern.operators.encode import tokens
 from lectern.operators.joins import lookup_join
+from lectern.operators.sizing import stable_table
+
+# Vocabularies up to this many terms are broadcast to the scoring tasks
+# (about 8 bytes per class plus the token per row).
+BROADCAST_VOCAB_ROWS = 500_000
 
 
 @dataclass
 class NaiveBayesModel:
     terms: DataFrame
-    classes: DataFrame
     class_names: list[str]
-
-    def class_params(self) -> list[tuple[float, float]]:
-        """(log_prior, log_denom) per class id; a bounded read of C rows."""
-        rows = {r["class_id"]: (r["log_prior"], r["log_denom"]) for r in self.classes.collect()}
-        return [rows.get(i, (-math.inf, 0.0)) for i in range(len(self.class_names))]
+    log_prior: list[float]
+    log_denom: list[float]
+    vocab_size: int
+    n_docs: list[int] = field(default_factory=list)
+    n_tokens: list[int] = field(default_factory=list)
+
+    def classes_frame(self, spark: SparkSession) -> DataFrame:
+        rows = [(i, c, self.n_docs[i], self.n_tokens[i], self.log_prior[i], self.log_denom[i])
+                for i, c in enumerate(self.class_names)]
+        return spark.createDataFrame(rows, "class_id bigint, class string, n_docs bigint, n_tokens bigint, "
+                                           "log_prior double, log_denom double")
 
     def save(self, path: str) -> None:
         self.terms.write.mode("overwrite").parquet(os.path.join(path, "terms"))
-        self.classes.write.mode("overwrite").parquet(os.path.join(path, "classes"))
+        meta = {"class_names": self.class_names, "log_prior": self.log_prior, "log_denom": self.log_denom,
+                "vocab_size": self.vocab_size, "n_docs": self.n_docs, "n_tokens": self.n_tokens}
+        spark = self.terms.sparkSession
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
+            .write.mode("overwrite").json(os.path.join(path, "meta"))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "NaiveBayesModel":
-        classes = spark.read.parquet(os.path.join(path, "classes"))
-        names = [r["class"] for r in classes.orderBy("class_id").select("class").collect()]
-        return cls(spark.read.parquet(os.path.join(path, "terms")), classes, names)
+        meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
+        return cls(spark.read.parquet(os.path.join(path, "terms")), meta["class_names"], meta["log_prior"],
+                   meta["log_denom"], meta["vocab_size"], meta["n_docs"], meta["n_tokens"])
+
+
+def _class_id(class_names: Sequence[str], class_col: str):
+    return (F.array_position(F.array(*[F.lit(c) for c in class_names]), F.col(class_col)) - 1).cast("bigint")
 
 
 def term_counts(train: DataFrame, class_names: Sequence[str], text_col: str = "text",
                 class_col: str = "category") -> DataFrame:
-    """(class_id, token, n) over the training rows; unknown classes skipped."""
-    ids = F.array_position(F.array(*[F.lit(c) for c in class_names]), F.col(class_col)) - 1
-    t = train.select(ids.cast("bigint").alias("class_id"), F.explode(tokens(text_col)).alias("token"))
+    """(class_id, token, n); token NULL counts the documents of the class."""
+    toks = F.concat(tokens(text_col), F.array(F.lit(None).cast("string")))
+    t = train.select(_class_id(class_names, class_col).alias("class_id"), F.explode(toks).alias("token"))
     return t.where(F.col("class_id") >= 0).groupBy("class_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def train_nb(train: DataFrame, class_names: Sequence[str], text_col: str = "text",
              class_col: str = "category") -> NaiveBayesModel:
-    spark = train.sparkSession
+    """One counting pass written once (token -> per-class counts, the NULL
+    sentinel row holding documents per class), then one aggregate over that
+    table for all class parameters."""
     names = list(class_names)
     k = len(names)
     counts = term_counts(train, names, text_col, class_col)
-    idx = F.array_position(F.array(*[F.lit(c) for c in names]), F.col(class_col)) - 1
-    docs = (train.select(idx.cast("bigint").alias("class_id")).where(F.col("class_id") >= 0)
-            .groupBy("class_id").agg(F.count(F.lit(1)).alias("n_docs")))
-    tok = counts.groupBy("class_id").agg(F.sum("n").alias("n_tokens"))
-    vocab_size = counts.select("token").distinct().count()
-    n_docs = docs.agg(F.sum("n_docs")).first()[0] or 0
-    classes = (spark.range(k).withColumnRenamed("id", "class_id")
-               .join(docs, "class_id", "left").join(tok, "class_id", "left")
-               .select("class_id", decode_label("class_id", names).alias("class"),
-                       F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
-                       F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
-               .withColumn("log_prior", F.log(F.col("n_docs") / F.lit(max(n_docs, 1))))
-               .withColumn("log_denom", F.log(F.col("n_tokens") + F.lit(vocab_size)))
-               .withColumn("vocab_size", F.lit(vocab_size).cast("bigint")))
     wide = counts.groupBy("token").pivot("class_id", list(range(k))).agg(F.first("n"))
-    terms = wide.select("token", F.array(*[F.log(F.coalesce(F.col(str(i)), F.lit(0)) + 1.0)
-                                           for i in range(k)]).alias("w"))
-    return NaiveBayesModel(terms, classes, names)
+    wide = stable_table(wide.select(
+        "token", F.array(*[F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint") for i in range(k)]).alias("n")),
+        "nb-counts")
+    real = F.col("token").isNotNull()
+    stats = wide.agg(
+        F.count_if(real).alias("vocab"),
+        *[F.sum(F.when(real, F.col("n")[i])).alias(f"t{i}") for i in range(k)],
+        *[F.sum(F.when(~real, F.col("n")[i])).alias(f"d{i}") for i in range(k)],
+    ).first()
+    vocab = int(stats["vocab"])
+    n_docs = [int(stats[f"d{i}"] or 0) for i in range(k)]
+    n_tokens = [int(stats[f"t{i}"] or 0) for i in range(k)]
+    total = sum(n_docs) or 1
+    log_prior = [math.log(d / total) if d else -math.inf for d in n_docs]
+    log_denom = [math.log(t + vocab) if (t + vocab) else 0.0 for t in n_tokens]
+    terms = wide.where(real).select("token", F.transform("n", lambda x: F.log(x + 1.0)).alias("w"))
+    return NaiveBayesModel(terms, names, log_prior, log_denom, vocab, n_docs, n_tokens)
 
 
 def class_scores(model: NaiveBayesModel, df: DataFrame, text_col: str = "text", key_col: str = "doc_id",
                  keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., z) with z the unnormalised log score of every class."""
     k = len(model.class_names)
-    params = model.class_params()
     # One NULL sentinel token per document keeps token-less documents.
-    exploded = df.select(key_col, *keep, F.explode(F.concat(tokens(text_col), F.array(F.lit(None).cast("string"))))
-                         .alias("token"))
-    doc_terms = exploded.groupBy(key_col, *keep, "token").agg(F.count(F.lit(1)).alias("cnt"))
-    j = lookup_join(doc_terms, model.terms, "token", "left", salt_source=key_col)
+    toks = F.concat(tokens(text_col), F.array(F.lit(None).cast("string")))
+    exploded = df.select(key_col, *keep, F.explode(toks).alias("token"))
+    if model.vocab_size <= BROADCAST_VOCAB_ROWS:
+        facts = exploded.withColumn("cnt", F.lit(1).cast("bigint"))
+        j = facts.join(F.broadcast(model.terms), "token", "left")
+    else:
+        facts = exploded.groupBy(key_col, *keep, "token").agg(F.count(F.lit(1)).alias("cnt"))
+        j = lookup_join(facts, model.terms, "token", "left", max_broadcast_rows=0, salt_source=key_col)
     known = F.col("w").isNotNull()
     sums = [F.sum(F.when(known, F.col("cnt") * F.col("w")[i]).otherwise(0.0)).alias(f"_s{i}") for i in range(k)]
     agg = j.groupBy(key_col, *keep).agg(F.sum(F.when(known, F.col("cnt")).otherwise(0)).alias("_nv"), *sums)
-    z = F.array(*[F.lit(lp) + F.col(f"_s{i}") - F.col("_nv") * F.lit(ld) for i, (lp, ld) in enumerate(params)])
+    z = F.array(*[F.lit(lp) + F.col(f"_s{i}") - F.col("_nv") * F.lit(ld)
+                  for i, (lp, ld) in enumerate(zip(model.log_prior, model.log_denom))])
     return agg.select(key_col, *keep, z.alias("z"))
 
 

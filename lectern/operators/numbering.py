@@ -2,13 +2,23 @@
 
 ``row_number() over (partition by g order by k)`` sends each group to one
 task, so a class holding a third of the rows would be sorted by a single
-core. Here the rows are range-partitioned on (g, k) into many partitions,
-sorted inside each, numbered locally, and shifted by the row counts of the
-earlier partitions of the same group. The offsets table has at most
-partitions x groups rows and is broadcast under a size check. The ranged
-data is checkpointed to the session's reliable checkpoint folder so the
-local numbers and the offsets always describe the same rows, also when an
-executor is lost and a stage is recomputed.
+core. Two exact replacements:
+
+* ``hashed_rank`` - the order key is an md5 hex digest, which is uniform.
+  Its first hex digits cut every group into up to 16**d buckets. Rows are
+  counted per (group, bucket) (a small table), the counts of earlier buckets
+  give each bucket's offset, and ``row_number`` runs per (group, bucket).
+  Deterministic, no sampling, no intermediate write.
+
+* ``exact_row_number`` - any order. Rows are range-partitioned on
+  (group, order), sorted and numbered inside each partition, then written
+  once to the shared checkpoint folder (so numbers and offsets describe the
+  same rows even after an executor loss). The per-(partition, group) counts
+  give the offsets.
+
+Offsets tables hold at most groups x buckets (or partitions) rows; they are
+joined as broadcast local relations under a row bound, and as a shuffle
+join beyond it.
 """
 
 from __future__ import annotations
@@ -18,8 +28,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.sizing import bounded_broadcast, default_partitions
-from lectern.session import ensure_checkpoint_dir
+from lectern.operators.sizing import default_partitions, local_or_broadcast, stable_table
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    cond = None
+    for c in keys:
+        e = left[c].eqNullSafe(right[f"{prefix}{c}"])
+        cond = e if cond is None else cond & e
+    return cond
+
+
+def hashed_rank(df: DataFrame, group_cols: Sequence[str], digest: Column, tiebreak: Sequence[Column],
+                out_col: str = "rn", digits: int = 3) -> DataFrame:
+    """1-based rank by (digest, tiebreak...) within each group, NULL digests first.
+
+    ``digest`` must be a lowercase hex string (md5); ``tiebreak`` makes the
+    order total.
+    """
+    work = df.withColumn("_dg", digest).withColumn(
+        "_bk", F.coalesce(F.conv(F.substring("_dg", 1, digits), 16, 10).cast("int"), F.lit(-1)))
+    counts = work.groupBy(*group_cols, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*group_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], F.col("_bk").alias("_ob"),
+                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = local_or_broadcast(offsets)
+    cond = _null_safe_join(work, offsets, group_cols, "_g_") if group_cols else None
+    cond = (work["_bk"] == offsets["_ob"]) if cond is None else cond & (work["_bk"] == offsets["_ob"])
+    j = work.join(offsets, cond, "inner")
+    local = Window.partitionBy(*[work[c] for c in group_cols], work["_bk"]).orderBy(
+        F.col("_dg").asc_nulls_first(), *tiebreak)
+    rn = (F.col("_off") + F.row_number().over(local)).cast("bigint")
+    return j.select(*[work[c] for c in df.columns], rn.alias(out_col))
 
 
 def exact_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],
@@ -29,29 +69,26 @@ def exact_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: S
     ``order_cols`` must be ascending sort expressions (``F.col(x).asc_nulls_first()``
     etc.) that make the order total (end with a unique key).
     """
-    ensure_checkpoint_dir(df.sparkSession)
     n = num_partitions or default_partitions(df)
-    keys = [c for c in order_cols]
     part = [F.col(c).asc_nulls_first() for c in partition_cols]
     ranged = (
-        df.repartitionByRange(n, *part, *keys)
-        .sortWithinPartitions(*part, *keys)
+        df.repartitionByRange(n, *part, *order_cols)
+        .sortWithinPartitions(*part, *order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_li", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
     )
-    ranged = ranged.checkpoint(eager=True)
-
+    ranged = stable_table(ranged, "numbering")
     stats = ranged.groupBy("_pid", *partition_cols).agg(
         F.min("_li").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*partition_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(
-        "_pid", *[F.col(c).alias(f"_g_{c}") for c in partition_cols], "_first",
+        F.col("_pid").alias("_opid"), *[F.col(c).alias(f"_g_{c}") for c in partition_cols], "_first",
         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
     )
-    offsets = bounded_broadcast(offsets)
-    cond = ranged["_pid"] == offsets["_pid"]
-    for c in partition_cols:
-        cond = cond & ranged[c].eqNullSafe(offsets[f"_g_{c}"])
+    offsets = local_or_broadcast(offsets)
+    cond = ranged["_pid"] == offsets["_opid"]
+    if partition_cols:
+        cond = cond & _null_safe_join(ranged, offsets, partition_cols, "_g_")
     out = ranged.join(offsets, cond, "inner")
     rn = (F.col("_off") + F.col("_li") - F.col("_first") + 1).cast("bigint")
     return out.select(*[ranged[c] for c in df.columns], rn.alias(out_col))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.numbering import exact_row_number
-from lectern.operators.sizing import bounded_broadcast
+from lectern.operators.sizing import local_or_broadcast
 
 
 def _qname(p: float) -> str:
@@ -28,7 +28,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     names = list(names) if names else [_qname(p) for p in probs]
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ranked = exact_row_number(vals, list(group_cols), [F.col("_v").asc()], "_rn")
-    sizes = ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = local_or_broadcast(ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")))
     wanted = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
     need = (sizes.select(*group_cols, "_n", F.inline(wanted))
             .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
@@ -39,7 +39,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     F.array_distinct(F.array("_lo", "_hi")).alias("_ranks")))
     need_ranks = need.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "qi", "_lo", "_hi", "_frac",
                              F.explode("_ranks").alias("_r"))
-    need_ranks = bounded_broadcast(need_ranks)
+    need_ranks = local_or_broadcast(need_ranks)
     cond = ranked["_rn"] == need_ranks["_r"]
     for c in group_cols:
         cond = cond & ranked[c].eqNullSafe(need_ranks[f"_g_{c}"])
@@ -55,9 +55,9 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
 def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str, digits: int = 6) -> DataFrame:
     """Quartiles, whiskers at the furthest points within 1.5 IQR, outlier count."""
     q = exact_quantiles(df, group_cols, value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = local_or_broadcast(q.withColumn("iqr", F.col("q3") - F.col("q1")))
     q = q.withColumn("_lof", F.col("q1") - 1.5 * F.col("iqr")).withColumn("_hif", F.col("q3") + 1.5 * F.col("iqr"))
-    qb = bounded_broadcast(q.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_lof", "_hif"))
+    qb = q.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_lof", "_hif")
     cond = None
     for c in group_cols:
         e = df[c].eqNullSafe(qb[f"_g_{c}"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.hashing import seeded_order_key
 from lectern.labels import DAY_BUCKETS, SEED, TEST_PCT, VAL_PCT
-from lectern.operators.numbering import exact_row_number, global_row_number
+from lectern.operators.numbering import exact_row_number, global_row_number, hashed_rank
 from lectern.operators.sizing import bounded_broadcast
 
 
@@ -18,8 +18,7 @@ def rank_in_class(df: DataFrame, class_col: str = "category", order_col: str = "
     Computed with the scaled numbering, so a large class is spread over
     many tasks; the result equals the plain window.
     """
-    order = [F.md5(F.col(order_col)).asc_nulls_first(), F.col(key_col).asc_nulls_first()]
-    return exact_row_number(df, [class_col], order, out_col)
+    return hashed_rank(df, [class_col], F.md5(F.col(order_col)), [F.col(key_col).asc_nulls_first()], out_col)
 
 
 def split_of(rn, test_pct: int = TEST_PCT, val_pct: int = VAL_PCT):
@@ -108,9 +107,7 @@ def stratified_split_exact(df: DataFrame, test_frac: float = 0.1, val_frac: floa
     """Class shares kept exactly: per class, the first round(test_frac * n)
     rows of a seeded order go to test, the next round(val_frac * (n - test))
     to val, the rest to train."""
-    ranked = exact_row_number(
-        df, [class_col],
-        [seeded_order_key(seed, key_col).asc_nulls_first(), F.col(key_col).asc_nulls_first()], "_rn")
+    ranked = hashed_rank(df, [class_col], seeded_order_key(seed, key_col), [F.col(key_col).asc_nulls_first()], "_rn")
     sizes = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.withColumn("_t", F.round(F.col("_n") * test_frac))
     sizes = sizes.withColumn("_v", F.round((F.col("_n") - F.col("_t")) * val_frac))

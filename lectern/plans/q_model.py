@@ -71,14 +71,12 @@ SELECT c.category AS class, c.token, round(ln((c.n + 1) / (t.n_tokens + (SELECT
 FROM counts c JOIN tot t ON c.category = t.category""")
 def q_train_nb(spark, sf):
     m = nb_model(spark, sf)
-    lk = m.class_params()
-    k = len(m.class_names)
     long = m.terms.select("token", F.posexplode("w").alias("class_id", "lw"))
     # observed (class, token) pairs only: ln(n + 1) > 0
     long = long.where(F.col("lw") > 0)
-    denom = F.element_at(F.array(*[F.lit(ld) for _, ld in lk]), (F.col("class_id") + 1).cast("int"))
+    denom = F.element_at(F.array(*[F.lit(ld) for ld in m.log_denom]), (F.col("class_id") + 1).cast("int"))
     return long.select(decode_label("class_id", m.class_names).alias("class"), "token",
-                       F.round(F.log(F.exp("lw")) - denom, 6).alias("log_prob")) if k else long
+                       F.round(F.col("lw") - denom, 6).alias("log_prob"))
 
 
 @register("score_nb", NB_SQL + """

@@ -21,6 +21,7 @@ def split_articles(spark, sf, num_partitions=None):
     a = articles(spark, sf).select("doc_id", "title", "category", "label")
     if num_partitions is None:
         return splits.stratified_split(a)
+    # the general (range-partitioned) numbering must give the same ranks
     ranked = splits.exact_row_number(
         a, ["category"], [F.md5("title").asc_nulls_first(), F.col("doc_id").asc_nulls_first()],
         "_rn", num_partitions)
