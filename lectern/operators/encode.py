@@ -46,13 +46,25 @@ def join_vocab(df: DataFrame, vocab: DataFrame, key_col: str = "doc_id", tokens_
     return j.select(key_col, "pos", "token", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
 
 
-def _ids_per_doc(df: DataFrame, vocab: DataFrame, key_col: str, tokens_col: str) -> DataFrame:
-    ids = join_vocab(df, vocab, key_col, tokens_col)
-    per_doc = ids.groupBy(key_col).agg(F.sort_array(F.collect_list(F.struct("pos", "token_id"))).alias("_p"))
-    per_doc = per_doc.select(key_col, F.transform("_p", lambda s: s["token_id"]).alias("ids"))
-    # documents without tokens keep an empty id list
-    return df.select(key_col).join(per_doc, key_col, "left").select(
-        key_col, F.coalesce("ids", F.array().cast("array<bigint>")).alias("ids"))
+def _ids_per_doc(df: DataFrame, vocab: DataFrame, key_col: str, tokens_col: str, kept: Column | None = None) -> DataFrame:
+    """(key, n_tokens, ids) with ``ids`` the vocabulary ids of the ``kept`` tokens
+    (default all) in order. ``n_tokens`` always counts the whole text.
+
+    ``posexplode_outer`` keeps token-less documents, so no join back to the
+    documents is needed; the per-document list is bounded by the kept tokens.
+    """
+    kept = F.col(tokens_col) if kept is None else kept
+    exploded = df.select(key_col, F.size(tokens_col).alias("n_tokens"),
+                         F.posexplode_outer(kept).alias("pos", "token"))
+    n_vocab = vocab.count()
+    v = vocab.select("token", "token_id")
+    v = F.broadcast(v) if n_vocab <= 1_000_000 else v
+    j = exploded.join(v, "token", "left") if n_vocab <= 1_000_000 else \
+        lookup_join(exploded, v, "token", "left", max_broadcast_rows=0, salt_source=key_col)
+    item = F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
+    per_doc = j.groupBy(key_col, "n_tokens").agg(
+        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_p"))
+    return per_doc.select(key_col, "n_tokens", F.transform("_p", lambda s: s["token_id"]).alias("ids"))
 
 
 def _frame(ids: Column, max_length: int) -> list[Column]:
@@ -67,9 +79,9 @@ def _frame(ids: Column, max_length: int) -> list[Column]:
 def encode_truncate_pad(df: DataFrame, vocab: DataFrame, max_length: int = MAX_LENGTH,
                         key_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """CLS + tokens + SEP, cut on the right to ``max_length``, padded, with mask."""
-    per = _ids_per_doc(df, vocab, key_col, tokens_col)
-    ids = F.slice("ids", 1, max_length - 2)
-    return per.select(key_col, F.size("ids").alias("n_tokens"), *_frame(ids, max_length))
+    # only the first max_length - 2 tokens can reach the output
+    per = _ids_per_doc(df, vocab, key_col, tokens_col, F.slice(tokens_col, 1, max_length - 2))
+    return per.select(key_col, "n_tokens", *_frame(F.col("ids"), max_length))
 
 
 def head_tail(ids: Column, head: int = HEAD_TOKENS, tail: int = TAIL_TOKENS) -> Column:
@@ -83,8 +95,9 @@ def encode_head_tail(df: DataFrame, vocab: DataFrame, max_length: int = MAX_LENG
                      key_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     if head + tail != max_length - 2:
         raise ValueError("head + tail must equal max_length - 2")
-    per = _ids_per_doc(df, vocab, key_col, tokens_col)
-    return per.select(key_col, F.size("ids").alias("n_tokens"), *_frame(head_tail(F.col("ids"), head, tail), max_length))
+    # only the head and tail positions can reach the output
+    per = _ids_per_doc(df, vocab, key_col, tokens_col, head_tail(F.col(tokens_col), head, tail))
+    return per.select(key_col, "n_tokens", *_frame(F.col("ids"), max_length))
 
 
 def pad_to_batch_max(encoded: DataFrame, batch_size: int, max_length: int = MAX_LENGTH,

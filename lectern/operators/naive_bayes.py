@@ -92,11 +92,13 @@ def train_nb(train: DataFrame, class_names: Sequence[str], text_col: str = "text
     table for all class parameters."""
     names = list(class_names)
     k = len(names)
-    counts = term_counts(train, names, text_col, class_col)
-    wide = counts.groupBy("token").pivot("class_id", list(range(k))).agg(F.first("n"))
-    wide = stable_table(wide.select(
-        "token", F.array(*[F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint") for i in range(k)]).alias("n")),
-        "nb-counts")
+    # one aggregate keyed by token with a conditional count per class
+    # (combined map-side, so a token in a third of all rows is still cheap)
+    toks = F.concat(tokens(text_col), F.array(F.lit(None).cast("string")))
+    t = train.select(_class_id(names, class_col).alias("class_id"), F.explode(toks).alias("token"))
+    wide = t.where(F.col("class_id") >= 0).groupBy("token").agg(
+        F.array(*[F.count_if(F.col("class_id") == i) for i in range(k)]).alias("n"))
+    wide = stable_table(wide, "nb-counts")
     real = F.col("token").isNotNull()
     stats = wide.agg(
         F.count_if(real).alias("vocab"),

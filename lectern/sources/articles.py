@@ -30,7 +30,7 @@ def docs_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "pages", ["page_id", "html"])
+    p = read_table(spark, sf_dir, "pages", ["page_id", "html"], balance_key="page_id")
     return p.select(
         F.col("page_id").alias("doc_id"),
         F.nullif(F.regexp_extract("html", TITLE_TAG, 1), F.lit("")).alias("title"),
