@@ -1,32 +1,76 @@
 """Exact quantiles and box-plot numbers without collecting a group.
 
 ``percentile`` keeps every distinct value of a group in one aggregation
-buffer. Here each group is ranked with the scaled numbering, the ranks that
-a quantile needs are computed from the group sizes (a table of groups x
-quantiles rows), and only those rows are picked back by a size-checked
-broadcast join. Linear interpolation between closest ranks (the usual
-type-7 definition, as in numpy and DuckDB ``quantile_cont``).
+buffer, however large the group. Here the values are first counted per
+(group, value), combined map-side. When that table of distinct values stays
+under a checked bound (word counts, rounded scores, any low-cardinality
+measure) quantiles, whiskers and outliers all come from it with one scan of
+the input: a running count per group over the distinct values gives each
+value's rank range. Beyond the bound each group is ranked with the scaled
+row numbering, the ranks that a quantile needs are computed from the group
+sizes (a table of groups x quantiles rows), and only those rows are picked
+back by a size-checked broadcast join. Both paths use linear interpolation
+between closest ranks (the usual type-7 definition, as in numpy and DuckDB
+``quantile_cont``) and give the same numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.numbering import exact_row_number
-from lectern.operators.sizing import local_or_broadcast
+from lectern.operators.sizing import local_or_broadcast, stable_table
+
+# Distinct (group, value) pairs up to this many are ranked as counts; each
+# group's distinct values are then ordered in one task, so the bound keeps
+# that task small. More distinct values take the row-numbering path.
+DISTINCT_VALUES_BOUND = 2_000_000
 
 
 def _qname(p: float) -> str:
     return "q" + f"{p:g}".replace(".", "_").replace("0_", "")
 
 
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
-    names = list(names) if names else [_qname(p) for p in probs]
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+def _values(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    return df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+
+
+def _value_counts(vals: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, bool]:
+    """(group, _v, _n) written once, and whether it is under the bound."""
+    counts = stable_table(vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    small = counts.limit(DISTINCT_VALUES_BOUND + 1).count() <= DISTINCT_VALUES_BOUND
+    return counts, small
+
+
+def _rank_positions(n: Column, p: float) -> tuple[Column, Column, Column]:
+    pos = F.lit(float(p)) * (n - 1)
+    return (F.floor(pos).cast("bigint") + 1, F.ceil(pos).cast("bigint") + 1, pos - F.floor(pos))
+
+
+def _quantiles_from_counts(counts: DataFrame, group_cols: Sequence[str], probs: Sequence[float],
+                           names: Sequence[str]) -> DataFrame:
+    g = Window.partitionBy(*group_cols)
+    run = g.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = counts.withColumn("_cum", F.sum("_n").over(run)).withColumn("_tot", F.sum("_n").over(g))
+    covers = lambda r: (F.col("_cum") - F.col("_n") < r) & (r <= F.col("_cum"))
+    aggs = []
+    for i, p in enumerate(probs):
+        lo, hi, _ = _rank_positions(F.col("_tot"), p)
+        aggs += [F.max(F.when(covers(lo), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(covers(hi), F.col("_v"))).alias(f"_hi{i}")]
+    per = c.groupBy(*group_cols).agg(F.max("_tot").alias("_tot"), *aggs)
+    outs = []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        _, _, frac = _rank_positions(F.col("_tot"), p)
+        outs.append((F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name))
+    return per.select(*group_cols, *outs)
+
+
+def _quantiles_from_rows(vals: DataFrame, group_cols: Sequence[str], probs: Sequence[float],
+                         names: Sequence[str]) -> DataFrame:
     ranked = exact_row_number(vals, list(group_cols), [F.col("_v").asc()], "_rn")
     sizes = local_or_broadcast(ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")))
     wanted = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
@@ -52,25 +96,45 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
 
 
-def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str, digits: int = 6) -> DataFrame:
-    """Quartiles, whiskers at the furthest points within 1.5 IQR, outlier count."""
-    q = exact_quantiles(df, group_cols, value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    q = local_or_broadcast(q.withColumn("iqr", F.col("q3") - F.col("q1")))
-    q = q.withColumn("_lof", F.col("q1") - 1.5 * F.col("iqr")).withColumn("_hif", F.col("q3") + 1.5 * F.col("iqr"))
-    qb = q.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_lof", "_hif")
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                    probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+    names = list(names) if names else [_qname(p) for p in probs]
+    vals = _values(df, group_cols, value_col)
+    counts, small = _value_counts(vals, group_cols)
+    if small:
+        return _quantiles_from_counts(counts, group_cols, probs, names)
+    return _quantiles_from_rows(vals, group_cols, probs, names)
+
+
+def _join_groups(left: DataFrame, right: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     cond = None
     for c in group_cols:
-        e = df[c].eqNullSafe(qb[f"_g_{c}"])
+        e = left[c].eqNullSafe(right[f"_g_{c}"])
         cond = e if cond is None else cond & e
-    x = F.col(value_col).cast("double")
-    j = df.join(qb, cond, "inner")
-    w = j.groupBy(*[df[c] for c in group_cols]).agg(
+    return left.join(right, cond, "inner")
+
+
+def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str, digits: int = 6) -> DataFrame:
+    """Quartiles, whiskers at the furthest points within 1.5 IQR, outlier count."""
+    probs, names = [0.25, 0.5, 0.75], ["q1", "median", "q3"]
+    vals = _values(df, group_cols, value_col)
+    counts, small = _value_counts(vals, group_cols)
+    q = (_quantiles_from_counts(counts, group_cols, probs, names) if small
+         else _quantiles_from_rows(vals, group_cols, probs, names))
+    # one row per group: bounded by the groups, which never exceed the values
+    q = local_or_broadcast(q.withColumn("iqr", F.col("q3") - F.col("q1")))
+    qb = q.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols],
+                  (F.col("q1") - 1.5 * F.col("iqr")).alias("_lof"), (F.col("q3") + 1.5 * F.col("iqr")).alias("_hif"))
+    # whiskers and outliers read the distinct-value counts, never the raw rows again
+    j = _join_groups(counts, qb, group_cols)
+    x, n = F.col("_v"), F.col("_n")
+    w = j.groupBy(*[counts[c].alias(f"_g_{c}") for c in group_cols]).agg(
         F.min(F.when(x >= F.col("_lof"), x)).alias("whisker_low"),
         F.max(F.when(x <= F.col("_hif"), x)).alias("whisker_high"),
-        F.count_if((x < F.col("_lof")) | (x > F.col("_hif"))).alias("n_outliers"),
-        F.count(x).alias("n"),
+        F.coalesce(F.sum(F.when((x < F.col("_lof")) | (x > F.col("_hif")), n)), F.lit(0)).alias("n_outliers"),
+        F.sum(n).alias("n"),
     )
-    out = q.drop("_lof", "_hif").join(w, list(group_cols), "inner")
+    out = _join_groups(q, w, group_cols)
     return out.select(*group_cols, *[F.round(F.col(c), digits).alias(c) for c in
                                      ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]],
-                      "n_outliers", "n")
+                      F.col("n_outliers").cast("bigint").alias("n_outliers"), F.col("n").cast("bigint").alias("n"))
