@@ -20,6 +20,7 @@ from lectern.functions.timefmt import day_bucket_of, validate_day
 from lectern.labels import DAY_BUCKETS, SAMPLE_INFERENCE_ROWS, TEST_PCT, VAL_PCT
 from lectern.operators import evaluate as ev
 from lectern.operators import filters, history, naive_bayes, sampling, splits
+from lectern.operators.sizing import stable_table
 from lectern.sources import sinks
 from lectern.sources.articles import scan_articles
 
@@ -76,7 +77,9 @@ def job_train(spark: SparkSession, source: DataFrame, mapping: Mapping[str, int]
 def job_sample_inference(spark: SparkSession, source: DataFrame, model: naive_bayes.NaiveBayesModel,
                          table_path: str, n: int = SAMPLE_INFERENCE_ROWS, seed: int = 42) -> int:
     """Random n scorable rows -> score the raw body -> append; returns the row count."""
-    rows = sampling.random_sample_n(filters.filter_scorable(source), n, seed)
+    # the fetch step's output is written once (at most n rows), so the guard
+    # and the scoring read it instead of re-running the top-n over the source
+    rows = stable_table(sampling.random_sample_n(filters.filter_scorable(source), n, seed), "sample-fetch")
     sinks.guard_empty(rows, fail=True)
     scored = naive_bayes.score_nb(model, rows, text_col="body", keep=["title", "body", "category"])
     return sinks.sink_append(scored, table_path, schemas.SAMPLE_PREDICTION)
