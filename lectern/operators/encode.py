@@ -15,6 +15,9 @@ from lectern.operators.joins import lookup_join
 from lectern.operators.numbering import global_row_number
 
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
+# A vocabulary (token, id) is broadcast to the encoding join up to this many
+# rows (tens of MB); a larger one is joined by a salted shuffle.
+VOCAB_BROADCAST_ROWS = 1_000_000
 TOKEN_PATTERN = r"[^\p{L}]+"
 
 
@@ -43,7 +46,8 @@ def build_vocab(train: DataFrame, text_col: str = "text", min_count: int = 1) ->
 def join_vocab(df: DataFrame, vocab: DataFrame, key_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """(key, pos, token, token_id): unknown tokens map to UNK."""
     exploded = df.select(key_col, F.posexplode(tokens_col).alias("pos", "token"))
-    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left")
+    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left",
+                    max_broadcast_rows=VOCAB_BROADCAST_ROWS, salt_source=key_col)
     return j.select(key_col, "pos", "token", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
 
 
@@ -57,11 +61,11 @@ def _ids_per_doc(df: DataFrame, vocab: DataFrame, key_col: str, tokens_col: str,
     kept = F.col(tokens_col) if kept is None else kept
     exploded = df.select(key_col, F.size(tokens_col).alias("n_tokens"),
                          F.posexplode_outer(kept).alias("pos", "token"))
-    n_vocab = vocab.count()
     v = vocab.select("token", "token_id")
-    v = F.broadcast(v) if n_vocab <= 1_000_000 else v
-    j = exploded.join(v, "token", "left") if n_vocab <= 1_000_000 else \
-        lookup_join(exploded, v, "token", "left", max_broadcast_rows=0, salt_source=key_col)
+    if vocab.count() <= VOCAB_BROADCAST_ROWS:
+        j = exploded.join(F.broadcast(v), "token", "left")
+    else:
+        j = lookup_join(exploded, v, "token", "left", max_broadcast_rows=0, salt_source=key_col)
     item = F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
     per_doc = j.groupBy(key_col, "n_tokens").agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_p"))

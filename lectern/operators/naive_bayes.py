@@ -37,9 +37,18 @@ from lectern.operators.encode import tokens
 from lectern.operators.joins import lookup_join
 from lectern.operators.sizing import stable_table
 
-# Vocabularies up to this many terms are broadcast to the scoring tasks
-# (about 8 bytes per class plus the token per row).
+# The terms table is broadcast to the scoring tasks only while its estimated
+# size (token plus one double per class, per row) stays under this many
+# bytes and its rows under the row bound; beyond either it is a salted
+# shuffle join.
 BROADCAST_VOCAB_ROWS = 500_000
+BROADCAST_TERMS_BYTES = 128 * 1024 * 1024
+TERM_ROW_OVERHEAD_BYTES = 48
+
+
+def terms_broadcastable(model: "NaiveBayesModel") -> bool:
+    est = model.vocab_size * (TERM_ROW_OVERHEAD_BYTES + 8 * len(model.class_names))
+    return model.vocab_size <= BROADCAST_VOCAB_ROWS and est <= BROADCAST_TERMS_BYTES
 
 
 @dataclass
@@ -127,7 +136,7 @@ def class_scores(model: NaiveBayesModel, df: DataFrame, text_col: str = "text",
     # One NULL sentinel token per document keeps token-less documents.
     toks = F.concat(tokens(text_col), F.array(F.lit(None).cast("string")))
     exploded = df.select(key_col, F.explode(toks).alias("token"))
-    if model.vocab_size <= BROADCAST_VOCAB_ROWS:
+    if terms_broadcastable(model):
         facts = exploded.withColumn("cnt", F.lit(1).cast("bigint"))
         j = facts.join(F.broadcast(model.terms), "token", "left")
     else:

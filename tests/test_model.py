@@ -122,3 +122,32 @@ def test_truncate_pad_mask(spark):
     assert e.input_ids == [2, 5, 4, 4, 3] and e.attention_mask == [1, 1, 1, 1, 1]
     e = encode.encode_truncate_pad(encode.tokenize(df), vocab, max_length=8).first()
     assert e.input_ids == [2, 5, 4, 4, 6, 3, 0, 0] and e.attention_mask == [1] * 6 + [0, 0]
+
+
+def test_salted_scoring_equals_broadcast(spark, split, model, monkeypatch):
+    test = splits.filter_split(split, "test")
+    by_broadcast = {r.doc_id: r for r in naive_bayes.score_nb(model, test, keep=["category"]).collect()}
+    monkeypatch.setattr(naive_bayes, "BROADCAST_TERMS_BYTES", 0)
+    assert not naive_bayes.terms_broadcastable(model)
+    by_shuffle = {r.doc_id: r for r in naive_bayes.score_nb(model, test, keep=["category"]).collect()}
+    assert set(by_broadcast) == set(by_shuffle)
+    for k, r in by_broadcast.items():
+        s = by_shuffle[k]
+        assert (r.pred, r.category) == (s.pred, s.category)
+        for a, b in zip(r.z, s.z):
+            assert math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_salted_encoding_equals_broadcast(spark, split, monkeypatch):
+    docs = encode.tokenize(split.select("doc_id", "text"))
+    vocab = encode.build_vocab(splits.filter_split(split, "train"))
+
+    def run():
+        e = encode.encode_head_tail(docs, vocab, max_length=32, head=20, tail=10)
+        j = encode.join_vocab(docs, vocab)
+        return (sorted((r.doc_id, r.n_tokens, tuple(r.input_ids)) for r in e.collect()),
+                sorted(tuple(r) for r in j.collect()))
+
+    by_broadcast = run()
+    monkeypatch.setattr(encode, "VOCAB_BROADCAST_ROWS", 0)
+    assert run() == by_broadcast
