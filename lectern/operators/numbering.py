@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.sizing import default_partitions, local_or_broadcast, stable_table
+from lectern.operators.sizing import collect_bounded, default_partitions, local_or_broadcast, stable_table
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -39,20 +39,32 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], pref
     return cond
 
 
+# A (group, digest bucket) window task may hold at most this many rows. Equal
+# digests (duplicate titles) all fall in one bucket, so a hot value can
+# exceed it; the rank then comes from the range-partitioned numbering,
+# whose unique tie-break cuts even one repeated value across tasks.
+HOT_BUCKET_ROWS = 1_000_000
+
+
 def hashed_rank(df: DataFrame, group_cols: Sequence[str], digest: Column, tiebreak: Sequence[Column],
                 out_col: str = "rn", digits: int = 3) -> DataFrame:
     """1-based rank by (digest, tiebreak...) within each group, NULL digests first.
 
     ``digest`` must be a lowercase hex string (md5); ``tiebreak`` makes the
-    order total.
+    order total (ascending columns).
     """
     work = df.withColumn("_dg", digest).withColumn(
         "_bk", F.coalesce(F.conv(F.substring("_dg", 1, digits), 16, 10).cast("int"), F.lit(-1)))
     counts = work.groupBy(*group_cols, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], F.col("_bk").alias("_ob"),
+    offsets = counts.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], F.col("_bk").alias("_ob"), "_n",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    offsets = local_or_broadcast(offsets)
+    rows = collect_bounded(offsets)
+    if rows is None or max((r["_n"] for r in rows), default=0) > HOT_BUCKET_ROWS:
+        ranked = exact_row_number(df.withColumn("_dg", digest), group_cols,
+                                  [F.col("_dg").asc_nulls_first(), *tiebreak], out_col)
+        return ranked.select(*[F.col(c) for c in df.columns], out_col)
+    offsets = F.broadcast(df.sparkSession.createDataFrame(rows, offsets.schema)).drop("_n")
     cond = _null_safe_join(work, offsets, group_cols, "_g_") if group_cols else None
     cond = (work["_bk"] == offsets["_ob"]) if cond is None else cond & (work["_bk"] == offsets["_ob"])
     j = work.join(offsets, cond, "inner")

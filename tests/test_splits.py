@@ -89,3 +89,37 @@ def test_day_partition_covers_all_rows(spark, sf_small):
 def test_filter_day_rejects_out_of_range(spark, sf_small):
     with pytest.raises(ValueError):
         splits.filter_day(docs_articles(spark, sf_small), 30)
+
+
+def test_numbering_with_distributed_offsets(articles, monkeypatch):
+    """Offsets above the collect bound stay a distributed frame (shuffle join)."""
+    from lectern.operators import numbering
+
+    monkeypatch.setattr(numbering, "local_or_broadcast", lambda df, max_rows=0: df)
+    got = {r.doc_id: r.rn for r in splits.rank_in_class(articles).collect()}
+    assert got == plain_rank(articles)
+    order = [F.md5("title").asc_nulls_first(), F.col("doc_id").asc()]
+    got = {r.doc_id: r.rn for r in exact_row_number(articles, ["category"], order, "rn", 8).collect()}
+    assert got == plain_rank(articles)
+
+
+def test_numbering_hot_class_and_hot_value(spark, monkeypatch):
+    """One class holds over half the rows, all with one title: still exact,
+    and a bucket over the bound takes the range-partitioned numbering."""
+    from lectern.operators import numbering
+
+    rows = [(i, "same title", "hot") for i in range(1800)]
+    rows += [(1800 + i, f"t{i % 97}", ["a", "b", "c"][i % 3]) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, title string, category string")
+    want = plain_rank(df)
+    got = {r.doc_id: r.rn for r in splits.rank_in_class(df).collect()}
+    assert got == want
+    monkeypatch.setattr(numbering, "HOT_BUCKET_ROWS", 1000)
+    got = {r.doc_id: r.rn for r in splits.rank_in_class(df).collect()}
+    assert got == want
+    order = [F.md5("title").asc_nulls_first(), F.col("doc_id").asc()]
+    ranged = exact_row_number(df, ["category"], order, "rn", 8)
+    assert {r.doc_id: r.rn for r in ranged.collect()} == want
+    # the hot (class, title) value is cut across partitions by the unique tie-break
+    per_part = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_part) < 1800
