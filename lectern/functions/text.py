@@ -2,7 +2,7 @@
 
 All of these compile to JVM expressions inside whole-stage codegen except
 ``nfkc``, which has no Spark built-in and runs as an Arrow-batched pandas
-UDF over pyarrow's vectorised Unicode normaliser.
+UDF (standard-library normaliser, ASCII values skipped).
 """
 
 from __future__ import annotations
