@@ -10,7 +10,8 @@ import datetime as dt
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lectern.functions.timefmt import utc_stamp_now
@@ -58,16 +59,25 @@ def _conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _write_counted(out: DataFrame, write) -> int:
+    """Run ``write(observed_frame)`` and return the rows it wrote.
+
+    The count is an observed metric of the write job itself, so the input
+    (often a whole scoring plan) is computed once, not once for a count and
+    again for the write.
+    """
+    obs = Observation("rows_written")
+    write(out.observe(obs, F.count(F.lit(1)).alias("n")))
+    return int(obs.get["n"])
+
+
 def sink_append(df: DataFrame, path: str, schema: StructType) -> int:
     """Create if absent, append rows in the fixed schema, return the row count.
 
     A row that cannot be cast to the schema fails the write (ANSI casts).
     """
     out = _conform(df, schema)
-    n = out.count()
-    if n:
-        out.write.mode("append").parquet(path)
-    return n
+    return _write_counted(out, lambda o: o.write.mode("append").parquet(path))
 
 
 def sink_date_partitioned(df: DataFrame, path: str, schema: StructType,
@@ -75,11 +85,8 @@ def sink_date_partitioned(df: DataFrame, path: str, schema: StructType,
     """Write partitioned by date; a rerun replaces only the partitions it
     writes (dynamic overwrite), so the same date and day never duplicate."""
     out = _conform(df, schema)
-    n = out.count()
-    if n:
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_cols).parquet(path))
-    return n
+    return _write_counted(out, lambda o: o.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                          .partitionBy(*partition_cols).parquet(path))
 
 
 def guard_empty(df: DataFrame, fail: bool) -> bool:
