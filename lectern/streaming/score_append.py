@@ -23,9 +23,15 @@ def stream_score_append(spark: SparkSession, source_dir: str, schema: StructType
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = naive_bayes.score_nb(model, batch, text_col=text_col, keep=list(keep))
-        out = scored.select("doc_id", *keep, "predicted_label", F.round("confidence", 6).alias("confidence"))
-        out.write.mode("overwrite").parquet(os.path.join(sink_dir, f"batch_id={batch_id}"))
+        # scoring reads the batch twice (tokens, then the kept columns joined
+        # back); the batch is held for the duration of this write only
+        batch.persist()
+        try:
+            scored = naive_bayes.score_nb(model, batch, text_col=text_col, keep=list(keep))
+            out = scored.select("doc_id", *keep, "predicted_label", F.round("confidence", 6).alias("confidence"))
+            out.write.mode("overwrite").parquet(os.path.join(sink_dir, f"batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_dir)
