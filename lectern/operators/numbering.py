@@ -74,6 +74,12 @@ def hashed_rank(df: DataFrame, group_cols: Sequence[str], digest: Column, tiebre
     return j.select(*[work[c] for c in df.columns], rn.alias(out_col))
 
 
+# Inputs of at most this many rows (counted, a checked bound) are numbered by
+# the plain window: all of them fit one task, and the order is total, so a
+# recomputation gives the same numbers. Larger inputs take the range path.
+SINGLE_TASK_ROWS = 1_000_000
+
+
 def exact_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],
                      out_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based row number of each row in its group.
@@ -81,6 +87,9 @@ def exact_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: S
     ``order_cols`` must be ascending sort expressions (``F.col(x).asc_nulls_first()``
     etc.) that make the order total (end with a unique key).
     """
+    if df.limit(SINGLE_TASK_ROWS + 1).count() <= SINGLE_TASK_ROWS:
+        w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
+        return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
     n = num_partitions or default_partitions(df)
     part = [F.col(c).asc_nulls_first() for c in partition_cols]
     ranged = (

@@ -27,8 +27,16 @@ def test_hashed_rank_equals_window(articles):
     assert got == plain_rank(articles)
 
 
+@pytest.fixture
+def range_path(monkeypatch):
+    """Force the range-partitioned numbering even for small inputs."""
+    from lectern.operators import numbering
+
+    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
+
+
 @pytest.mark.parametrize("parts", [1, 4, 32])
-def test_range_numbering_partition_invariant(articles, parts):
+def test_range_numbering_partition_invariant(articles, parts, range_path):
     order = [F.md5("title").asc_nulls_first(), F.col("doc_id").asc()]
     got = {r.doc_id: r.rn for r in exact_row_number(articles.repartition(parts), ["category"], order, "rn", parts)
            .collect()}
@@ -46,6 +54,17 @@ def test_global_numbering_dense(articles):
     assert sorted(rn) == list(range(1, articles.count() + 1))
 
 
+def test_window_path_equals_range_path(articles, monkeypatch):
+    from lectern.operators import numbering
+
+    order = [F.col("title").asc_nulls_first(), F.col("doc_id").asc()]
+    small = {r.doc_id: r.rn for r in exact_row_number(articles, ["category"], order, "rn").collect()}
+    glob = {r.doc_id: r.rn for r in global_row_number(articles, order).collect()}
+    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
+    assert small == {r.doc_id: r.rn for r in exact_row_number(articles, ["category"], order, "rn", 8).collect()}
+    assert glob == {r.doc_id: r.rn for r in global_row_number(articles, order, num_partitions=8).collect()}
+
+
 @pytest.mark.parametrize("n,sizes", [(9, (9, 0, 0)), (20, (9, 10, 1)), (100, (10, 10, 80)), (129, (19, 20, 90))])
 def test_split_size_formula(n, sizes):
     assert splits.expected_split_sizes(n) == sizes
@@ -96,6 +115,7 @@ def test_numbering_with_distributed_offsets(articles, monkeypatch):
     from lectern.operators import numbering
 
     monkeypatch.setattr(numbering, "local_or_broadcast", lambda df, max_rows=0: df)
+    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
     got = {r.doc_id: r.rn for r in splits.rank_in_class(articles).collect()}
     assert got == plain_rank(articles)
     order = [F.md5("title").asc_nulls_first(), F.col("doc_id").asc()]
@@ -114,7 +134,9 @@ def test_numbering_hot_class_and_hot_value(spark, monkeypatch):
     want = plain_rank(df)
     got = {r.doc_id: r.rn for r in splits.rank_in_class(df).collect()}
     assert got == want
+    # a hot bucket above the bound goes to the range path, as it would at scale
     monkeypatch.setattr(numbering, "HOT_BUCKET_ROWS", 1000)
+    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
     got = {r.doc_id: r.rn for r in splits.rank_in_class(df).collect()}
     assert got == want
     order = [F.md5("title").asc_nulls_first(), F.col("doc_id").asc()]
