@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lectern.labels import HEAD_TOKENS, MAX_LENGTH, SPECIAL_TOKENS, TAIL_TOKENS
 from lectern.operators.joins import lookup_join
 from lectern.operators.numbering import global_row_number
+from lectern.operators.sizing import stable_table
 
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 # A vocabulary (token, id) is broadcast to the encoding join up to this many
@@ -39,6 +40,9 @@ def build_vocab(train: DataFrame, text_col: str = "text", min_count: int = 1) ->
     counts = (train.select(F.explode(tokens(text_col)).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= min_count))
+    # the token counts are written once: the numbering's size check and the
+    # numbering itself then read the table instead of re-counting all tokens
+    counts = stable_table(counts, "token-counts")
     ranked = global_row_number(counts, [F.col("n").desc(), F.col("token").asc()], "_r")
     return ranked.select("token", (F.col("_r") + len(SPECIAL_TOKENS) - 1).cast("bigint").alias("token_id"), "n")
 
