@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -214,6 +215,21 @@ def encoder(ranks: bytes, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def digests(text: str, enc: Encoder, dec: Decoder, with_ids: bool) -> tuple:
+    """(number of ids, their digest, digest of the decoded text[, ids]); a very long text passes in blocks."""
+    sha_ids, sha_text, n, ids = hashlib.sha256(), hashlib.sha256(), 0, []
+    pieces = enc.chunks_of(text) if text else iter(())
+    while block := list(itertools.islice(pieces, 8192)):
+        sha_ids.update((("," if n else "") + ",".join([x[0] for x in block])).encode())
+        flat = [i for x in block for i in x[2]]
+        sha_text.update(dec.feed(flat).encode())
+        n += len(flat)
+        if with_ids:
+            ids += flat
+    sha_text.update(dec.finish().encode())
+    return n, sha_ids.hexdigest(), sha_text.hexdigest(), *([ids] if with_ids else [])
+
+
 def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text",
                 with_ids: bool = False) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256[, ids]) for every row.
@@ -227,25 +243,14 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (
         ", ids array<int>" if with_ids else "")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, pattern)
-        dec_moves: dict = {}
+        moves: dict = {}
         for batch in batches:
-            rows = []
-            for k, t in zip(batch["_key"], batch["_text"]):
-                sha_ids, sha_text, n, first, ids = hashlib.sha256(), hashlib.sha256(), 0, True, []
-                dec = Decoder(enc.bytes_of, dec_moves)
-                pieces = enc.chunks_of(t) if t else iter(())
-                while block := [x for _, x in zip(range(8192), pieces)]:  # a very long text passes in blocks
-                    sha_ids.update((("" if first else ",") + ",".join([x[0] for x in block])).encode())
-                    flat = [i for x in block for i in x[2]]
-                    sha_text.update(dec.feed(flat).encode())
-                    n, first = n + len(flat), False
-                    if with_ids:
-                        ids += flat
-                sha_text.update(dec.finish().encode())
-                rows.append((k, n, sha_ids.hexdigest(), sha_text.hexdigest(), *([ids] if with_ids else [])))
-            out = pd.DataFrame(rows, columns=[key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])])
-            yield out.astype({key: batch["_key"].dtype})
-
-    return docs.select(F.col(key).alias("_key"), whole_text(text).alias("_text")).mapInPandas(run, schema)
+            rows = [digests(t.as_py(), enc, Decoder(enc.bytes_of, moves), with_ids) for t in batch.column("_text")]
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], names=names)
+
+    kinds = [pa.int64(), pa.string(), pa.string(), *([pa.list_(pa.int32())] if with_ids else [])]
+    names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+    return docs.select(F.col(key).alias("_key"), whole_text(text).alias("_text")).mapInArrow(run, schema)
