@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.common import whole_text
 
-MEMO = 200_000  # entries of a memo before it is dropped
+MEMO = 400_000  # entries of a memo before it is dropped
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,6 +55,7 @@ class Encoder:
             self.token_at[node] = rank
         self.bytes_of = {rank: word for word, rank in ranks.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
         self.chunks: dict[str, tuple[str, int, tuple[int, ...]]] = {}
         self._reset()
 
@@ -133,10 +134,26 @@ class Encoder:
         out.extend(self.states[state][-1][2])
         return tuple(out)
 
+    def _word(self, word: str) -> tuple[int, ...]:
+        known = self.words.get(word)
+        if known is None:
+            known = self.encode_word(word.encode())
+            if len(self.words) >= MEMO:
+                self.words.clear()
+            if len(word) <= 32:
+                self.words[word] = known
+        return known
+
     def _chunk(self, chunk: str) -> tuple[str, int, tuple[int, ...]]:
-        ids = tuple(i for word in self.pattern.findall(chunk) for i in self.encode_word(word.encode()))
-        known = (",".join(map(str, ids)), len(ids), ids)
-        if len(chunk) <= 64:
+        lines = LONE_LINE.split(chunk)  # a lone line end is a match of its own, and so parts what stands around it
+        ids: list[int] = []
+        for k, line in enumerate(lines):
+            if k:
+                ids += self._word("\n")
+            ids += (self.chunks.get(line) or self._chunk(line))[2] if len(lines) > 1 else [
+                i for word in self.pattern.findall(line) for i in self._word(word)]
+        known = (",".join(map(str, ids)), len(ids), tuple(ids))
+        if len(lines) == 1 and len(chunk) <= 32:
             if len(self.chunks) >= MEMO:
                 self.chunks.clear()
             self.chunks[chunk] = known
@@ -159,6 +176,7 @@ class Encoder:
 
 
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+LONE_LINE = re.compile(r"(?<=\S)\n(?=\S)")
 MIXED_SPACE = re.compile(r"\s | \s")
 
 
@@ -177,25 +195,46 @@ def utf8_step(pending: bytes, more: bytes) -> tuple[str, bytes]:
     return data[:cut].decode("utf-8", "replace"), data[cut:]
 
 
+class WholeTokens(dict):
+    """Text of a token that ends with a whole character, else None."""
+
+    def __init__(self, bytes_of: dict[int, bytes]):
+        self.bytes_of = bytes_of
+
+    def __missing__(self, i: int) -> str | None:
+        text, rest = utf8_step(b"", self.bytes_of[i])
+        value = self[i] = None if rest else text
+        return value
+
+
 class Decoder:
     """Ids to text as a stream: ``feed`` gives what is complete, ``finish`` the rest."""
 
-    def __init__(self, bytes_of: dict[int, bytes], moves: dict | None = None):
+    def __init__(self, bytes_of: dict[int, bytes], moves: dict | None = None, whole: dict | None = None):
         self.bytes_of, self.pending = bytes_of, b""
         self.moves = {} if moves is None else moves
-
-    def feed(self, ids: Iterable[int]) -> str:
-        out, pending, moves = [], self.pending, self.moves
-        for i in ids:
-            step = moves.get((pending, i))
-            if step is None:
-                step = utf8_step(pending, self.bytes_of[i])
-                if len(moves) >= MEMO:
-                    moves.clear()
-                moves[pending, i] = step
-            out.append(step[0])
-            pending = step[1]
-        self.pending = pending
+        self.whole = WholeTokens(bytes_of) if whole is None else whole
+
+    def feed(self, ids: list[int]) -> str:
+        out, moves = [], self.moves
+        for at in range(0, len(ids), 64):
+            run = ids[at:at + 64]
+            if not self.pending:  # as long as no character is open, a token of whole characters leaves it so
+                texts = list(map(self.whole.__getitem__, run))
+                if None not in texts:
+                    out += texts
+                    continue
+            pending = self.pending
+            for i in run:
+                step = moves.get((pending, i))
+                if step is None:
+                    step = utf8_step(pending, self.bytes_of[i])
+                    if len(moves) >= MEMO:
+                        moves.clear()
+                    moves[pending, i] = step
+                out.append(step[0])
+                pending = step[1]
+            self.pending = pending
         return "".join(out)
 
     def finish(self) -> str:
@@ -245,9 +284,9 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, pattern)
-        moves: dict = {}
+        moves, whole = {}, WholeTokens(enc.bytes_of)
         for batch in batches:
-            rows = [digests(t.as_py(), enc, Decoder(enc.bytes_of, moves), with_ids) for t in batch.column("_text")]
+            rows = [digests(t.as_py(), enc, Decoder(enc.bytes_of, moves, whole), with_ids) for t in batch.column("_text")]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], names=names)
 
