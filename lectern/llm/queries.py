@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lectern.llm import byte_bpe, secrets, url_rules
+from lectern.llm import byte_bpe, importance, kneser_ney, line_chunks, prefix_join, secrets, templates, url_rules
 from lectern.llm.common import table
 
 QUERIES: dict = {}
@@ -31,6 +31,11 @@ def op2(spark, sf_dir):
                                 public_tokenizers.PATTERN)
 
 
+@query("op4_importance_resampling")
+def op4(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
 OP5_SQL = r"""
 WITH parts AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1),
@@ -52,3 +57,24 @@ FROM judged
 @query("op5_url_rules", OP5_SQL)
 def op5(spark, sf_dir):
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, url_rules.PAGE_RULES))
+
+
+@query("op6_line_chunks")
+def op6(spark, sf_dir):
+    return line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_benchmark_templates")
+def op7(spark, sf_dir):
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "covered", "n_words", "exact")
+
+
+@query("op8_kneser_ney_toxicity")
+def op8(spark, sf_dir):
+    return kneser_ney.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_prefix_join")
+def op9(spark, sf_dir):
+    return prefix_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
