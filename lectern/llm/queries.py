@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lectern.llm import byte_bpe, importance, kneser_ney, line_chunks, prefix_join, secrets, templates, url_rules
+from lectern.llm import byte_bpe, importance, kneser_ney, line_chunks, prefix_join, pstable, revisits, secrets, templates, url_rules
 from lectern.llm.common import table
 
 QUERIES: dict = {}
@@ -31,6 +31,11 @@ def op2(spark, sf_dir):
                                 public_tokenizers.PATTERN)
 
 
+@query("op3_warc_revisits")
+def op3(spark, sf_dir):
+    return revisits.resolve(revisits.page_records(table(spark, sf_dir, "pages")))
+
+
 @query("op4_importance_resampling")
 def op4(spark, sf_dir):
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
@@ -78,3 +83,8 @@ def op8(spark, sf_dir):
 @query("op9_prefix_join")
 def op9(spark, sf_dir):
     return prefix_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+@query("op10_multiprobe_search")
+def op10(spark, sf_dir):
+    return pstable.nearest(table(spark, sf_dir, "embeddings"))
