@@ -88,8 +88,9 @@ def peak_entropy(value: Column, cls: EntropyClass) -> Column:
         enter, leave = symbol(i), F.when(i > w, symbol(i - w)).otherwise(F.lit(0))
         ce = F.element_at(acc["counts"], enter)
         grown = acc["sum"] + F.element_at(weight, ce + 2) - F.element_at(weight, ce + 1)
-        cl = F.when(leave > 0, F.element_at(acc["counts"], F.greatest(leave, F.lit(1))) + (leave == enter).cast("int"))
-        left = grown - F.coalesce(F.element_at(weight, cl + 1) - F.element_at(weight, cl), F.lit(0.0))
+        cl = F.element_at(acc["counts"], F.greatest(leave, F.lit(1))) + (leave == enter).cast("int")
+        cl = F.greatest(cl, F.lit(1))
+        left = F.when(leave > 0, grown - F.element_at(weight, cl + 1) + F.element_at(weight, cl)).otherwise(grown)
         counts = F.when(enter == leave, acc["counts"]).otherwise(F.transform(
             acc["counts"], lambda c, k: c + (k + 1 == enter).cast("int") - (k + 1 == leave).cast("int")))
         best = F.when(i >= w, F.greatest(acc["best"], F.lit(math.log2(w)) - left / w)).otherwise(acc["best"])
