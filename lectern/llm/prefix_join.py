@@ -7,7 +7,7 @@ nodes with equal prefix and size are one group.
 
 Pairs come from shared prefix hashes only. First each group's members meet their head and the heads meet a hub of each
 of their hashes, for a few rounds with other hubs; what is verified joins components. Then every remaining pair of
-nodes from different components that share a prefix hash is expanded, bounded by the positions of the shared hashes and
+nodes from different components that share a prefix hash, at places where it can be the first they share, is expanded and
 verified, so no link between components is lost, and no group of near copies is ever multiplied out. Verification
 compares whole sets.
 
@@ -32,7 +32,7 @@ from lectern.llm.common import staged, whole_text
 from lectern.llm.line_chunks import text_key
 
 CELLS_LOG = 21
-ROUNDS = 2               # rounds with hubs before the rest is expanded
+ROUNDS = 3               # rounds with hubs before the rest is expanded
 BROADCAST_ROWS = 2_000_000  # rows of three longs that may be broadcast; beyond that the join shuffles
 
 
@@ -105,11 +105,13 @@ def prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, set) of the given nodes (node, digest, _tkey), from the text of one of their documents."""
-    wanted = nodes.select("node", "digest", "_tkey")
+    """(node, set) of the given nodes (node, digest, source), from the text of their first document; as many times as
+    its row is repeated."""
+    wanted = nodes.select("node", "digest", F.col("source.doc_id").alias("_id"), F.col("source._tkey").alias("_tkey"))
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.select(text_key(F.col("text")).alias("_tkey"), whole_text().alias("_text")).join(wanted, "_tkey")
+    texts = docs.select(F.col("doc_id").alias("_doc"), text_key(F.col("text")).alias("_tkey"), whole_text().alias("_text")).join(
+        wanted, "_tkey").where(F.col("_doc").eqNullSafe(F.col("_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -120,7 +122,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 [pa.array([n.as_py() for n, _ in found], pa.int64()), pa.array([h for _, h in found], pa.list_(pa.int64()))],
                 names=["node", "set"])
 
-    return texts.select("node", "digest", "_text").mapInArrow(run, "node long, set array<long>").dropDuplicates(["node"])
+    return texts.select("node", "digest", "_text").mapInArrow(run, "node long, set array<long>")
 
 
 def similar_size(a: Column, b: Column, percent: int) -> Column:
@@ -132,6 +134,13 @@ def enough(overlap: Column, a: Column, b: Column, percent: int) -> Column:
     return overlap * (100 + percent) >= (a + b) * percent
 
 
+def may_link(x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of sizes n can be similar if the hash at their positions pos is the first that they share: no more
+    than the rest of the smaller side can then be equal. A pair that links passes at the first hash it shares."""
+    most = F.least(x["n"] - x["pos"], y["n"] - y["pos"])
+    return similar_size(x["n"], y["n"], percent) & enough(most, x["n"], y["n"], percent)
+
+
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b, linked) of the pairs (a, b), by their whole sets."""
     both = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -139,7 +148,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, pe
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
     full = left.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
     return full.select("a", "b", enough(F.size(F.array_intersect("sa", "sb")).cast("long"), F.size("sa").cast("long"),
-                                        F.size("sb").cast("long"), percent).alias("linked"))
+                                        F.size("sb").cast("long"), percent).alias("linked")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -170,11 +179,11 @@ def join_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     """Rows (doc_id, n, digest) and classes (digest, component): the smallest doc_id of the component of each set."""
     rows = staged(prefixes(docs, width, percent), "prefixes")
     nodes = staged(rows.where("n > 0").groupBy("digest", "n").agg(
-        F.min("doc_id").alias("rep"), F.min("_tkey").alias("_tkey"), F.first("prefix").alias("prefix")
+        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "_tkey")).alias("source"), F.first("prefix").alias("prefix")
     ).withColumn("node", F.monotonically_increasing_id()), "nodes")
     posts = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = posts.groupBy("token").count().where("count > 1").select("token")
-    posts = staged(posts.join(shared, "token"), "posts")
+    posts = staged(posts.join(shared, "token", "left_semi"), "posts")
 
     # Groups: equal prefix and size. Only heads meet the hubs.
     grouped = nodes.join(posts.select("node").distinct(), "node", "left_semi")
@@ -186,11 +195,11 @@ def join_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     links = tested = None
     root = posts.select("node").distinct().withColumn("root", F.col("node")).limit(0)
     for turn in range(ROUNDS):
-        at = head_posts.join(root, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
-        hubs = at.groupBy("token").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("hub"),
+        at = head_posts.join(root, "node", "left").select("token", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+        hubs = at.groupBy("token").agg(F.min_by(F.struct("node", "n", "pos", "root"), F.xxhash64("node", F.lit(turn))).alias("hub"),
                                        F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token", "hub")
-        pairs = at.join(hubs, "token").where((F.col("root") != F.col("hub.root")) & similar_size(
-            F.col("n"), F.col("hub.n"), percent)).select(*pair("node", "hub.node"))
+        pairs = at.join(hubs, "token").where((F.col("root") != F.col("hub.root")) & may_link(
+            F.struct("n", "pos"), F.col("hub"), percent)).select(*pair("node", "hub.node"))
         if turn == 0:
             pairs = pairs.union(members.select(*pair("node", "head")))
         pairs = pairs.distinct()
@@ -207,14 +216,8 @@ def join_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     live = at.join(mixed.select("token", "major"), "token")
     x = live.where("root != major").select("token", F.struct("node", "n", "pos", "root").alias("x"))
     y = live.select("token", F.struct("node", "n", "pos", "root").alias("y"))
-    met = x.join(y, "token").where((F.col("x.root") != F.col("y.root")) & similar_size(F.col("x.n"), F.col("y.n"), percent))
-    met = met.select("token", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct()
-    bounded = met.groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).agg(
-        F.count("*").alias("c"), F.max("p.pos").alias("i"), F.max("q.pos").alias("j"), F.max("p.n").alias("m"),
-        F.max("q.n").alias("n"))
-    # Up to the last shared prefix hash both sets hold c equal ones; beyond it at most the rest of the smaller.
-    most = F.col("c") + F.least(F.col("m") - F.col("i") - 1, F.col("n") - F.col("j") - 1)
-    rest = bounded.where(enough(most, F.col("m"), F.col("n"), percent)).select("a", "b")
+    rest = x.join(y, "token").where((F.col("x.root") != F.col("y.root")) & may_link(F.col("x"), F.col("y"), percent)).select(
+        *pair("x.node", "y.node")).distinct()
     rest = staged(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     links = tested.union(staged(verified(docs, nodes, rest, width, percent), "verified")).where("linked").select("a", "b")
     root = components(links)
