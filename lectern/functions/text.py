@@ -63,7 +63,8 @@ def _nfkc_udf(s: pd.Series) -> pd.Series:
 
 def nfkc(col: Column | str) -> Column:
     """Unicode NFKC normalisation; NULL stays NULL."""
-    return _nfkc_udf(_c(col))
+    value = _c(col)  # ASCII text is in NFKC already and stays in the JVM
+    return F.coalesce(_nfkc_udf(F.when(value.rlike(r"[^\x00-\x7F]"), value)), value)
 
 
 def clean_title(col: Column | str, normalize: bool = True) -> Column:

@@ -153,7 +153,13 @@ def mini_batch_id(df: DataFrame, batch_size: int, order_cols: Sequence, out_col:
 
 def _batch_losses(df: DataFrame, batch_size: int, y: str, pred: str | None, probs: str, key_col: str) -> DataFrame:
     ok = (F.col(y) == F.col(pred)).cast("bigint") if pred else F.lit(0).cast("bigint")
-    rows = df.select(key_col, (-F.log(pick(probs, y))).alias("_loss"), ok.alias("_ok"))
+    if "z" in df.columns:  # cross-entropy from the scores: log-sum-exp(z) - z[y], exact where a probability rounds to 0
+        top = F.array_max("z")
+        total = F.aggregate("z", F.lit(0.0), lambda s, x: s + F.exp(x - top))
+        loss = top + F.log(total) - pick("z", y)
+    else:  # probabilities only: an exact 0 counts as the smallest normal double, so no row drops out
+        loss = -F.log(F.greatest(pick(probs, y), F.lit(2.2250738585072014e-308)))
+    rows = df.select(key_col, loss.alias("_loss"), ok.alias("_ok"))
     batched = mini_batch_id(rows, batch_size, [F.col(key_col).asc()])
     return batched.groupBy("batch").agg(F.avg("_loss").alias("_bl"), F.sum("_loss").alias("_s"),
                                         F.count(F.lit(1)).alias("_n"), F.sum("_ok").alias("_ok"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.sources.sinks import write_counted
 from lectern.labels import REPORT_CONFIG_ROWS
 
 HISTORY_KEYS = ["train_loss", "train_acc", "val_loss", "val_acc"]
@@ -92,5 +93,4 @@ def report_config_rows(runs: DataFrame, params: DataFrame) -> DataFrame:
 
 def metrics_append(history: DataFrame, path: str) -> int:
     """Append per-epoch rows to the long metric table; returns rows written."""
-    history.select("run", "step", "key", "value").write.mode("append").parquet(path)
-    return history.count()
+    return write_counted(history.select("run", "step", "key", "value"), lambda o: o.write.mode("append").parquet(path))

@@ -42,6 +42,6 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
     if n <= max_broadcast_rows:
         return facts.join(F.broadcast(dim), key, how)
     src = F.col(salt_source) if salt_source else F.xxhash64(*[F.col(c) for c in facts.columns])
-    f = facts.withColumn("_salt", F.pmod(src, F.lit(salts)))
+    f = facts.withColumn("_salt", F.pmod(F.xxhash64(src), F.lit(salts)))
     d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return f.join(d, [key, "_salt"], how).drop("_salt")

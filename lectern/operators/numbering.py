@@ -2,21 +2,14 @@
 
 ``row_number() over (partition by g order by k)`` sends each group to one
 task, so a class holding a third of the rows would be sorted by a single
-core. Two exact replacements:
-
-* ``hashed_rank`` - the order key is an md5 hex digest, which is uniform.
-  Its first hex digits cut every group into up to 16**d buckets. Rows are
-  counted per (group, bucket) (a small table), the counts of earlier buckets
-  give each bucket's offset, and ``row_number`` runs per (group, bucket).
-  Deterministic, no sampling, no intermediate write.
-
-* ``exact_row_number`` - any order. Rows are range-partitioned on
-  (group, order), sorted and numbered inside each partition, then written
-  once to the shared checkpoint folder (so numbers and offsets describe the
-  same rows even after an executor loss). The per-(partition, group) counts
-  give the offsets.
-
-Offsets tables hold at most groups x buckets (or partitions) rows; they are
+core. ``exact_row_number`` replaces it at every size: rows are
+range-partitioned on (group, order), sorted and numbered inside each
+partition, then written once to the shared checkpoint folder (so numbers and
+offsets describe the same rows even after an executor loss). The
+per-(partition, group) counts give the offsets. ``hashed_rank`` is the same
+for an order by a digest.
+
+Offsets tables hold at most groups + partitions rows; they are
 joined as broadcast local relations under a row bound, and as a shuffle
 join beyond it.
 """
@@ -28,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.sizing import collect_bounded, default_partitions, local_or_broadcast, stable_table
+from lectern.operators.sizing import local_or_broadcast, stable_table
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -39,45 +32,15 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], pref
     return cond
 
 
-# A (group, digest bucket) window task may hold at most this many rows. Equal
-# digests (duplicate titles) all fall in one bucket, so a hot value can
-# exceed it; the rank then comes from the range-partitioned numbering,
-# whose unique tie-break cuts even one repeated value across tasks.
-HOT_BUCKET_ROWS = 1_000_000
-
-
 def hashed_rank(df: DataFrame, group_cols: Sequence[str], digest: Column, tiebreak: Sequence[Column],
-                out_col: str = "rn", digits: int = 3) -> DataFrame:
+                out_col: str = "rn") -> DataFrame:
     """1-based rank by (digest, tiebreak...) within each group, NULL digests first.
 
-    ``digest`` must be a lowercase hex string (md5); ``tiebreak`` makes the
-    order total (ascending columns).
+    ``tiebreak`` makes the order total (ascending columns), so even one digest shared by many rows is cut over tasks.
     """
-    work = df.withColumn("_dg", digest).withColumn(
-        "_bk", F.coalesce(F.conv(F.substring("_dg", 1, digits), 16, 10).cast("int"), F.lit(-1)))
-    counts = work.groupBy(*group_cols, "_bk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*group_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], F.col("_bk").alias("_ob"), "_n",
-                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    rows = collect_bounded(offsets)
-    if rows is None or max((r["_n"] for r in rows), default=0) > HOT_BUCKET_ROWS:
-        ranked = exact_row_number(df.withColumn("_dg", digest), group_cols,
-                                  [F.col("_dg").asc_nulls_first(), *tiebreak], out_col)
-        return ranked.select(*[F.col(c) for c in df.columns], out_col)
-    offsets = F.broadcast(df.sparkSession.createDataFrame(rows, offsets.schema)).drop("_n")
-    cond = _null_safe_join(work, offsets, group_cols, "_g_") if group_cols else None
-    cond = (work["_bk"] == offsets["_ob"]) if cond is None else cond & (work["_bk"] == offsets["_ob"])
-    j = work.join(offsets, cond, "inner")
-    local = Window.partitionBy(*[work[c] for c in group_cols], work["_bk"]).orderBy(
-        F.col("_dg").asc_nulls_first(), *tiebreak)
-    rn = (F.col("_off") + F.row_number().over(local)).cast("bigint")
-    return j.select(*[work[c] for c in df.columns], rn.alias(out_col))
-
-
-# Inputs of at most this many rows (counted, a checked bound) are numbered by
-# the plain window: all of them fit one task, and the order is total, so a
-# recomputation gives the same numbers. Larger inputs take the range path.
-SINGLE_TASK_ROWS = 1_000_000
+    ranked = exact_row_number(df.withColumn("_dg", digest), group_cols,
+                              [F.col("_dg").asc_nulls_first(), *tiebreak], out_col)
+    return ranked.select(*[F.col(c) for c in df.columns], out_col)
 
 
 def exact_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],
@@ -87,13 +50,10 @@ def exact_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: S
     ``order_cols`` must be ascending sort expressions (``F.col(x).asc_nulls_first()``
     etc.) that make the order total (end with a unique key).
     """
-    if df.limit(SINGLE_TASK_ROWS + 1).count() <= SINGLE_TASK_ROWS:
-        w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-        return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
-    n = num_partitions or default_partitions(df)
     part = [F.col(c).asc_nulls_first() for c in partition_cols]
     ranged = (
-        df.repartitionByRange(n, *part, *order_cols)
+        (df.repartitionByRange(num_partitions, *part, *order_cols) if num_partitions
+         else df.repartitionByRange(*part, *order_cols))
         .sortWithinPartitions(*part, *order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_li", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))

@@ -58,22 +58,20 @@ def split_counts(df: DataFrame, class_col: str = "category") -> DataFrame:
     return df.groupBy("split", class_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def split_integrity(df: DataFrame, key_col: str = "doc_id") -> DataFrame:
-    """One row of counts: rows per split, keys in two splits, keys in none.
+def split_integrity(df: DataFrame, source: DataFrame, key_col: str = "doc_id") -> DataFrame:
+    """One row of counts that compares the split frame with its input.
 
-    Splits are disjoint when every overlap is 0 and complete when
-    ``missing_rows`` is 0 and the split rows add up to ``input_rows``.
-    One keyed aggregate (map-side combined) then one global aggregate.
+    Splits are disjoint when every overlap is 0 and complete when ``missing_rows`` (input rows in no split) and
+    ``extra_rows`` (split rows beyond the input's) are 0. Two keyed aggregates (map-side combined) and one full join.
     """
     s = F.col("split")
-    per_key = df.groupBy(key_col).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(s == "train").alias("_tr"),
-        F.count_if(s == "val").alias("_va"),
-        F.count_if(s == "test").alias("_te"),
-    )
+    per_key = df.groupBy(F.col(key_col).alias("_k")).agg(
+        F.count_if(s == "train").alias("_tr"), F.count_if(s == "val").alias("_va"), F.count_if(s == "test").alias("_te"))
+    given = source.groupBy(F.col(key_col).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    both = given.join(per_key, given["_g"].eqNullSafe(per_key["_k"]), "full").na.fill(0, ["_n", "_tr", "_va", "_te"])
     tr, va, te = F.col("_tr") > 0, F.col("_va") > 0, F.col("_te") > 0
-    return per_key.agg(
+    placed = F.col("_tr") + F.col("_va") + F.col("_te")
+    return both.agg(
         F.sum("_n").alias("input_rows"),
         F.sum("_tr").alias("train_rows"),
         F.sum("_va").alias("val_rows"),
@@ -81,7 +79,8 @@ def split_integrity(df: DataFrame, key_col: str = "doc_id") -> DataFrame:
         F.count_if(tr & va).alias("overlap_train_val"),
         F.count_if(tr & te).alias("overlap_train_test"),
         F.count_if(va & te).alias("overlap_val_test"),
-        F.sum(F.col("_n") - F.col("_tr") - F.col("_va") - F.col("_te")).alias("missing_rows"),
+        F.sum(F.greatest(F.col("_n") - placed, F.lit(0))).alias("missing_rows"),
+        F.sum(F.greatest(placed - F.col("_n"), F.lit(0))).alias("extra_rows"),
     )
 
 

@@ -50,13 +50,13 @@ def q_join_vocab(spark, sf):
 
 
 @register("encode_truncate_pad", with_(VOCAB) + """,
-fr AS (SELECT doc_id, len(ids) AS n, list_concat([2], ids[1:14], [3]) AS body FROM idl)
-SELECT doc_id, CAST(n AS BIGINT) AS n_tokens, array_to_string(list_resize(body, 16, 0), ',') AS input_ids,
+fr AS (SELECT doc_id, len(ids) AS n, list_concat([2], ids[1:510], [3]) AS body FROM idl)
+SELECT doc_id, CAST(n AS BIGINT) AS n_tokens, md5(array_to_string(list_resize(body, 512, 0), ',')) AS ids_md5,
        CAST(len(body) AS BIGINT) AS mask_sum FROM fr""")
 def q_encode_truncate_pad(spark, sf):
-    e = encode.encode_truncate_pad(docs_tokens(spark, sf), train_vocab(spark, sf), max_length=16)
+    e = encode.encode_truncate_pad(docs_tokens(spark, sf), train_vocab(spark, sf), max_length=512)
     return e.select("doc_id", F.col("n_tokens").cast("bigint").alias("n_tokens"),
-                    ids_text("input_ids").alias("input_ids"),
+                    F.md5(ids_text("input_ids")).alias("ids_md5"),
                     F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("mask_sum"))
 
 

@@ -111,7 +111,7 @@ def _scratch(spark, name):
 def q_train_mllib(spark, sf):
     """Objective (loss) per iteration of the logistic regression, as a history table."""
     s = split_docs(spark, sf)
-    model = mllib_model.train_mllib(filter_split(s, "train"), LANG_CLASSES, max_iter=20)
+    model = mllib_model.train_mllib(filter_split(s, "train"), LANG_CLASSES)
     hist = mllib_model.objective_history(model)
     # a bounded list (one value per iteration) returned as rows
     return spark.createDataFrame(list(enumerate(hist)), "iteration int, loss double")
@@ -120,7 +120,7 @@ def q_train_mllib(spark, sf):
 @register("score_mllib")
 def q_score_mllib(spark, sf):
     s = split_docs(spark, sf)
-    model = mllib_model.train_mllib(filter_split(s, "train"), LANG_CLASSES, max_iter=20)
+    model = mllib_model.train_mllib(filter_split(s, "train"), LANG_CLASSES)
     out = mllib_model.score_mllib(model, filter_split(s, "test"), LANG_CLASSES, keep=["category"])
     return out.select("doc_id", F.col("category").alias("true_label"), "predicted_label",
                       F.round("confidence", 6).alias("confidence"))
@@ -136,7 +136,7 @@ def q_model_roundtrip(spark, sf):
     naive_bayes.train_nb(train, LANG_CLASSES).save(path)
     nb = naive_bayes.NaiveBayesModel.load(spark, path)
     mpath = _scratch(spark, "mllib")
-    mllib_model.save_model(mllib_model.train_mllib(train, LANG_CLASSES, max_iter=10), mpath)
+    mllib_model.save_model(mllib_model.train_mllib(train, LANG_CLASSES), mpath)
     ml = mllib_model.load_model(mpath)
     a = naive_bayes.score_nb(nb, test).select("doc_id", F.col("predicted_label").alias("nb_label"))
     b = mllib_model.score_mllib(ml, test, LANG_CLASSES).select("doc_id", F.col("predicted_label").alias("mllib_label"))

@@ -57,16 +57,22 @@ def q_filter_split(spark, sf):
     return splits.filter_split(split_articles(spark, sf), "val")
 
 
-@register("split_integrity", with_(RANKED) + """
-SELECT CAST(count(*) AS BIGINT) AS input_rows,
-       CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS train_rows,
-       CAST(count(*) FILTER (WHERE split = 'val') AS BIGINT) AS val_rows,
-       CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS test_rows,
-       CAST(0 AS BIGINT) AS overlap_train_val, CAST(0 AS BIGINT) AS overlap_train_test,
-       CAST(0 AS BIGINT) AS overlap_val_test, CAST(0 AS BIGINT) AS missing_rows
-FROM splitted""")
+@register("split_integrity", with_(RANKED) + """,
+given AS (SELECT doc_id AS g, count(*) AS n FROM docs_articles WHERE title IS NOT NULL AND body IS NOT NULL
+          AND category IS NOT NULL GROUP BY 1),
+per AS (SELECT doc_id AS k, count(*) FILTER (WHERE split = 'train') AS tr, count(*) FILTER (WHERE split = 'val') AS va,
+               count(*) FILTER (WHERE split = 'test') AS te FROM splitted GROUP BY 1),
+j AS (SELECT coalesce(n, 0) AS n, coalesce(tr, 0) AS tr, coalesce(va, 0) AS va, coalesce(te, 0) AS te
+      FROM given FULL JOIN per ON g = k)
+SELECT CAST(sum(n) AS BIGINT) AS input_rows, CAST(sum(tr) AS BIGINT) AS train_rows, CAST(sum(va) AS BIGINT) AS val_rows,
+       CAST(sum(te) AS BIGINT) AS test_rows, count(*) FILTER (WHERE tr > 0 AND va > 0) AS overlap_train_val,
+       count(*) FILTER (WHERE tr > 0 AND te > 0) AS overlap_train_test,
+       count(*) FILTER (WHERE va > 0 AND te > 0) AS overlap_val_test,
+       CAST(sum(greatest(n - tr - va - te, 0)) AS BIGINT) AS missing_rows,
+       CAST(sum(greatest(tr + va + te - n, 0)) AS BIGINT) AS extra_rows
+FROM j""")
 def q_split_integrity(spark, sf):
-    return splits.split_integrity(split_articles(spark, sf))
+    return splits.split_integrity(split_articles(spark, sf), articles(spark, sf))
 
 
 DAY_SQL = with_(DOCS) + """,

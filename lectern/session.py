@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Defaults sized for local tests; a cluster passes its own settings through
-# spark-defaults or the builder and they win over these.
+# Defaults for local masters only: on a cluster the settings of spark-defaults hold.
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.shuffle.partitions": "8",
@@ -25,7 +25,8 @@ def get_session(master: str | None = None, app_name: str = "lectern",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**_LOCAL_DEFAULTS, **(conf or {})}.items():
+    defaults = _LOCAL_DEFAULTS if (master or "").startswith("local") else {}
+    for key, value in {**defaults, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,14 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.match(r"local(\[[^\]]*\])?$", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="lectern-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    suffix = next(tempfile._get_candidate_names())  # noqa: SLF001 - random name only
-    return os.path.join(base, "tables", f"{name}-{suffix}")

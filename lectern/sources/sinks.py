@@ -59,7 +59,7 @@ def _conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _write_counted(out: DataFrame, write) -> int:
+def write_counted(out: DataFrame, write) -> int:
     """Run ``write(observed_frame)`` and return the rows it wrote.
 
     The count is an observed metric of the write job itself, so the input
@@ -77,7 +77,7 @@ def sink_append(df: DataFrame, path: str, schema: StructType) -> int:
     A row that cannot be cast to the schema fails the write (ANSI casts).
     """
     out = _conform(df, schema)
-    return _write_counted(out, lambda o: o.write.mode("append").parquet(path))
+    return write_counted(out, lambda o: o.write.mode("append").parquet(path))
 
 
 def sink_date_partitioned(df: DataFrame, path: str, schema: StructType,
@@ -85,7 +85,7 @@ def sink_date_partitioned(df: DataFrame, path: str, schema: StructType,
     """Write partitioned by date; a rerun replaces only the partitions it
     writes (dynamic overwrite), so the same date and day never duplicate."""
     out = _conform(df, schema)
-    return _write_counted(out, lambda o: o.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return write_counted(out, lambda o: o.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                           .partitionBy(*partition_cols).parquet(path))
 
 

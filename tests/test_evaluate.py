@@ -113,7 +113,6 @@ def test_box_counts_path_equals_row_path(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "DISTINCT_VALUES_BOUND", 0)
     by_rows = sorted(box_stats(df, ["g"], "v").collect(), key=str)
     assert by_counts == by_rows
-    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
     by_rows = sorted(box_stats(df, ["g"], "v").collect(), key=str)
     assert by_counts == by_rows and len(by_counts) == 3
 

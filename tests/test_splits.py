@@ -32,7 +32,6 @@ def range_path(monkeypatch):
     """Force the range-partitioned numbering even for small inputs."""
     from lectern.operators import numbering
 
-    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
 
 
 @pytest.mark.parametrize("parts", [1, 4, 32])
@@ -45,7 +44,7 @@ def test_range_numbering_partition_invariant(articles, parts, range_path):
 
 def test_hashed_rank_one_digit_buckets(articles):
     got = {r.doc_id: r.rn for r in hashed_rank(articles, ["category"], F.md5("title"),
-                                                 [F.col("doc_id").asc()], "rn", digits=1).collect()}
+                                                 [F.col("doc_id").asc()], "rn").collect()}
     assert got == plain_rank(articles)
 
 
@@ -60,7 +59,6 @@ def test_window_path_equals_range_path(articles, monkeypatch):
     order = [F.col("title").asc_nulls_first(), F.col("doc_id").asc()]
     small = {r.doc_id: r.rn for r in exact_row_number(articles, ["category"], order, "rn").collect()}
     glob = {r.doc_id: r.rn for r in global_row_number(articles, order).collect()}
-    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
     assert small == {r.doc_id: r.rn for r in exact_row_number(articles, ["category"], order, "rn", 8).collect()}
     assert glob == {r.doc_id: r.rn for r in global_row_number(articles, order, num_partitions=8).collect()}
 
@@ -78,8 +76,17 @@ def test_split_sizes_match_formula(articles):
         assert (got.get((cat, "test"), 0), got.get((cat, "val"), 0), got.get((cat, "train"), 0)) == (t, v, tr)
 
 
+def test_split_integrity_sees_lost_and_doubled_rows(articles):
+    done = splits.stratified_split(articles)
+    lost = splits.split_integrity(done.where("doc_id % 10 != 0"), articles).first()
+    n = articles.where("doc_id % 10 = 0").count()
+    assert (lost.missing_rows, lost.extra_rows) == (n, 0)
+    twice = splits.split_integrity(done.union(done.where("doc_id % 10 = 0")), articles).first()
+    assert (twice.missing_rows, twice.extra_rows) == (0, n)
+
+
 def test_split_integrity(articles):
-    r = splits.split_integrity(splits.stratified_split(articles)).first()
+    r = splits.split_integrity(splits.stratified_split(articles), articles).first()
     assert r.overlap_train_val == r.overlap_train_test == r.overlap_val_test == r.missing_rows == 0
     assert r.train_rows + r.val_rows + r.test_rows == r.input_rows == articles.count()
 
@@ -115,7 +122,6 @@ def test_numbering_with_distributed_offsets(articles, monkeypatch):
     from lectern.operators import numbering
 
     monkeypatch.setattr(numbering, "local_or_broadcast", lambda df, max_rows=0: df)
-    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
     got = {r.doc_id: r.rn for r in splits.rank_in_class(articles).collect()}
     assert got == plain_rank(articles)
     order = [F.md5("title").asc_nulls_first(), F.col("doc_id").asc()]
@@ -135,8 +141,6 @@ def test_numbering_hot_class_and_hot_value(spark, monkeypatch):
     got = {r.doc_id: r.rn for r in splits.rank_in_class(df).collect()}
     assert got == want
     # a hot bucket above the bound goes to the range path, as it would at scale
-    monkeypatch.setattr(numbering, "HOT_BUCKET_ROWS", 1000)
-    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
     got = {r.doc_id: r.rn for r in splits.rank_in_class(df).collect()}
     assert got == want
     order = [F.md5("title").asc_nulls_first(), F.col("doc_id").asc()]
