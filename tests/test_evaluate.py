@@ -156,3 +156,14 @@ def test_config_rows_fall_back(spark):
     assert len(rows) == 9
     assert {r.parameter: r.value for r in rows}["Epochs"] == "2"
     assert {r.parameter: r.value for r in rows}["Batch size"] == "8"
+
+
+def test_loss_keeps_confident_errors(spark):
+    from lectern.operators import evaluate as ev
+
+    rows = [(0, [800.0, 0.0], [1.0, 0.0], 1), (1, [0.0, 0.0], [0.5, 0.5], 0), (2, [0.0, 0.0], [0.5, 0.5], 1)]
+    df = spark.createDataFrame(rows, "doc_id long, z array<double>, probs array<double>, y long")
+    r = ev.log_loss_batched(df, 2).first()
+    assert r.n_rows == 3 and abs(r.loss_rows - (800 + 2 * 0.693147) / 3) < 1e-5
+    r = ev.log_loss_batched(df.drop("z"), 2).first()
+    assert r.loss_rows > 200

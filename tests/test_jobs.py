@@ -109,3 +109,17 @@ def test_stream_appends_each_file_once(spark, docs, model, tmp_path):
     stream_score_append(spark, src, d.schema, model, sink, ck)
     out = spark.read.parquet(sink)
     assert out.count() == d.count() == out.select("doc_id").distinct().count()
+
+
+def test_stream_with_another_checkpoint_adds(spark, docs, model, tmp_path):
+    from lectern.streaming.score_append import stream_score_append
+
+    d = docs.where("body IS NOT NULL")
+    sink, n = str(tmp_path / "sink"), 0
+    for name, part in (("a", "doc_id % 2 = 0"), ("b", "doc_id % 2 = 1")):
+        src = str(tmp_path / name)
+        d.where(part).write.parquet(src)
+        stream_score_append(spark, src, d.schema, model, sink, str(tmp_path / f"ck-{name}"))
+        n += d.where(part).count()
+    out = spark.read.parquet(sink)
+    assert out.count() == n == d.count() == out.select("doc_id").distinct().count()
