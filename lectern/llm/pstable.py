@@ -6,8 +6,10 @@ A query visits its own bucket and then perturbed ones, one projection's cell up
 their estimated success: the sum of squared distances to the cell borders that must be crossed. Candidates of all
 tables are ranked by their exact inner product in double precision on the original vectors.
 
-Equal vectors are one entry with its ``top + 1`` smallest ids, which is all that any query can return. A bucket of more than
-``BLOCK`` rows is cut into blocks that are searched apart; each block gives a query its best rows only.
+Equal vectors are one entry with its ``top + 1`` smallest ids, which is all that any query can return. The index is cut
+into blocks of about ``BLOCK`` entries, each entry in one block with its bucket of every table; blocks of queries, with the
+buckets that they visit, meet each block of the index. So a vector is stored once and not once a table, a bucket of any size is
+spread over blocks, and a task holds one pair of blocks. Each block gives a query its best rows only.
 
 The scale of the cells is the greatest length of all vectors; every vector is indexed. Recall against brute
 force is measured in the tests and stated in the README.
@@ -20,19 +22,21 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import math
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import FloatType
 
 from lectern.llm.common import staged
 
 TABLES = 10
 HASHES = 4       # projections of a table
 PROBES = 44      # perturbed buckets that a query visits in each table, besides its own
-BLOCK = 1024     # rows of a bucket that are searched together
+BLOCK = 8192     # entries of the index, and queries, that a task holds together
+CHUNK = 128      # queries of a block that are ranked at once
 WIDTH = 1.0      # cell width, in standard deviations of a projection
 SEED = 7
 
@@ -47,68 +51,63 @@ def projections(dim: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.standard_normal((TABLES, hashes, dim + 1)), rng.random((TABLES, hashes))
 
 
-def perturbations(offset: np.ndarray, probes: int) -> list[tuple[tuple[int, int], ...]]:
-    """Sets of (projection, step) in order of estimated success; ``offset`` is the place inside the cell, 0 to 1."""
-    k = len(offset)
-    single = sorted([(offset[i] ** 2, ((i, -1),)) for i in range(k)] + [((1 - offset[i]) ** 2, ((i, 1),)) for i in range(k)])
-    near = single[:min(len(single), 2 * math.isqrt(probes) + 4)]
-    double = [(a + c, p + q) for x, (a, p) in enumerate(near) for c, q in near[x + 1:] if p[0][0] != q[0][0]]
-    triple = [(a + c, p + q) for a, p in double[:4 * probes] for c, q in near[:6]
-              if all(q[0][0] != z[0] for z in p) and q[0] > p[-1]]
-    return [p for _, p in sorted(single + double + triple)[:probes]]
+def perturbations(hashes: int) -> np.ndarray:
+    """All perturbations of a bucket: rows of steps -1, 0, 1, with one to three cells changed."""
+    single = [(i, by) for i in range(hashes) for by in (-1, 1)]
+    sets = [c for n in (1, 2, 3) for c in itertools.combinations(single, n) if len({i for i, _ in c}) == n]
+    steps = np.zeros((len(sets), hashes), np.int64)
+    for row, c in zip(steps, sets):
+        for i, by in c:
+            row[i] = by
+    return steps
+
+
+def visited(place: np.ndarray, probes: int) -> np.ndarray:
+    """Cells that queries visit, by (query, table, probe, projection): the own one, then others in order of estimated
+    success."""
+    cell = np.floor(place).astype(np.int64)
+    offset, steps = place - cell, perturbations(place.shape[-1])
+    cost = offset ** 2 @ (steps < 0).T.astype(float) + (1 - offset) ** 2 @ (steps > 0).T.astype(float)
+    order = np.argsort(cost, axis=-1, kind="stable")[..., :probes]
+    return np.concatenate([cell[:, :, None, :], cell[:, :, None, :] + steps[order]], axis=2)
 
 
 def keys(cells: np.ndarray) -> np.ndarray:
-    """64-bit bucket keys of rows of cell numbers."""
+    """32-bit bucket keys of rows of cell numbers; buckets that share a key only add candidates."""
     out = np.full(cells.shape[:-1], 0x9E3779B97F4A7C15, np.uint64)
     for i in range(cells.shape[-1]):
         out = (out ^ cells[..., i].astype(np.int64).view(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
         out ^= out >> np.uint64(29)
-    return out.view(np.int64)
+    return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def hashed(df: DataFrame, dim: int, longest: float, hashes: int, probes: int) -> DataFrame:
-    """(…, table, bucket) rows of each vector: its own bucket, and ``probes`` perturbed ones for queries."""
+    """The rows with ``buckets``: of each table the own bucket, for queries followed by ``probes`` perturbed ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = projections(dim, hashes)
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(
+                (x.slice(i, 1024) for i in range(0, x.num_rows, 1024)) for x in batches):
             n = batch.num_rows
-            if not n:
-                continue
             x = np.array(batch.column("vec").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, dim)
             if probes:  # a query lies in the plane of the data, at full length
                 x = np.column_stack([x * (longest / np.linalg.norm(x, axis=1))[:, None], np.zeros(n)])
             else:
                 x = np.column_stack([x, np.sqrt(np.maximum(longest ** 2 - (x * x).sum(axis=1), 0))])
-            place = np.einsum("nd,tkd->ntk", x, a) / (longest * WIDTH) + b
-            cell = np.floor(place).astype(np.int64)
-            row, table, bucket = [], [], []
-            own = keys(cell)
-            for t in range(TABLES):
-                row.append(np.arange(n)), table.append(np.full(n, t)), bucket.append(own[:, t])
-                for i in range(n if probes else 0):
-                    moved = np.repeat(cell[i, t][None, :], probes, axis=0)
-                    steps = perturbations(place[i, t] - cell[i, t], probes)
-                    for j, step in enumerate(steps):
-                        for at, by in step:
-                            moved[j, at] += by
-                    row.append(np.full(len(steps), i)), table.append(np.full(len(steps), t))
-                    bucket.append(keys(moved[:len(steps)]))
-            take = pa.array(np.concatenate(row))
-            yield pa.RecordBatch.from_arrays(
-                [c.take(take) for c in batch.columns] + [pa.array(np.concatenate(table).astype(np.int32)),
-                                                         pa.array(np.concatenate(bucket))],
-                names=[*batch.schema.names, "table", "bucket"])
+            place = (x @ a.reshape(-1, dim + 1).T).reshape(n, TABLES, hashes) / (longest * WIDTH) + b
+            found = keys(visited(place, probes) if probes else np.floor(place).astype(np.int64)).reshape(n, -1)
+            buckets = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, buckets], names=[*batch.schema.names, "buckets"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{fields}, table int, bucket long")
+    return df.mapInArrow(run, f"{fields}, buckets array<int>")
 
 
 def nearest(vectors: DataFrame, top: int = 20, query_every: int = 20, hashes: int = HASHES, probes: int = PROBES) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``query_every`` its nearest rows."""
+    narrow = vectors.schema["embedding"].dataType.elementType == FloatType()  # single precision stays so until it is used
     rows = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(
-        "vec_id", F.col("embedding").cast("array<double>").alias("vec"))
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
+        "vec_id", (F.col("embedding") if narrow else F.col("embedding").cast("array<double>")).alias("vec"))
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     sizes = rows.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"), F.max(norm).alias("longest")).collect()
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -121,16 +120,20 @@ def nearest(vectors: DataFrame, top: int = 20, query_every: int = 20, hashes: in
     ids = rows.withColumn("r", F.row_number().over(by_vec)).where(F.col("r") <= top + 1)
     entries = staged(ids.groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn(
         "entry", F.monotonically_increasing_id()), "vectors")
-    index = staged(hashed(entries.select("entry", F.col("ids")[0].alias("first"), "vec"), dim, longest, hashes, 0), "index")
     asked = rows.where(F.col("vec_id") % query_every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(
         F.min("vec").alias("vec"))
-    probes = staged(hashed(asked, dim, longest, hashes, probes), "probes")
-    blocks = lots(index, "entry").groupBy("table", "bucket", "lot").agg(
-        F.collect_list(F.struct("entry", "first", "vec")).alias("entries")).drop("lot")
-    asking = lots(probes, "query_id").groupBy("table", "bucket", "lot").agg(
-        F.collect_list(F.struct("query_id", "vec")).alias("queries")).drop("lot")
-    met = asking.join(blocks, ["table", "bucket"]).select("queries", "entries")
-    best = met.mapInArrow(ranker(dim, top + 1), "query_id long, entry long, score double").distinct()
+    probing = staged(hashed(asked, dim, longest, hashes, probes), "probes")
+    n_index, n_queries = (max(1, -(-x.count() // BLOCK)) for x in (entries, probing))
+    # Every block of queries meets every block of the index, in a task of its own.
+    def dealt(df: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
+        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n))).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
+    index = hashed(entries.select("entry", F.col("ids")[0].alias("first"), "vec"), dim, longest, hashes, 0)
+    met = dealt(index, "entry", "i", n_index, "q", n_queries).groupBy("i", "q").cogroup(
+        dealt(probing, "query_id", "q", n_queries, "i", n_index).groupBy("i", "q"))
+    best = met.applyInArrow(ranker(dim, top + 1), "query_id long, entry long, first long, score double")
+    leading = Window.partitionBy("query_id").orderBy(F.desc("score"), "first", "entry")
+    best = best.withColumn("place", F.row_number().over(leading)).where(F.col("place") <= top + 1)
     found = best.join(entries.select("entry", "ids"), "entry").select("query_id", "score", F.explode("ids").alias("vec_id"))
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.where("query_id != vec_id").distinct().withColumn("rank", F.row_number().over(by_score)).where(
@@ -138,48 +141,38 @@ def nearest(vectors: DataFrame, top: int = 20, query_every: int = 20, hashes: in
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def lots(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of each bucket over lots of about ``BLOCK`` rows."""
-    sizes = df.groupBy("table", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("lots"))
-    return df.join(sizes, ["table", "bucket"]).withColumn("lot", F.pmod(F.xxhash64(key), F.col("lots")))
-
-
 def ranker(dim: int, top: int):
-    """Exact inner products of the queries and entries of each pair of lots; a task keeps each query's ``top``."""
-    def best(query, entry, first, score):
-        order = np.lexsort((entry, first, -score, query))
-        query, entry, first, score = (x[order] for x in (query, entry, first, score))
-        again = np.concatenate([[False], (query[1:] == query[:-1]) & (entry[1:] == entry[:-1])])
-        query, entry, first, score = (x[~again] for x in (query, entry, first, score))
-        start = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
-        place = np.arange(len(query)) - np.repeat(start, np.diff(np.concatenate([start, [len(query)]])))
-        return tuple(x[place < top] for x in (query, entry, first, score))
-
-    def matrix(structs):
-        return structs.field("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, kept = [], 0, 0
-        for batch in batches:
-            for queries, entries in zip(batch.column("queries"), batch.column("entries")):
-                q, e = queries.values, entries.values
-                qid, eid, fid = (x.to_numpy(zero_copy_only=False) for x in (q.field("query_id"), e.field("entry"), e.field("first")))
-                s = matrix(q) @ matrix(e).T
-                if len(eid) > top:  # ties with the last one stay for the final order
-                    keep = s >= np.partition(s, len(eid) - top, axis=1)[:, len(eid) - top][:, None]
-                else:
-                    keep = np.ones_like(s, bool)
-                i, j = np.nonzero(keep)
-                held.append((qid[i], eid[j], fid[j], s[i, j]))
-                size += len(i)
-                if size > max(500_000, 2 * kept):
-                    held = [best(*map(np.concatenate, zip(*held)))]
-                    size = kept = len(held[0][0])
-                if kept > 2_000_000:  # many queries: pass on what is there
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][k]) for k in (0, 1, 3)], names=["query_id", "entry", "score"])
-                    held, size, kept = [], 0, 0
-        if held:
-            out = best(*map(np.concatenate, zip(*held)))
-            yield pa.RecordBatch.from_arrays([pa.array(out[k]) for k in (0, 1, 3)], names=["query_id", "entry", "score"])
+    """Of a block of the index and a block of queries, each query's ``top`` candidates by exact inner product, and those
+    that tie with the last one."""
+    def flat(table: pa.Table, name: str) -> np.ndarray:
+        column = table.column(name).combine_chunks()
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+    def run(index: pa.Table, queries: pa.Table) -> pa.Table:
+        n, out = index.num_rows, []
+        if n and queries.num_rows:
+            vec, asked = flat(index, "vec").astype(np.float64), flat(queries, "vec").astype(np.float64)
+            own = flat(index, "buckets")
+            visits = flat(queries, "buckets").reshape(queries.num_rows, TABLES, -1)
+            ids = [index.column(c).to_numpy() for c in ("entry", "first")]
+            tables = [np.unique(own[:, t], return_inverse=True) for t in range(TABLES)]
+            for start in range(0, len(asked), CHUNK):
+                part = visits[start:start + CHUNK]
+                candidate = np.zeros((len(part), n), bool)
+                for t, (buckets, member) in enumerate(tables):
+                    at = np.minimum(np.searchsorted(buckets, part[:, t]), len(buckets) - 1)
+                    query, probe = np.nonzero(buckets[at] == part[:, t])
+                    visit = np.zeros((len(part), len(buckets)), bool)
+                    visit[query, at[query, probe]] = True
+                    candidate |= visit[:, member]
+                score = np.where(candidate, asked[start:start + CHUNK] @ vec.T, -np.inf)
+                if n > top:
+                    candidate &= score >= np.partition(score, n - top, axis=1)[:, n - top][:, None]
+                q, e = np.nonzero(candidate)
+                out.append((q + start, e, score[q, e]))
+        q, e, score = map(np.concatenate, zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"query_id": queries.column("query_id").take(pa.array(q)) if out else pa.array([], pa.int64()),
+                         "entry": ids[0][e] if out else pa.array([], pa.int64()),
+                         "first": ids[1][e] if out else pa.array([], pa.int64()), "score": pa.array(score, pa.float64())})
 
     return run
