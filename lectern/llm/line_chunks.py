@@ -1,14 +1,17 @@
 """Line dedup by content-defined chunks, all in DataFrame functions.
 
 Lines are hashed; a rolling hash over two neighbouring line hashes decides where a chunk ends, so boundaries follow the
-content and survive a shift. A line of ``LONG`` words or more is a chunk by itself. Chunks are matched by their whole
-sequence of line hashes, counted over all documents; each repeat is compared with the first occurrence (least doc_id,
-then text hash, then line) and grown over neighbouring lines that agree with those of the first occurrence, up to
-``CONTEXT`` on each side. Grown repeats of several non-blank lines, or of a long line, are removed from all documents
-but the first. Before that the bytes of all lines involved are compared: a hash that stands for two different lines
-is left alone.
+content and survive a shift. A line of ``LONG`` words or more is a chunk by itself. So that no boundary hides a repeat,
+every line with words is also matched together with the next such line (and the blank lines between), whatever stands
+around them; a longer passage is found pair by pair, each against the first occurrence of that pair.
 
-The first occurrence of every line stays: a chunk that is no first occurrence holds only lines that occurred before.
+These units are matched by their whole sequence of line hashes, counted over all documents; each repeat is compared with
+the first occurrence (least doc_id, then text hash, then line) and grown over neighbouring blank lines that agree with
+those of the first occurrence, up to ``CONTEXT`` on each side (neighbours with words are in pairs of their own). Repeats
+of several non-blank lines, or of a long line, are removed from all places but the first. Before that the bytes of all
+lines involved are compared: a hash that stands for two different lines is left alone.
+
+The first occurrence of every line stays: a unit that is no first occurrence holds only lines that occurred before.
 
 Defined cases: null text stays null; a text without a removed line stays as it is, byte for byte; a text that loses
 all lines becomes empty, its row stays; rows with equal doc_id and text count as one document and share one fate;
@@ -35,8 +38,8 @@ def lines_of(text: Column) -> Column:
 
 
 def word_count(line: Column) -> Column:
-    """Words of a line, by its single spaces; 0 for a blank line."""
-    return F.when(F.trim(line) == "", F.lit(0)).otherwise(F.length(line) - F.length(F.translate(line, " ", "")) + 1)
+    """Words of a line, by its runs of white space; 0 for a blank line."""
+    return F.regexp_count(line, F.lit(r"[^\s\u0085\p{Z}]+"))
 
 
 def part(array: str, start: Column, size: Column) -> Column:
@@ -45,8 +48,9 @@ def part(array: str, start: Column, size: Column) -> Column:
                                         lambda i: F.element_at(array, i))).otherwise(F.array())
 
 
-def chunk_rows(docs: DataFrame) -> DataFrame:
-    """One row per chunk: (_id, _key, start, lines, words, solid, before, after); lines are hashes."""
+def unit_rows(docs: DataFrame) -> DataFrame:
+    """One row per unit: (_id, _key, start, lines, before, after); lines are hashes, before and after those of the blank
+    lines next to the unit, nearest first."""
     df = docs.where(F.col("text").isNotNull()).select(
         F.col("doc_id").alias("_id"), text_key(F.col("text")).alias("_key"), lines_of(F.col("text")).alias("l"))
     df = df.select("_id", "_key", F.transform("l", lambda x: F.xxhash64(x)).alias("h"),
@@ -67,20 +71,33 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
     bounds = F.zip_with("starts", F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array(size)),
                         lambda a, b: F.struct(a.alias("start"), b.alias("end")))
 
-    def chunk(c: Column) -> Column:
+    span = lambda a, b: F.struct(a.alias("start"), b.alias("end"))
+    # A chunk of two lines with words is a pair.
+    chunks = F.filter(bounds, lambda c: (c["end"] - c["start"] > 2) & (F.size(F.filter(
+        part("n", c["start"], c["end"] - c["start"]), lambda n: n > 0)) > 1))
+    full = F.filter(F.sequence(F.lit(0), size - 1), lambda i: F.element_at("n", i + 1) > 0)
+    df = df.select("_id", "_key", "h", "n", chunks.alias("chunks"), full.alias("full"))
+    ahead = F.greatest(F.size("full") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("full", F.lit(1), ahead), F.slice("full", F.lit(2), ahead), lambda a, b: span(a, b + 1))
+    wide = F.transform(F.filter("full", lambda i: F.element_at("n", i + 1) >= LONG), lambda i: span(i, i + 1))
+
+    def blank(start: Column, count: Column, turned: bool) -> Column:
+        """Hashes of the blank lines among ``count`` lines from ``start``, up to the nearest line with words."""
+        near = lambda array: F.reverse(part(array, start, count)) if turned else part(array, start, count)
+        stop = F.array_position(F.transform(near("n"), lambda n: n > 0), F.lit(True)).cast("int")
+        beside = F.element_at("n", F.least(F.greatest(start + count if turned else start + 1, F.lit(1)), size))
+        return F.when((count > 0) & (beside == 0), F.slice(near("h"), F.lit(1), F.when(stop == 0, count).otherwise(
+            stop - 1))).otherwise(F.array().cast("array<bigint>"))
+
+    def unit(c: Column) -> Column:
         start, end = c["start"], c["end"]
-        before = F.least(start, F.lit(CONTEXT))
-        after = F.least(size - end, F.lit(CONTEXT))
-        return F.struct(
-            start.alias("start"), part("h", start, end - start).alias("lines"), part("n", start, end - start).alias("n"),
-            F.reverse(part("h", start - before, before)).alias("before"),
-            F.reverse(part("n", start - before, before)).alias("before_n"),
-            part("h", end, after).alias("after"), part("n", end, after).alias("after_n"))
+        before, after = F.least(start, F.lit(CONTEXT)), F.least(size - end, F.lit(CONTEXT))
+        return F.struct(start.alias("start"), part("h", start, end - start).alias("lines"),
+                        blank(start - before, before, True).alias("before"), blank(end, after, False).alias("after"))
 
     # The outer form: for the inner one a filter on the size is inferred, which computes the whole chain once per line.
-    df = df.select("_id", "_key", F.explode_outer(F.transform(bounds, chunk)).alias("c")).select("_id", "_key", "c.*")
-    return df.select("*", F.aggregate("n", F.lit(0), lambda a, x: a + x).alias("words"),
-                     F.size(F.filter("n", lambda x: x > 0)).alias("solid")).drop("n")
+    df = df.select("_id", "_key", F.explode_outer(F.transform(F.concat("chunks", pairs, wide), unit)).alias("c"))
+    return df.where("c is not null").select("_id", "_key", "c.*")
 
 
 def agreeing(a: Column, b: Column) -> Column:
@@ -90,19 +107,17 @@ def agreeing(a: Column, b: Column) -> Column:
     return F.when(first == 0, F.size(same)).otherwise(first.cast("int") - 1)
 
 
-def repeats(chunks: DataFrame) -> DataFrame:
+def repeats(units: DataFrame) -> DataFrame:
     """(_id, _key, low, high, lines) of the repeats to be removed: line range and hashes."""
     place = F.struct("_id", "_key", "start")
-    firsts = chunks.groupBy("lines").agg(
+    firsts = units.groupBy("lines").agg(
         F.count("*").alias("copies"), F.min(F.struct("_id", "_key", "start", "before", "after")).alias("first")
     ).where("copies > 1").select("lines", "first")
-    again = chunks.join(firsts, "lines").where(~place.eqNullSafe(F.struct("first._id", "first._key", "first.start")))
+    again = units.join(firsts, "lines").where(~place.eqNullSafe(F.struct("first._id", "first._key", "first.start")))
     again = again.select("*", agreeing(F.col("before"), F.col("first.before")).alias("b"),
                          agreeing(F.col("after"), F.col("first.after")).alias("a"))
     grown = F.concat(F.reverse(F.slice("before", F.lit(1), F.col("b"))), "lines", F.slice("after", F.lit(1), F.col("a")))
-    full = lambda col, k: F.size(F.filter(F.slice(col, F.lit(1), F.col(k)), lambda x: x > 0))
-    solid = F.col("solid") + full("before_n", "b") + full("after_n", "a")
-    return again.where((solid > 1) | (F.col("words") >= LONG)).select(
+    return again.select(
         "_id", "_key", (F.col("start") - F.col("b")).alias("low"),
         (F.col("start") + F.size("lines") + F.col("a")).alias("high"), grown.alias("lines"))
 
@@ -119,7 +134,7 @@ def unsound_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def removals(docs: DataFrame) -> DataFrame:
     """(_id, _key, gone): the line numbers, from 0, that each document loses."""
-    found = staged(repeats(staged(chunk_rows(docs), "chunks")), "repeats")
+    found = staged(repeats(staged(unit_rows(docs), "units")), "repeats")
     unsound = unsound_lines(docs, found)
     each = found.select("_id", "_key", F.posexplode("lines").alias("at", "h"), "low").select(
         "_id", "_key", (F.col("low") + F.col("at")).alias("at"), "h")
@@ -127,7 +142,7 @@ def removals(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated chunks taken out of ``text``, plus n_removed (lines)."""
+    """``docs`` with repeated passages taken out of ``text``, plus n_removed (lines)."""
     gone = removals(docs)
     names = docs.columns
     wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))

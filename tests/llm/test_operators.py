@@ -232,6 +232,33 @@ def test_line_chunks_keep_first_occurrences(spark, sf_small):
     assert all(len(got[k]) <= len(t) for k, t in rows.items())
 
 
+def test_line_chunks_short_passages(spark):
+    rng = random.Random(4)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    rows, shared, own, n = [], {}, {}, 0
+    for lines, words in ((2, 30), (3, 20), (4, 15)) * 15:
+        passage = [line(words) for _ in range(lines)]
+        for x in passage if words == 15 else []:  # each line also stands alone, earlier
+            rows.append((n := n + 1, "\n".join([line(9), x, line(9)])))
+        between = "\n\n" if n % 2 else "\n"
+        for copy in range(2):
+            n += 1
+            around = [line(9), line(9)]
+            rows.append((n, "\n".join([around[0], between.join(passage), around[1]])))
+            if copy:
+                shared[n], own[n] = passage, around
+    got = {r.doc_id: r.text for r in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == "\n".join(own[i]) for i in shared)
+    assert all(got[i] == t for i, t in rows if i not in shared)
+
+
+def test_line_chunks_count_words_by_runs(spark):
+    gaps, tabs = "a" + " " * 60 + "b", "\t".join(f"w{i}" for i in range(60))
+    rows = [(i, f"x{i}\n{gaps}\ny{i}\n{tabs}\nz{i}") for i in range(2)]
+    got = {r.doc_id: r.text for r in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: f"x1\n{gaps}\ny1\nz1"}
+
+
 # --- op7
 
 
