@@ -2,17 +2,22 @@
 
 Texts become words; numbers, names (words with a capital first letter) and units are replaced by typed placeholders,
 other words by their lower-case form. Windows of ``WIDTH`` canonical words are hashed and joined with the windows of
-the benchmark. Matches of one document and item at one offset form an alignment. Its slots are then compared: in each
+the benchmark. So that letter case decides nothing, every window is also hashed without the names, all words in lower
+case; where that leaves fewer than ``LITERAL`` literal words (tables, arithmetic, code) the numbers and units stand for
+themselves, so that an exact copy is found whatever an item consists of. An item shorter than a window is one window of
+its lower-case words.
+
+Matches of one document and item at one offset form an alignment. Its slots are then compared: in each
 typed slot the benchmark's value must always meet the same value of the document and the other way round, so a
 re-parameterised copy passes and a chance meeting of templates fails. An alignment that covers ``SPAN`` words, or
 ``SHARE`` of a shorter item, contaminates the document.
 
-Before the join a Bloom filter of fixed size over the benchmark's window hashes drops most windows inside their row; the
-join decides, whatever the size of the benchmark.
+Before the join Bloom filters of fixed size over the benchmark's window hashes, one a form, drop most windows inside
+their row; the join decides, whatever the size of the benchmark.
 
 Defined cases: null text counts as empty and is never contaminated; rows with equal doc_id and text count as one
-document; a null doc_id is handled like any other; items with fewer words than a window give no window and contaminate
-nothing; repeated items are found each by its item_id; empty tables give empty results; other columns are ignored, or
+document; a null doc_id is handled like any other; items with fewer words than a window are found by exact
+copies only, items without words contaminate nothing; repeated items are found each by its item_id; empty tables give empty results; other columns are ignored, or
 pass through the filter untouched.
 """
 
@@ -23,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lectern.llm.line_chunks import text_key
 
 WIDTH = 8       # words of a window
-LITERAL = 4     # literal words that a benchmark window must hold
+LITERAL = 4     # literal words of a window whose slots may vary
 SPAN = 13       # words that an alignment must cover
 SHARE = 0.8     # or this part of an item
 BITS = 18       # log2 of the cells of the window filter
@@ -44,33 +49,63 @@ def canonical(word: Column) -> Column:
             .when(small.isin(*UNITS), F.lit("<unit>")).otherwise(small))
 
 
+def caseless(word: Column) -> Column:
+    """The canonical form without names."""
+    small = F.lower(word)
+    return (F.when(F.substring(word, 1, 1).between("0", "9"), F.lit("<number>")).when(small.isin(*UNITS), F.lit("<unit>"))
+            .otherwise(small))
+
+
 SLOTS = ("<number>", "<name>", "<unit>")
+FORMS = (0, 1, 2)  # windows of canonical words, of words whatever their case, and whole items shorter than a window
+
 
+def windows(df: DataFrame, keep=None, widths=()) -> DataFrame:
+    """Explode column ``words`` into (…, at, form, h, raw); ``keep`` filters by form and hash before rows are made.
 
-def windows(df: DataFrame, keep=None) -> DataFrame:
-    """Explode column ``words`` into (…, at, h, raw); ``keep`` filters by the hash before rows are made."""
+    ``widths`` are those of the third form."""
     others = [c for c in df.columns if c != "words"]
-    df = df.select(*others, "words", F.transform("words", lambda w: F.xxhash64(canonical(w))).alias("hw"))
-    df = df.where(F.size("hw") >= WIDTH).select(*others, "words", F.transform(
-        F.sequence(F.lit(1), F.size("hw") - WIDTH + 1),
-        lambda i: F.xxhash64(*[F.element_at("hw", i + k) for k in range(WIDTH)])).alias("ww"))
-    places = F.transform("ww", lambda h, i: F.struct(i.alias("at"), h.alias("h")))
-    if keep is not None:
-        places = F.filter(places, lambda x: keep(x["h"]))
-    df = df.select(*others, F.transform(places, lambda x: F.struct(
-        x["at"].alias("at"), x["h"].alias("h"),  # element_at, unlike slice, does not touch the rest of the array
-        F.array(*[F.element_at("words", x["at"] + k + 1) for k in range(WIDTH)]).alias("raw"))).alias("w"))
+    df = df.select(*others, "words", F.transform("words", lambda w: F.xxhash64(canonical(w))).alias("canon"),
+                   F.transform("words", lambda w: F.xxhash64(caseless(w))).alias("loose"),
+                   F.transform("words", lambda w: F.xxhash64(F.lower(w))).alias("plain"))
+    # Literal words before each place, so that a window's are one difference.
+    literal = F.transform(F.arrays_zip("loose", "plain"), lambda x: (x["loose"] == x["plain"]).cast("int"))
+    df = df.select(*others, "words", "canon", "loose", "plain", literal.alias("literal"))
+    size = F.size("words")
+
+    def run(array: str, i: Column, width: int) -> list[Column]:
+        return [F.element_at(array, i + k) for k in range(width)]  # element_at, unlike slice, does not touch the rest
+
+    def places(form: int, width: int, value) -> Column:
+        found = F.transform(F.sequence(F.lit(1), F.greatest(size - width + 1, F.lit(1))), lambda i: F.struct(
+            (i - 1).alias("at"), F.lit(form).alias("form"), F.lit(width).alias("width"), value(i).alias("h")))
+        if keep is not None:
+            found = F.filter(found, lambda x: keep(form, x["h"]))
+        return F.when(size >= width, found).otherwise(F.array().cast("array<struct<at:int,form:int,width:int,h:bigint>>"))
+
+    def any_case(i: Column) -> Column:
+        enough = sum(run("literal", i, WIDTH)[1:], F.element_at("literal", i)) >= LITERAL
+        return F.when(enough, F.xxhash64(*run("loose", i, WIDTH))).otherwise(F.xxhash64(*run("plain", i, WIDTH)))
+
+    found = [places(0, WIDTH, lambda i: F.xxhash64(*run("canon", i, WIDTH))), places(1, WIDTH, any_case)]
+    found += [places(2, n, lambda i, n=n: F.xxhash64(*run("plain", i, n))) for n in widths]
+    df = df.select(*others, F.transform(F.concat(*found), lambda x: F.struct(
+        x["at"].alias("at"), x["form"].alias("form"), x["h"].alias("h"), F.transform(
+            F.sequence(F.lit(1), x["width"]), lambda k: F.element_at("words", x["at"] + k)).alias("raw"))).alias("w"))
     # The outer form: for the inner one a filter on the size is inferred, which computes the whole chain once per word.
-    return df.select(*others, F.explode_outer("w").alias("w")).where("w is not null").select(*others, "w.at", "w.h", "w.raw")
+    return df.select(*others, F.explode_outer("w").alias("w")).where("w is not null").select(*others, "w.*")
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n_words, b_at, h, b_raw) of windows with enough literal words."""
+    """(item_id, n_words, b_at, form, h, b_raw): canonical windows with enough literal words, all windows of any case,
+    whole items shorter than a window."""
     rows = benchmark.select("item_id", words_of(F.col("text")).alias("words"))
     rows = rows.select("item_id", "words", F.size("words").alias("n_words"))
     literal = F.size(F.filter("raw", lambda w: ~canonical(w).isin(*SLOTS)))
-    return windows(rows).where(literal >= LITERAL).select("item_id", "n_words", F.col("at").alias("b_at"), "h",
-                                                          F.col("raw").alias("b_raw"))
+    found = windows(rows, widths=range(1, WIDTH)).where(
+        F.when(F.col("form") == 0, literal >= LITERAL).when(F.col("form") == 2, F.size("raw") == F.col("n_words"))
+        .otherwise(F.lit(True)))
+    return found.select("item_id", "n_words", F.col("at").alias("b_at"), "form", "h", F.col("raw").alias("b_raw"))
 
 
 def filter_cells(h: Column) -> list[Column]:
@@ -80,14 +115,15 @@ def filter_cells(h: Column) -> list[Column]:
 
 
 def known_hashes(hashes: DataFrame):
-    """A test that every hash in column ``h`` passes and few others: a Bloom filter of 2^BITS cells, a byte each."""
-    cells = bytearray(1 << BITS)
-    for r in hashes.select(F.explode(F.array(*filter_cells(F.col("h")))).alias("cell")).distinct().collect():
-        cells[r["cell"]] = 1  # at most 2^BITS rows
-    held, one = F.lit(bytes(cells)), F.lit(b"\x01")
-
-    def passes(h: Column) -> Column:
-        first, second = (F.substring(held, c + 1, F.lit(1)) == one for c in filter_cells(h))
+    """A test that every pair of ``form`` and ``h`` passes and few others: a Bloom filter of 2^BITS cells, a byte each, a
+    form."""
+    cells = {form: bytearray(1 << BITS) for form in FORMS}
+    for r in hashes.select("form", F.explode(F.array(*filter_cells(F.col("h")))).alias("cell")).distinct().collect():
+        cells[r["form"]][r["cell"]] = 1  # at most 2^BITS rows a form
+    held, one = {form: F.lit(bytes(c)) for form, c in cells.items()}, F.lit(b"\x01")
+
+    def passes(form: int, h: Column) -> Column:
+        first, second = (F.substring(held[form], c + 1, F.lit(1)) == one for c in filter_cells(h))
         return first & second
     return passes
 
@@ -95,12 +131,13 @@ def known_hashes(hashes: DataFrame):
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, _key, item_id, n_words, offset, covered, consistent, exact), one row per alignment."""
     bench = benchmark_windows(benchmark)
+    widths = [r["n_words"] for r in bench.where("form = 2").select("n_words").distinct().collect()]  # below WIDTH
     found = windows(docs.select("doc_id", text_key(F.col("text")).alias("_key"), words_of(F.col("text")).alias("words")),
-                    known_hashes(bench))
-    met = found.join(bench, "h").select("doc_id", "_key", "item_id", "n_words", (F.col("at") - F.col("b_at")).alias("offset"),
-                                        "b_at", "raw", "b_raw").distinct()
+                    known_hashes(bench), sorted(widths))
+    met = found.join(bench, ["form", "h"]).select(
+        "doc_id", "_key", "item_id", "n_words", (F.col("at") - F.col("b_at")).alias("offset"), "b_at", "raw", "b_raw").distinct()
     by = ["doc_id", "_key", "item_id", "n_words", "offset"]
-    place = F.sequence(F.lit(0), F.lit(WIDTH - 1))
+    place = F.sequence(F.lit(0), F.size("raw") - 1)
     words = met.select(*by, F.explode(F.transform(place, lambda k: F.struct(
         (F.col("b_at") + k).alias("p"), F.element_at("raw", k + 1).alias("d"),
         F.element_at("b_raw", k + 1).alias("b")))).alias("w")).select(*by, "w.*").distinct()

@@ -275,6 +275,20 @@ def test_templates(spark):
     assert {r.doc_id for r in templates.decontaminate(docs, bench).collect()} == {2, 3, 4, 5}
 
 
+def test_templates_whatever_the_case(spark):
+    item = "a farmer brings seven sheep to the market in Leeds and sells three of them before noon"
+    moved = "A Farmer Brings Seven Sheep To The Market In York And Sells Three Of Them Before Noon"
+    table = "12 7 90 4 33 18 2 65 41 8 77 3 10 56"
+    texts = [item, item.title(), item.upper(), f"sum {table} end", "sum 13 8 91 5 34 19 3 66 42 9 78 4 11 57 end",
+             "He said: What Is Love? And left", "what is it, love", moved]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = [(0, item), (1, item.title()), (2, item.upper()), (3, table), (4, "what is love"), (5, "?!")]
+    got = {(r.doc_id, r.item_id) for r in templates.contaminated(
+        docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert {(d, i) for d in range(3) for i in range(3)} <= got and (3, 3) in got and (5, 4) in got
+    assert {(d, i) for d, i in got if i >= 3} == {(3, 3), (5, 4)} and {d for d, i in got if d in (4, 6)} == set()
+
+
 def test_templates_find_planted_items(spark, sf_small):
     bench = {r.item_id: r.text for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op7_benchmark_templates"](spark, sf_small).collect()}
