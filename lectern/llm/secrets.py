@@ -3,8 +3,9 @@
 Base kinds are leftmost non-overlapping matches of fixed patterns. The entropy method looks at candidate strings, runs
 of one character class, and slides a window over each. The window's symbol counts are kept incrementally: one symbol
 enters, one leaves, and the sum of c * log2(c) changes by two table differences. A candidate is reported if its
-highest window entropy reaches the threshold of its class and no allow-list pattern fits it. Entropy spans that touch
-a base span are not repeated.
+highest window entropy reaches the threshold of its class and no allow-list pattern fits it. What a base span covers is
+not repeated, and an allow-listed word covers its surroundings of ``REACH`` symbols, up to the next '/', '_' or '-'; the
+pieces of a candidate that neither covers are looked at each by itself.
 
 Defined cases: null text counts as empty (no spans, digest of the empty string); repeated rows each get their result;
 an empty table gives an empty result; offsets count code points, the end is exclusive; spans with equal start keep the
@@ -51,10 +52,10 @@ CLASSES = (
 ALLOW_LIST = (
     r"^[A-Za-z_/+-]+$",                       # words, paths and identifiers without a digit
     r"^[0-9+/_-]+$",                          # numbers, dates, rules of dashes
-    r"(?i)example|test|dummy|placeholder|xxxx",
-    r"(?i)0123456789|abcdefghij",             # alphabets
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUIDs
 )
+ALLOW_WORDS = r"example|test|dummy|placeholder|xxxx|0123456789|abcdefghij"  # the last two for alphabets; in any case
+REACH = 24      # symbols on each side that an allowed word covers
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
@@ -107,6 +108,41 @@ def allowed(value: Column, patterns=ALLOW_LIST) -> Column:
     return fits
 
 
+def uncovered(span: Column, base: str, words: str, least: int) -> Column:
+    """The pieces of ``span``, of ``least`` symbols or more, that neither a base span nor an allowed word covers."""
+    def piece(start, end, value):
+        return F.struct(start.alias("start"), span["rank"].alias("rank"), end.alias("end"), span["kind"].alias("kind"),
+                        value.alias("value"))
+
+    def cut(acc, b):
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["out"], F.array(
+            F.struct(acc["at"].alias("start"), b["start"].alias("end")))).alias("out"))
+
+    def masked(s):
+        mask = rf"(?i)[^/_-]{{0,{REACH}}}(?:{words})[^/_-]{{0,{REACH}}}"
+
+        def step(acc, x):
+            end = acc["at"] + F.length(x["gap"])
+            return F.struct((end + F.coalesce(F.length(x["match"]), F.lit(0))).alias("at"),
+                            F.concat(acc["out"], F.array(piece(acc["at"], end, x["gap"]))).alias("out"))
+        parts = F.zip_with(F.split(s["value"], mask, -1), F.regexp_extract_all(s["value"], F.lit(mask), F.lit(0)),
+                           lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+        return F.when(F.regexp_like(s["value"], F.lit(f"(?i){words}")), F.aggregate(
+            parts, F.struct(s["start"].alias("at"), F.array().cast(SPAN).alias("out")), step, lambda acc: acc["out"])
+        ).otherwise(F.array(s))
+
+    over = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    free = F.aggregate(over, F.struct(span["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias(
+        "out")), cut, lambda acc: F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), span["end"].alias("end")))))
+    free = F.transform(F.filter(free, lambda p: p["end"] - p["start"] >= least), lambda p: piece(
+        p["start"], p["end"], F.substring(span["value"], p["start"] - span["start"] + 1, p["end"] - p["start"])))
+    return F.filter(F.flatten(F.transform(free, masked)), lambda p: p["end"] - p["start"] >= least)
+
+
+def free_pieces(cls: EntropyClass, words: str):
+    return lambda s: uncovered(s, "base", words, cls.window)
+
+
 def long_enough(kind: Kind):
     return lambda s: F.length(F.regexp_extract(s["value"], kind.pattern, kind.group)) >= kind.min_length
 
@@ -120,7 +156,7 @@ def of_kind(kind: Kind):
 
 
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds=BASE_KINDS, classes=CLASSES,
-                 allow_list=ALLOW_LIST) -> DataFrame:
+                 allow_list=ALLOW_LIST, allow_words=ALLOW_WORDS) -> DataFrame:
     """(key, base, found): arrays of spans (start, rank, end, kind, value); ``base`` by the patterns, ``found`` all."""
     df = docs.select(F.col(key), whole_text(text).alias("_text"))
     entries = [(k.name, k.pattern) for k in kinds] + [(c.name, c.run) for c in classes]
@@ -141,8 +177,9 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds
     df = df.select(key, F.array_sort(base).alias("base"), *[f"_s{i}" for i in range(len(kinds), len(entries))])
     more = []
     for j, c in enumerate(classes):
-        new = F.filter(f"_s{len(kinds) + j}", lambda s: ~F.exists(
-            "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & ~allowed(s["value"], allow_list))
+        new = F.filter(f"_s{len(kinds) + j}", lambda s: ~allowed(s["value"], allow_list))
+        new = F.flatten(F.transform(new, free_pieces(c, allow_words)))
+        new = F.filter(new, lambda s: ~allowed(s["value"], allow_list))
         more.append(F.filter(new, high_entropy(c)))
     found = F.array_sort(F.concat(F.col("base"), *more)) if more else F.col("base")
     return df.select(key, "base", found.alias("found"))

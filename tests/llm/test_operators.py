@@ -74,6 +74,19 @@ def test_secret_entropy(spark):
     assert all(abs(r.e - brute_peak(r.v, cls)) < 1e-9 for r in df.collect())
 
 
+def test_secret_allowed_words_cover_their_part_only(spark):
+    key = "q7Zt0Kx93LmVb2RyPdW8sHc5NfGj"
+    blob = key + "Wd4" + key[::-1] + "tEsT" + key[::-1] + "Wd4" + key
+    rows = [f"https://h.com/latest/{key}", f"/contest/{key} x", f"example_{key}", blob, f"{key}_test", f"a {key}test b",
+            f"AKIA0123456789ABCD/{key}"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if "base64_entropy" in x]
+           for r in secrets.secret_report(df).collect()}
+    for i in (0, 1, 2, 4, 6):
+        assert [rows[i][a:b].strip("/_") for a, b in got[i]] == [key], rows[i]
+    assert [rows[3][a:b] for a, b in got[3]] == [blob[:35], blob[-35:]] and got[5] == []
+
+
 # --- op2
 
 
