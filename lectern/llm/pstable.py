@@ -11,7 +11,9 @@ into blocks of about ``BLOCK`` entries, each entry in one block with its bucket
 buckets that they visit, meet each block of the index. So a vector is stored once and not once a table, a bucket of any size is
 spread over blocks, and a task holds one pair of blocks. Each block gives a query its best rows only.
 
-The scale of the cells is the greatest length of all vectors; every vector is indexed. Recall against brute
+A vector is put on the sphere of its range of lengths, the greatest length of all halved as often as it fits, so that a few
+long vectors do not draw all others into one bucket; a query lies on every such sphere at the same place. A query that gets
+fewer than ``top`` rows from its buckets is ranked against all entries instead, block by block. Every vector is indexed. Recall against brute
 force is measured in the tests and stated in the README.
 
 Defined cases: vectors that are null or zero, or hold null or non-finite components, or whose length is not the most
@@ -90,10 +92,13 @@ def hashed(df: DataFrame, dim: int, longest: float, hashes: int, probes: int) ->
             n = batch.num_rows
             x = np.array(batch.column("vec").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, dim)
             if probes:  # a query lies in the plane of the data, at full length
-                x = np.column_stack([x * (longest / np.linalg.norm(x, axis=1))[:, None], np.zeros(n)])
+                x = np.column_stack([x / np.linalg.norm(x, axis=1)[:, None], np.zeros(n)])
             else:
-                x = np.column_stack([x, np.sqrt(np.maximum(longest ** 2 - (x * x).sum(axis=1), 0))])
-            place = (x @ a.reshape(-1, dim + 1).T).reshape(n, TABLES, hashes) / (longest * WIDTH) + b
+                x = x / longest
+                halvings = np.minimum(np.frexp(np.linalg.norm(x, axis=1))[1], 0)
+                x = np.ldexp(x, -halvings[:, None])
+                x = np.column_stack([x, np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))])
+            place = (x @ a.reshape(-1, dim + 1).T).reshape(n, TABLES, hashes) / WIDTH + b
             found = keys(visited(place, probes) if probes else np.floor(place).astype(np.int64)).reshape(n, -1)
             buckets = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, buckets], names=[*batch.schema.names, "buckets"])
@@ -123,27 +128,38 @@ def nearest(vectors: DataFrame, top: int = 20, query_every: int = 20, hashes: in
     asked = rows.where(F.col("vec_id") % query_every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(
         F.min("vec").alias("vec"))
     probing = staged(hashed(asked, dim, longest, hashes, probes), "probes")
+    first = staged(ranked(entries, probing, dim, longest, top, hashes, False), "ranked")
+    full = first.groupBy("query_id").count().where(F.col("count") >= top).select("query_id")
+    short = probing.join(full, "query_id", "left_anti")
+    if short.isEmpty():
+        return first
+    return first.join(full, "query_id", "left_semi").unionByName(ranked(entries, short, dim, longest, top, hashes, True))
+
+
+def ranked(entries: DataFrame, probing: DataFrame, dim: int, longest: float, top: int, hashes: int, whole: bool) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the best candidates in the buckets of ``probing``; with ``whole``, of all entries."""
     n_index, n_queries = (max(1, -(-x.count() // BLOCK)) for x in (entries, probing))
     # Every block of queries meets every block of the index, in a task of its own.
     def dealt(df: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n))).withColumn(
             other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
-    index = hashed(entries.select("entry", F.col("ids")[0].alias("first"), "vec"), dim, longest, hashes, 0)
+    index = entries.select("entry", F.col("ids")[0].alias("first"), "vec")
+    index = index if whole else hashed(index, dim, longest, hashes, 0)
     met = dealt(index, "entry", "i", n_index, "q", n_queries).groupBy("i", "q").cogroup(
         dealt(probing, "query_id", "q", n_queries, "i", n_index).groupBy("i", "q"))
-    best = met.applyInArrow(ranker(dim, top + 1), "query_id long, entry long, first long, score double")
+    best = met.applyInArrow(ranker(dim, top + 1, whole), "query_id long, entry long, first long, score double")
     leading = Window.partitionBy("query_id").orderBy(F.desc("score"), "first", "entry")
     best = best.withColumn("place", F.row_number().over(leading)).where(F.col("place") <= top + 1)
     found = best.join(entries.select("entry", "ids"), "entry").select("query_id", "score", F.explode("ids").alias("vec_id"))
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.where("query_id != vec_id").distinct().withColumn("rank", F.row_number().over(by_score)).where(
+    rows = found.where("query_id != vec_id").distinct().withColumn("rank", F.row_number().over(by_score)).where(
         F.col("rank") <= top)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return rows.select("query_id", "rank", "vec_id", "score")
 
 
-def ranker(dim: int, top: int):
+def ranker(dim: int, top: int, whole: bool = False):
     """Of a block of the index and a block of queries, each query's ``top`` candidates by exact inner product, and those
-    that tie with the last one."""
+    that tie with the last one; with ``whole`` every entry is a candidate."""
     def flat(table: pa.Table, name: str) -> np.ndarray:
         column = table.column(name).combine_chunks()
         return column.flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
@@ -152,13 +168,13 @@ def ranker(dim: int, top: int):
         n, out = index.num_rows, []
         if n and queries.num_rows:
             vec, asked = flat(index, "vec").astype(np.float64), flat(queries, "vec").astype(np.float64)
-            own = flat(index, "buckets")
             visits = flat(queries, "buckets").reshape(queries.num_rows, TABLES, -1)
             ids = [index.column(c).to_numpy() for c in ("entry", "first")]
-            tables = [np.unique(own[:, t], return_inverse=True) for t in range(TABLES)]
+            own = None if whole else flat(index, "buckets")
+            tables = [] if whole else [np.unique(own[:, t], return_inverse=True) for t in range(TABLES)]
             for start in range(0, len(asked), CHUNK):
                 part = visits[start:start + CHUNK]
-                candidate = np.zeros((len(part), n), bool)
+                candidate = np.full((len(part), n), whole)
                 for t, (buckets, member) in enumerate(tables):
                     at = np.minimum(np.searchsorted(buckets, part[:, t]), len(buckets) - 1)
                     query, probe = np.nonzero(buckets[at] == part[:, t])

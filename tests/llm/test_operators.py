@@ -388,3 +388,21 @@ def test_search_copies_and_unusable(spark):
     assert set(got) == {0, 20, 40}
     for q, found in got.items():
         assert [v for _, v in sorted(found)] == [v for v in range(60) if v != q][:20]
+
+
+def test_search_all_candidates_where_few(spark):
+    rng = np.random.default_rng(3)
+    for n, spread in ((10, 0.0), (21, 0.0), (2000, None)):
+        x = rng.standard_normal((n, 16))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        if spread is None:
+            x[1] *= 100  # one outlier
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        found = {}
+        for r in pstable.nearest(df, query_every=10).collect():
+            found.setdefault(r.query_id, set()).add(r.vec_id)
+        score = x @ x.T
+        for q in range(0, n, 10):
+            want = [k for k in np.argsort(-score[q], kind="stable") if k != q][:20]
+            assert len(found[q]) == min(20, n - 1)
+            assert n > 21 and len(found[q] & set(want)) >= 10 or found[q] == set(want)
