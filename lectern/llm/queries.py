@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lectern.llm import byte_bpe, importance, kneser_ney, line_chunks, prefix_join, pstable, revisits, secrets, templates, url_rules
+from lectern.llm import (byte_bpe, importance, kneser_ney, line_chunks, packing, prefix_join, pstable, revisits, secrets, templates,
+                         turns, url_rules)
 from lectern.llm.common import table
 
 QUERIES: dict = {}
@@ -88,3 +89,13 @@ def op9(spark, sf_dir):
 @query("op10_multiprobe_search")
 def op10(spark, sf_dir):
     return pstable.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_turn_alignment")
+def op11(spark, sf_dir):
+    return turns.repair_report(turns.damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_best_fit_packing")
+def op12(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
