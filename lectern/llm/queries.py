@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lectern.llm import (byte_bpe, importance, kneser_ney, line_chunks, packing, prefix_join, pstable, revisits, secrets, templates,
-                         turns, url_rules)
+from lectern.llm import (byte_bpe, importance, kneser_ney, line_chunks, packing, prefix_join, pstable, revisits, secrets, strata,
+                         templates, turns, url_rules)
 from lectern.llm.common import table
 
 QUERIES: dict = {}
@@ -99,3 +99,32 @@ def op11(spark, sf_dir):
 @query("op12_best_fit_packing")
 def op12(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tfs CROSS JOIN whole GROUP BY term),
+strata AS (SELECT doc_id, 100 - 50 + ((50 * n * n_docs) // n_terms) AS m FROM lengths CROSS JOIN whole),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN strata USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+@query("op13_stratified_search", OP13_SQL)
+def op13(spark, sf_dir):
+    return strata.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -60,6 +60,13 @@ def test_odd_values(spark, odd):
     assert {(1, 3, 1), (2, 3, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (None, 0, None), (None, 1, None)} <= op9
     op10 = [tuple(r) for r in QUERIES["op10_multiprobe_search"](spark, odd).select("query_id", "rank", "vec_id", "score").collect()]
     assert op10 == [(0, 1, 1, 1.0)]
+    op11 = {r.conv_id: r for r in QUERIES["op11_turn_alignment"](spark, odd).collect()}
+    assert op11.keys() == {None, 1, 2, 3} and (op11[2].blank, op11[2].audit, op11[2].cost) == (1, "D", 4)
+    assert (op11[3].gaps, op11[3].truncated, op11[3].illegal, op11[3].audit, op11[3].cost) == (3, 2, 0, "KK", 6)  # the damage takes the full stop of 3:9
+    op12 = [r for r in QUERIES["op12_best_fit_packing"](spark, odd).collect()]
+    assert sorted(r.length for r in op12 if r.doc_id in (3, 4, 5)) == [1, 1, 1] and {r.doc_tokens for r in op12 if r.doc_id == 1} == {6}
+    op13 = [r for r in QUERIES["op13_stratified_search"](spark, odd).collect()]
+    assert {r.item_id for r in op13} == {1} and [r.doc_id for r in sorted(op13, key=lambda r: r["rank"])] == [6, 7]
 
 
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
@@ -87,4 +94,4 @@ def test_entry_lists_all(spark):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {"pipeline"} | set(QUERIES) <= set(names) and len({n.split("_")[0] for n in QUERIES}) >= 12
+    assert {"pipeline"} | set(QUERIES) <= set(names) and len({n.split("_")[0] for n in QUERIES}) == 13
