@@ -9,9 +9,10 @@ run piece by piece over the whole corpus, at a cost that does not grow with it.
 length and its number among the pieces of that length (``exact_row_number``: a length that a third of all pieces share is
 spread over many tasks).
 
-Ids come from the tokenizers library. White space never reaches an id of the given vocabulary's kind (words end at white
-space), so a text's ids are those of its words one after the other: distinct words are encoded once a task, many in one
-call, and looked up. The memo is emptied at ``MEMO_WORDS`` words or ``MEMO_BYTES`` bytes.
+Ids come from the tokenizers library, for a vocabulary of byte-level merges with word ends and lower case. White space never
+reaches an id of such a vocabulary, so a text's ids are those of its words one after the other: distinct words are encoded
+once and looked up. At ``MEMO_WORDS`` words or ``MEMO_BYTES`` bytes the words known become the past, which is still asked,
+and what was past before goes.
 
 Defined cases: null and empty texts, and texts of white space only, are one piece that holds the end id alone; repeated
 rows are documents of their own; a null doc_id stays null; extra columns are ignored; an empty table packs into no rows.
@@ -20,8 +21,10 @@ rows are documents of their own; a null doc_id stays null; extra columns are ign
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -38,80 +41,152 @@ MEMO_WORDS, MEMO_BYTES = 400_000, 1 << 25
 MARK = "\x1e"
 
 
+class _Memo:
+    """Ids of known words, one after the other in an array."""
+
+    def __init__(self):
+        self.slots: dict[bytes, int] = {}
+        self.bytes, self.used = 0, 0
+        self.ids = np.empty(1 << 16, np.uint32)
+        self.starts, self.sizes = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+
+    def add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, end = len(self.slots), len(self.slots) + len(words)
+        self.ids = _room(self.ids, self.used, len(ids))
+        self.starts, self.sizes = _room(self.starts, first, len(words)), _room(self.sizes, first, len(words))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.starts[first:end] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:end] = sizes
+        self.used += len(ids)
+        self.bytes += sum(map(len, words))
+        self.slots.update(zip(words, range(first, end)))
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """Slots of the words; -1: unknown."""
+        return np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+
+    def get(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in these slots, and how many each has."""
+        sizes = self.sizes[slots]
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(self.starts[slots] - (ends - sizes), sizes) + np.arange(ends[-1])], sizes
+
+    def full(self) -> bool:
+        return len(self.slots) > MEMO_WORDS or self.bytes > MEMO_BYTES
+
+
+def _room(a: np.ndarray, used: int, more: int) -> np.ndarray:
+    if used + more <= len(a):
+        return a
+    out = np.empty(max(2 * len(a), used + more), a.dtype)
+    out[:used] = a[:used]
+    return out
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
-    """Ids of texts, word by word: ``encode(texts)`` gives all ids in one array and each text's number of ids."""
+    """Ids of texts, word by word: ``encode(texts)`` gives all ids in one array and each text's number of ids.
+
+    A word of lower-case Latin letters, with or without closing punctuation, is what the tokenizer's normaliser leaves
+    alone and its splitter cuts into those two parts, so the merges alone give its ids. All other words go through the whole
+    tokenizer, many in one call, told apart by a mark between them. Capital A-Z are lowered first, as the normaliser would, unless a mark that might combine with one follows it
+    or a special token appears.
+    """
+
+    LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    MARKED = re.compile(rb"[A-Z][\xcc-\xf4]")
+    PLAIN = re.compile("([a-z\xdf-\xf6\xf8-\xff]*)([!-/:-@\\[-`{-~]*)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        mark = self._plain([MARK])[0]
+        self.model = self.tokenizer.model
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.encode() for t in special]
+        self.hidden = [t for t in special if self.PLAIN.fullmatch(t)]  # a plain word may hold these
+        mark = self._whole([MARK])[0]
         self.mark = mark[0] if len(mark) == 1 else None
-        self._clear()
+        self.letters = _byte_letters()
+        self.closing: dict[str, list[int]] = {}
+        self.memo, self.past = _Memo(), _Memo()
 
-    def _clear(self) -> None:
-        self.slots: dict[bytes, int] = {}
-        self.bytes, self.used = 0, 0
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.starts, self.sizes = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+    def _lowered(self, text: bytes) -> bytes:
+        low = text.translate(self.LOWER)
+        return text if self.MARKED.search(text) or any(t in low for t in self.special) else low
 
-    def _plain(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _joined(self, words: list[str]) -> list[np.ndarray]:
+    def _joined(self, words: list[str]) -> list[list[int]]:
         """Ids of each word from one call, cut at a mark between the words that is an id of its own."""
-        flat = self._plain([f" {MARK} ".join(words) + f" {MARK}"])[0]
-        cuts = np.flatnonzero(flat == self.mark)
+        if not words or self.mark is None or any(MARK in w for w in words):
+            return self._whole(words)
+        flat = np.array(self._whole([f" {MARK} ".join(words) + f" {MARK}"])[0], np.uint32)
+        cuts = np.flatnonzero(flat == self.mark).tolist()
         if len(cuts) != len(words):
-            return self._plain(words)
-        return [p[:-1] for p in np.split(flat, cuts + 1)[:-1]]
+            return self._whole(words)
+        return [flat[a:b].tolist() for a, b in zip([0, *(c + 1 for c in cuts)], cuts)]
+
+    def _close(self, mark: str) -> list[int]:
+        if len(self.closing) > 10_000:
+            self.closing.clear()
+        self.closing[mark] = [t.id for t in self.tokenizer.model.tokenize(mark)] if mark else []
+        return self.closing[mark]
 
     def _learn(self, words: list[bytes]) -> None:
-        known = []
-        for i in range(0, len(words), 1000):
-            part = [w.decode() for w in words[i:i + 1000]]
-            clean = self.mark is not None and not any(MARK in w for w in part)
-            known += self._joined(part) if clean else self._plain(part)
-        sizes = np.array([len(k) for k in known], np.int64)
-        flat = np.concatenate(known)
-        first = len(self.slots)
-        self.ids = _room(self.ids, self.used, len(flat))
-        self.starts, self.sizes = _room(self.starts, first, len(known)), _room(self.sizes, first, len(known))
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.starts[first:first + len(known)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[first:first + len(known)] = sizes
-        self.used += len(flat)
-        self.bytes += sum(map(len, words))
-        self.slots.update(zip(words, range(first, first + len(words))))
+        tokenize, letters, closing = self.tokenizer.model.tokenize, self.letters, self.closing
+        plain, ids, sizes, rest = [], [], [], []
+        for word, m in zip(words, map(self.PLAIN.fullmatch, b" ".join(words).decode().split(" "))):
+            if m is None or self.hidden and any(t in m[0] for t in self.hidden):
+                rest.append(word)
+                continue
+            core, mark = m.groups()
+            if not core.isascii():
+                core = core.encode().decode("latin-1").translate(letters)
+            found = [t.id for t in tokenize(core)] if core else []
+            found += closing[mark] if mark in closing else self._close(mark)
+            plain.append(word)
+            ids += found
+            sizes.append(len(found))
+        self.memo.add(plain, np.array(ids, np.uint32), np.array(sizes, np.int64))
+        for i in range(0, len(rest), 1000):
+            part = rest[i:i + 1000]
+            found = self._joined([w.decode() for w in part])
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.memo.add(part, np.fromiter(chain.from_iterable(found), np.uint32), sizes)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.slots) > MEMO_WORDS or self.bytes > MEMO_BYTES:
-            self._clear()
-        per_text = [t.split() for t in texts]
-        words = [w for ws in per_text for w in ws]
-        counts = np.array([len(ws) for ws in per_text], np.int64)
+        if self.memo.full():
+            self.memo, self.past = _Memo(), self.memo
+        words, counts = [], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            before = len(words)
+            words += self._lowered(text).split()
+            counts[i] = len(words) - before
         if not words:
             return np.empty(0, np.uint32), counts
-        new = dict.fromkeys(w for w in words if w not in self.slots)
-        if new:
-            self._learn(list(new))
-        slots = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[slots]
-        ends = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.starts[slots] - (ends - sizes), sizes) + np.arange(ends[-1])]
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        slots = self.memo.find(words)
+        missing = np.flatnonzero(slots < 0).tolist()
+        if missing:
+            new = {words[i] for i in missing}
+            again = [w for w in new if w in self.past.slots]
+            if again:
+                self.memo.add(again, *self.past.get(self.past.find(again)))
+            self._learn(list(new.difference(again)))
+            slots[missing] = self.memo.find([words[i] for i in missing])
+        ids, sizes = self.memo.get(slots)
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
         return ids, np.diff(upto)
 
 
-def _room(a: np.ndarray, used: int, more: int) -> np.ndarray:
-    if used + more <= len(a):
-        return a
-    out = np.empty(max(2 * len(a), used + more), a.dtype)
-    out[:used] = a[:used]
-    return out
-
-
 _ENCODERS: dict[str, WordEncoder] = {}
 
 

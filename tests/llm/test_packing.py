@@ -79,7 +79,7 @@ def test_odd_texts(spark, monkeypatch):
     rng = random.Random(0)
     odd = [None, "", " \n\t ", "a", "It's we'll THEY'RE 12345 x\x1ey \x1e", "ΣΑΣ ΌΣΟΣ Σ ς", "é ́x Å 가",
            "日本語のテキスト。" * 50, "x" * 5000, "\x85\x1c  z", "😀😀 ok\x00nul", "İ İ ﬁ"]
-    alphabet = "ab'S \ń é1,.\x1eΣ日"
+    alphabet = "tdJßab'S \ń é1,.\x1eΣ日"
     odd += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(200)]
     monkeypatch.setattr(packing, "CHUNK_BYTES", 300)
     docs = dict(enumerate(odd))
