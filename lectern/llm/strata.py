@@ -3,8 +3,8 @@
 A document's normaliser m is a whole number that depends on its length alone, so documents of one m form a stratum, within
 which a term's impact depends on its frequency alone. The index holds blocks of at most ``BLOCK`` documents of one stratum;
 a block's postings lie by term and, within a term, by falling frequency, in runs of one frequency, so an impact is computed
-once for each frequency. A stratum too large for one block is cut into many over many tasks (the range partitioning has a
-salt), and no stratum is gathered anywhere.
+once for each frequency. A stratum too large for one block is dealt into as many pieces as its counted size asks for, by a
+salt, so no stratum is gathered anywhere.
 
 The queries are searched in blocks of ``ITEM_BLOCK`` items, whose terms are all that is sent to the tasks. From a stratum's
 greatest frequency of each term follows the most that any of its documents can score. Strata are visited in the order of
@@ -30,10 +30,11 @@ from lectern.llm.common import staged, whole_text
 from lectern.operators.numbering import global_row_number
 
 TOP = 50
-BLOCK, BLOCK_PAIRS = 1024, 1 << 21
+BLOCK, BLOCK_PAIRS = 1024, 1 << 18
 ITEM_BLOCK = 256
 SEED = 1000
-CELLS = 1 << 22
+CELLS = 1 << 21
+SLICE = 250
 
 # One byte stands for each byte of a term (letters in lower case), a space for every other.
 TERM_BYTES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -44,10 +45,17 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(TERM_BYTES).split()
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: what is taken out of Arrow at once stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
 def count_terms(rows: DataFrame, key: str) -> DataFrame:
     """(key, n, terms, tfs): number of terms with repeats, distinct terms joined by spaces, their frequencies; no empty texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             kept, n, terms, tfs = [], [], [], []
             for i, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
                 counted = Counter(found := terms_of(text))
@@ -88,25 +96,28 @@ def build_index(docs: DataFrame) -> tuple[DataFrame, int, int]:
     counted = staged(count_terms(docs, "doc_id"), "terms")
     n_docs, n_terms = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     m = F.expr(f"50 + (50 * n * {n_docs}L) div {max(n_terms, 1)}L")
-    salted = counted.select("doc_id", m.alias("m"), "terms", "tfs", F.monotonically_increasing_id().alias("salt"))
-    dealt = salted.repartitionByRange("m", "salt").sortWithinPartitions("m", F.col("doc_id").asc_nulls_first())
+    counted = counted.select("doc_id", m.alias("m"), "terms", "tfs", F.xxhash64(F.monotonically_increasing_id()).alias("salt"))
+    pieces = F.ceil(F.greatest(F.sum(F.octet_length("tfs")) / (4 * BLOCK_PAIRS), F.count(F.lit(1)) / BLOCK)).alias("pieces")
+    sizes = staged(counted.groupBy("m").agg(pieces), "sizes")
+    dealt = counted.join(sizes, "m").withColumn("piece", F.pmod("salt", "pieces")).repartition("m", "piece").sortWithinPartitions(
+        "m", "piece", F.col("doc_id").asc_nulls_first())
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, pairs, id_type = None, ([], [], []), 0, None
 
         def out() -> pa.RecordBatch:
-            block = _block(now, *held)
+            block = _block(now[0], *held)
             arrays = [pa.array([block["m"]], pa.int64()), pa.array([block["docs"]], pa.list_(id_type))]
             return pa.RecordBatch.from_arrays(arrays + [pa.array([block[b]], pa.binary()) for b in BLOBS], names=["m", "docs", *BLOBS])
 
-        for batch in batches:
+        for batch in _slices(batches):
             id_type = batch.schema.field("doc_id").type
-            for doc_id, m, terms, tfs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "m", "terms", "tfs"))):
-                if held[0] and (m != now or len(held[0]) == BLOCK or pairs > BLOCK_PAIRS):
+            for doc_id, m, piece, terms, tfs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "m", "piece", "terms", "tfs"))):
+                if held[0] and ((m, piece) != now or len(held[0]) == BLOCK or pairs > BLOCK_PAIRS):
                     yield out()
                     held, pairs = ([], [], []), 0
-                now = m
+                now = m, piece
                 for column, value in zip(held, (doc_id, terms, tfs)):
                     column.append(value)
                 pairs += len(tfs) // 4
