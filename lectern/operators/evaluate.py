@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.scores import decode_label, pick, zero_divide
 from lectern.operators.numbering import global_row_number
-from lectern.operators.sizing import bounded_broadcast
+from lectern.operators.sizing import stable_table
 
 ROUND = 6
 
@@ -38,8 +38,10 @@ def class_grid(spark, classes: Sequence[str]) -> DataFrame:
 
 def confusion_counts(df: DataFrame, classes: Sequence[str], y: str = "y", pred: str = "pred") -> DataFrame:
     counts = df.groupBy(F.col(y).alias("y"), F.col(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+    # at most classes x classes rows, written once: reports read them several times, the scored rows are read only here
+    counts = stable_table(counts, "confusion")
     grid = class_grid(df.sparkSession, classes)
-    full = grid.join(bounded_broadcast(counts, known_rows=None), ["y", "pred"], "left")
+    full = grid.join(counts, ["y", "pred"], "left")
     return full.select(
         decode_label("y", classes).alias("true_label"),
         decode_label("pred", classes).alias("predicted_label"),

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import schemas
-from lectern.functions.text import clean_text, clean_title
+from lectern.functions.text import clean_text, clean_title, text_with_title
 from lectern.functions.timefmt import day_bucket_of, validate_day
 from lectern.labels import DAY_BUCKETS, SAMPLE_INFERENCE_ROWS, TEST_PCT, VAL_PCT
 from lectern.operators import evaluate as ev
-from lectern.operators import filters, history, naive_bayes, sampling, splits
+from lectern.operators import epoch_trainer, filters, history, naive_bayes, sampling, splits
 from lectern.operators.sizing import stable_table
 from lectern.sources import sinks
 from lectern.sources.articles import scan_articles
@@ -41,37 +41,60 @@ def predictions_frame(scored: DataFrame, classes: Sequence[str], has_labels: boo
     return scored.select(*cols)
 
 
+def class_ids(scored: DataFrame, classes: Sequence[str]) -> DataFrame:
+    """(doc_id, y, pred, z, probs) of scored rows with a true ``category``."""
+    names = F.array(*[F.lit(c) for c in classes])
+    return scored.select("doc_id", (F.array_position(names, F.col("category")) - 1).cast("bigint").alias("y"), "pred", "z", "probs")
+
+
 def job_train(spark: SparkSession, source: DataFrame, mapping: Mapping[str, int], out_base: str,
               test_pct: int = TEST_PCT, val_pct: int = VAL_PCT, now: dt.datetime | None = None,
-              normalize: bool = True) -> dict:
-    """extract -> clean + split -> train -> predict test -> evaluate."""
+              normalize: bool = True, trainer: str = "nb", config: epoch_trainer.TrainConfig | None = None,
+              sample_size: int | None = None, use_title: bool = False) -> dict:
+    """extract -> clean + split -> train -> predict test -> evaluate.
+
+    ``trainer``: "nb" counts the train split once; "epochs" trains over epochs, chooses the epoch on the validation split and
+    logs train and validation figures of each. ``sample_size``: about so many rows of the source, the same on every run.
+    ``use_title``: the classifier reads title and text. The test figures by class are logged as metrics of the run.
+    """
+    if trainer not in ("nb", "epochs"):
+        raise ValueError(f"unknown trainer {trainer}")
     classes = [c for c, _ in sorted(mapping.items(), key=lambda kv: kv[1])]
     raw = scan_articles(source, mapping).where(F.col("label").isNotNull())
+    if sample_size is not None:
+        raw = sampling.sample_hash_row(raw, sample_size, source.count())
     raw_path = sinks.sink_parquet_snappy(raw, os.path.join(sinks.versioned_path(os.path.join(out_base, "raw"), now),
                                                            "raw.parquet"))
     raw = spark.read.parquet(raw_path)
     split_paths = sinks.sink_splits(clean_and_split(raw, test_pct, val_pct, normalize),
                                     os.path.join(out_base, "processed"), now)
     staged = spark.read.parquet(split_paths["run_dir"])
-    model = naive_bayes.train_nb(splits.filter_split(staged, "train"), classes)
-    model_path = os.path.join(out_base, "model", os.path.basename(split_paths["run_dir"]))
-    model.save(model_path)
-    model = naive_bayes.NaiveBayesModel.load(spark, model_path)
-    test = splits.filter_split(staged, "test")
-    scored = naive_bayes.score_nb(model, test, keep=["category"])
+    if use_title:
+        staged = staged.withColumn("text", text_with_title("title", "text"))
+    run = os.path.basename(split_paths["run_dir"])
+    model_path, history_path = os.path.join(out_base, "model", run), os.path.join(out_base, "history")
+    train, val, test = (splits.filter_split(staged, s) for s in ("train", "val", "test"))
+    if trainer == "nb":
+        naive_bayes.train_nb(train, classes).save(model_path)
+        model = naive_bayes.NaiveBayesModel.load(spark, model_path)
+        scored = naive_bayes.score_nb(model, test, keep=["category"])
+    else:
+        model, epochs = epoch_trainer.train_epochs(train, val, classes, os.path.join(out_base, "run", run),
+                                                   config or epoch_trainer.TrainConfig())
+        history.metrics_append(epochs.withColumn("run", F.lit(run)), history_path)
+        model.save(spark, model_path)
+        model = epoch_trainer.EpochModel.load(spark, model_path)
+        scored = epoch_trainer.score_epochs(model, test, keep=["category"])
+    scored = stable_table(scored, "test-scores")  # predictions, report and losses all read these rows
     pred_path = sinks.sink_predictions(predictions_frame(scored, classes, True),
                                        os.path.join(out_base, "predictions"), now)
-    preds = spark.read.parquet(pred_path)
-    ids = preds.select(
-        "doc_id",
-        F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("true_label")).cast("bigint").alias("y1"),
-        F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("predicted")).cast("bigint").alias("p1"),
-        F.array(*[F.col(f"prob_{c}") for c in classes]).alias("probs"),
-    ).select("doc_id", (F.col("y1") - 1).alias("y"), (F.col("p1") - 1).alias("pred"), "probs")
-    report = ev.full_report(ids, classes)
-    evaluation = ev.evaluate_model(ids)
-    return {"raw": raw_path, "splits": split_paths, "model": model_path, "predictions": pred_path,
-            "report": report, "evaluation": evaluation, "classes": classes}
+    ids = class_ids(scored, classes)
+    report = stable_table(ev.full_report(ids, classes), "report")
+    metrics = ev.report_long(report).select(F.lit(run).alias("run"), F.lit(0).cast("bigint").alias("step"),
+                                            F.concat(F.lit("test_"), "label", F.lit("_"), "metric").alias("key"), "value")
+    history.metrics_append(metrics, history_path)
+    return {"raw": raw_path, "splits": split_paths, "model": model_path, "predictions": pred_path, "run": run,
+            "history": history_path, "report": report, "evaluation": ev.evaluate_model(ids), "classes": classes}
 
 
 def job_sample_inference(spark: SparkSession, source: DataFrame, model: naive_bayes.NaiveBayesModel,
@@ -86,10 +109,10 @@ def job_sample_inference(spark: SparkSession, source: DataFrame, model: naive_ba
 
 
 def daily_frame(source: DataFrame, model: naive_bayes.NaiveBayesModel, day: int,
-                run_ts: dt.datetime, buckets: int = DAY_BUCKETS) -> DataFrame:
-    """The day's slice scored, in the daily table's columns."""
+                run_ts: dt.datetime, buckets: int = DAY_BUCKETS, rows: DataFrame | None = None) -> DataFrame:
+    """The day's slice (or ``rows``, if it is at hand) scored, in the daily table's columns."""
     validate_day(day, buckets)
-    rows = splits.filter_day(source, day, buckets)
+    rows = splits.filter_day(source, day, buckets) if rows is None else rows
     scored = naive_bayes.score_nb(model, rows, text_col="body", keep=["title", "body", "category"])
     cols = [F.lit(run_ts.date()).alias("prediction_date"),
             F.lit(run_ts.replace(tzinfo=None)).cast("timestamp").alias("run_timestamp"),
@@ -104,9 +127,10 @@ def job_daily_inference(spark: SparkSession, source: DataFrame, model: naive_bay
     """Today's 1/30 slice -> score -> date-partitioned write; rerun-safe."""
     now = now or dt.datetime.now(dt.timezone.utc)
     day = day_bucket_of(now.day) if day is None else day
-    out = daily_frame(source, model, day, now)
-    if not sinks.guard_empty(out, fail=False):
+    rows = stable_table(splits.filter_day(source, day), "day-slice")
+    if not sinks.guard_empty(rows, fail=False):
         return 0
+    out = daily_frame(source, model, day, now, rows=rows)
     return sinks.sink_date_partitioned(out, table_path, schemas.daily_prediction(model.class_names),
                                        ("prediction_date", "day_partition"))
 

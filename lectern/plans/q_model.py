@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lectern.functions.scores import decode_label
 from lectern.labels import LANG2ID, LANG_CLASSES, TOPIC_CLASSES
-from lectern.operators import external, mllib_model, naive_bayes
+from lectern.operators import epoch_trainer, external, mllib_model, naive_bayes
+from lectern.operators.sizing import stable_table
 from lectern.operators.splits import filter_split, stratified_split
 from lectern.plans.registry import register
 from lectern.plans.views import LOGITS, RANKED, TOPIC_NAME, tok_sql, with_
@@ -174,3 +175,29 @@ def q_optional_labels_schema(spark, sf):
     has_labels = "category" in test.columns
     out = predictions_frame(scored, LANG_CLASSES, has_labels)
     return out.select("doc_id", "predicted", F.round("confidence", 6).alias("confidence"))
+
+
+# Rows a mini-batch: a fixed number of steps an epoch, whatever the size of the table.
+STEPS_AN_EPOCH = 6
+
+
+def epoch_model(spark, sf):
+    s = stable_table(split_docs(spark, sf).select("doc_id", "category", "text", "split"), "splits")
+    train = filter_split(s, "train")
+    config = epoch_trainer.TrainConfig(epochs=3, batch_size=max(1, -(-train.count() // STEPS_AN_EPOCH)), num_features=1 << 14, lr=0.1)
+    model, history = epoch_trainer.train_epochs(train, filter_split(s, "val"), LANG_CLASSES, _scratch(spark, "epochs"), config)
+    return s, model, history
+
+
+@register("train_epochs")
+def q_train_epochs(spark, sf):
+    """Train and validation loss and accuracy of every epoch of a run with early stopping."""
+    return epoch_model(spark, sf)[2]
+
+
+@register("score_epochs")
+def q_score_epochs(spark, sf):
+    """The test split scored by the best epoch's parameters."""
+    s, model, _ = epoch_model(spark, sf)
+    out = epoch_trainer.score_epochs(model, filter_split(s, "test"), keep=["category"])
+    return out.select("doc_id", F.col("category").alias("true_label"), "predicted_label", F.round("confidence", 6).alias("confidence"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lectern.labels import LANG2ID
-from lectern.operators import sampling, splits
+from lectern.labels import LANG2ID, SEED
+from lectern.operators import epoch_order, sampling, splits
 from lectern.operators.sizing import default_partitions
 from lectern.plans.registry import register
 from lectern.plans.views import ARTICLES, DOCS, RANKED, with_
@@ -171,3 +171,30 @@ def q_order_by(spark, sf):
 SELECT doc_id, md5(CAST(doc_id AS VARCHAR) || '-1') AS epoch_order FROM docs_articles""")
 def q_epoch_shuffle(spark, sf):
     return sampling.epoch_shuffle(docs_articles(spark, sf).select("doc_id"), 1)
+
+
+def places_sql(epoch: int, batch_size: int) -> str:
+    """The keyed permutation as a recursive walk: one round a step, again from the first while the place is beyond n."""
+    keys = ", ".join(str(k) for k in epoch_order.round_keys(SEED, epoch))
+    mix = """((xor(((xor({x} * 2654435761 + [""" + keys + """][i + 1], ({x} * 2654435761 + [""" + keys + """][i + 1]) >> 17)) & 2147483647)
+              * 2246822519, (((xor({x} * 2654435761 + [""" + keys + """][i + 1], ({x} * 2654435761 + [""" + keys + """][i + 1]) >> 17)) & 2147483647)
+              * 2246822519) >> 13)) & 2147483647)"""
+    return "WITH RECURSIVE " + DOCS + f""",
+numbered AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS "row" FROM docs_articles),
+size AS (SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b
+         FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM docs_articles)),
+walk AS (
+  SELECT doc_id, "row" // b AS l, "row" % b AS r, 0 AS i, n, a, b FROM numbered CROSS JOIN size
+  UNION ALL
+  SELECT doc_id, CASE WHEN i % 2 = 0 THEN (l + {mix.format(x="r")}) % a ELSE l END,
+         CASE WHEN i % 2 = 1 THEN (r + {mix.format(x="l")}) % b ELSE r END, i + 1, n, a, b
+  FROM (SELECT doc_id, l, r, i % 6 AS i, n, a, b FROM walk WHERE i < 6 OR l * b + r >= n))
+SELECT doc_id, l * b + r AS place, (l * b + r) // {batch_size} AS batch FROM walk WHERE i = 6 AND l * b + r < n"""
+
+
+@register("epoch_places", places_sql(1, 32))
+def q_epoch_places(spark, sf):
+    """Place and mini-batch of every article in one epoch, from a keyed permutation of the row numbers."""
+    d = docs_articles(spark, sf).select("doc_id")
+    numbered = splits.global_row_number(d, [F.col("doc_id").asc_nulls_first()], "row").withColumn("row", F.col("row") - 1)
+    return epoch_order.epoch_places(numbered, d.count(), 1, 32).select("doc_id", "place", "batch")
