@@ -1,48 +1,33 @@
-"""Exact quantiles and box-plot numbers without collecting a group.
-
-``percentile`` keeps every distinct value of a group in one aggregation
-buffer, however large the group. Here the values are first counted per
-(group, value), combined map-side. When that table of distinct values stays
-under a checked bound (word counts, rounded scores, any low-cardinality
-measure) quantiles, whiskers and outliers all come from it with one scan of
-the input: a running count per group over the distinct values gives each
-value's rank range. Beyond the bound each group is ranked with the scaled
-row numbering, the ranks that a quantile needs are computed from the group
-sizes (a table of groups x quantiles rows), and only those rows are picked
-back by a size-checked broadcast join. Both paths use linear interpolation
-between closest ranks (the usual type-7 definition, as in numpy and DuckDB
-``quantile_cont``) and give the same numbers.
+"""Exact quantiles and box-plot numbers without collecting, sorting or ranking a group.
+
+``percentile`` keeps every distinct value of a group in one aggregation buffer, however large the group. Here values are
+first counted per (group, value), combined map-side and written once; the order statistics that a quantile needs come from
+that table by rounds of narrowing (``selection.select_values``), whiskers and outliers by one more aggregate over it.
+Interpolation is linear between closest ranks (the usual type-7 definition, as in numpy and DuckDB ``quantile_cont``).
+Null and NaN values are left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.operators.numbering import exact_row_number
-from lectern.operators.sizing import local_or_broadcast, stable_table
-
-# Distinct (group, value) pairs up to this many are ranked as counts; each
-# group's distinct values are then ordered in one task, so the bound keeps
-# that task small. More distinct values take the row-numbering path.
-DISTINCT_VALUES_BOUND = 2_000_000
+from lectern.operators.selection import select_values
+from lectern.operators.sizing import stable_table
 
 
 def _qname(p: float) -> str:
     return "q" + f"{p:g}".replace(".", "_").replace("0_", "")
 
 
-def _values(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
-    return df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-
-
-def _value_counts(vals: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, bool]:
-    """(group, _v, _n) written once, and whether it is under the bound."""
-    counts = stable_table(vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
-    small = counts.limit(DISTINCT_VALUES_BOUND + 1).count() <= DISTINCT_VALUES_BOUND
-    return counts, small
+def _value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """(group, _v, _n) written once."""
+    v = F.col(value_col).cast("double")
+    vals = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    # -0.0 and 0.0 are one value
+    return stable_table(vals.groupBy(*group_cols, (F.col("_v") + 0.0).alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
 
 
 def _rank_positions(n: Column, p: float) -> tuple[Column, Column, Column]:
@@ -50,60 +35,27 @@ def _rank_positions(n: Column, p: float) -> tuple[Column, Column, Column]:
     return (F.floor(pos).cast("bigint") + 1, F.ceil(pos).cast("bigint") + 1, pos - F.floor(pos))
 
 
-def _quantiles_from_counts(counts: DataFrame, group_cols: Sequence[str], probs: Sequence[float],
-                           names: Sequence[str]) -> DataFrame:
-    g = Window.partitionBy(*group_cols)
-    run = g.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = counts.withColumn("_cum", F.sum("_n").over(run)).withColumn("_tot", F.sum("_n").over(g))
-    covers = lambda r: (F.col("_cum") - F.col("_n") < r) & (r <= F.col("_cum"))
-    aggs = []
-    for i, p in enumerate(probs):
-        lo, hi, _ = _rank_positions(F.col("_tot"), p)
-        aggs += [F.max(F.when(covers(lo), F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(covers(hi), F.col("_v"))).alias(f"_hi{i}")]
-    per = c.groupBy(*group_cols).agg(F.max("_tot").alias("_tot"), *aggs)
+def _quantiles(counts: DataFrame, group_cols: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    sizes = stable_table(counts.groupBy(*group_cols).agg(F.sum("_n").alias("_tot")), "group-sizes")
+    ranks = [r for p in probs for r in _rank_positions(F.col("_tot"), p)[:2]]
+    wanted = sizes.select(*group_cols, F.explode(F.array_distinct(F.array(*ranks))).alias("_rank"))
+    found = select_values(counts, group_cols, wanted)
+    at = found.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))  # 2 ranks a quantile
+    both = _join_groups(sizes, at.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_at"), group_cols)
     outs = []
-    for i, (p, name) in enumerate(zip(probs, names)):
-        _, _, frac = _rank_positions(F.col("_tot"), p)
-        outs.append((F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name))
-    return per.select(*group_cols, *outs)
-
-
-def _quantiles_from_rows(vals: DataFrame, group_cols: Sequence[str], probs: Sequence[float],
-                         names: Sequence[str]) -> DataFrame:
-    ranked = exact_row_number(vals, list(group_cols), [F.col("_v").asc()], "_rn")
-    sizes = local_or_broadcast(ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")))
-    wanted = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    need = (sizes.select(*group_cols, "_n", F.inline(wanted))
-            .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-            .withColumn("_lo", F.floor("_pos").cast("bigint") + 1)
-            .withColumn("_hi", F.ceil("_pos").cast("bigint") + 1)
-            .withColumn("_frac", F.col("_pos") - F.floor("_pos"))
-            .select(*group_cols, "qi", "_lo", "_hi", "_frac",
-                    F.array_distinct(F.array("_lo", "_hi")).alias("_ranks")))
-    need_ranks = need.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "qi", "_lo", "_hi", "_frac",
-                             F.explode("_ranks").alias("_r"))
-    need_ranks = local_or_broadcast(need_ranks)
-    cond = ranked["_rn"] == need_ranks["_r"]
-    for c in group_cols:
-        cond = cond & ranked[c].eqNullSafe(need_ranks[f"_g_{c}"])
-    hit = ranked.join(need_ranks, cond, "inner")
-    per_q = hit.groupBy(*[ranked[c] for c in group_cols], "qi", "_frac").agg(
-        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-    ).withColumn("_q", F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo")))
-    return per_q.groupBy(*group_cols).agg(
-        *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+    for p, name in zip(probs, names):
+        lo, hi, frac = _rank_positions(F.col("_tot"), p)
+        low, high = F.try_element_at("_at", lo), F.try_element_at("_at", hi)
+        outs.append(F.when(low == high, low).otherwise(low + frac * (high - low)).alias(name))
+    return both.select(*group_cols, *outs)
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     names = list(names) if names else [_qname(p) for p in probs]
-    vals = _values(df, group_cols, value_col)
-    counts, small = _value_counts(vals, group_cols)
-    if small:
-        return _quantiles_from_counts(counts, group_cols, probs, names)
-    return _quantiles_from_rows(vals, group_cols, probs, names)
+    if not group_cols:  # one group of all rows
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value_col, probs, names).drop("_all")
+    return _quantiles(_value_counts(df, group_cols, value_col), group_cols, probs, names)
 
 
 def _join_groups(left: DataFrame, right: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -116,13 +68,11 @@ def _join_groups(left: DataFrame, right: DataFrame, group_cols: Sequence[str]) -
 
 def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str, digits: int = 6) -> DataFrame:
     """Quartiles, whiskers at the furthest points within 1.5 IQR, outlier count."""
+    if not group_cols:
+        return box_stats(df.withColumn("_all", F.lit(0)), ["_all"], value_col, digits).drop("_all")
     probs, names = [0.25, 0.5, 0.75], ["q1", "median", "q3"]
-    vals = _values(df, group_cols, value_col)
-    counts, small = _value_counts(vals, group_cols)
-    q = (_quantiles_from_counts(counts, group_cols, probs, names) if small
-         else _quantiles_from_rows(vals, group_cols, probs, names))
-    # one row per group: bounded by the groups, which never exceed the values
-    q = local_or_broadcast(q.withColumn("iqr", F.col("q3") - F.col("q1")))
+    counts = _value_counts(df, group_cols, value_col)
+    q = stable_table(_quantiles(counts, group_cols, probs, names).withColumn("iqr", F.col("q3") - F.col("q1")), "quartiles")
     qb = q.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols],
                   (F.col("q1") - 1.5 * F.col("iqr")).alias("_lof"), (F.col("q3") + 1.5 * F.col("iqr")).alias("_hif"))
     # whiskers and outliers read the distinct-value counts, never the raw rows again

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern.functions.hashing import seeded_order_key
 from lectern.labels import DAY_BUCKETS, SEED, TEST_PCT, VAL_PCT
 from lectern.operators.numbering import exact_row_number, global_row_number, hashed_rank
-from lectern.operators.sizing import bounded_broadcast
+from lectern.operators.selection import digest_thresholds, within
 
 
 def rank_in_class(df: DataFrame, class_col: str = "category", order_col: str = "title",
@@ -103,16 +103,19 @@ def filter_day(df: DataFrame, day: int, buckets: int = DAY_BUCKETS) -> DataFrame
 def stratified_split_exact(df: DataFrame, test_frac: float = 0.1, val_frac: float = 0.111,
                            seed: int = SEED, class_col: str = "category",
                            key_col: str = "doc_id") -> DataFrame:
-    """Class shares kept exactly: per class, the first round(test_frac * n)
-    rows of a seeded order go to test, the next round(val_frac * (n - test))
-    to val, the rest to train."""
-    ranked = hashed_rank(df, [class_col], seeded_order_key(seed, key_col), [F.col(key_col).asc_nulls_first()], "_rn")
-    sizes = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_t", F.round(F.col("_n") * test_frac))
-    sizes = sizes.withColumn("_v", F.round((F.col("_n") - F.col("_t")) * val_frac))
-    sizes = bounded_broadcast(sizes.select(F.col(class_col).alias("_c"), "_t", "_v"))
-    j = ranked.join(sizes, ranked[class_col].eqNullSafe(sizes["_c"]), "inner")
-    split = (F.when(F.col("_rn") <= F.col("_t"), "test")
-             .when(F.col("_rn") <= F.col("_t") + F.col("_v"), "val")
-             .otherwise("train"))
-    return j.withColumn("split", split).drop("_rn", "_c", "_t", "_v")
+    """Class shares kept exactly: per class, the first round(test_frac * n) rows in the order of a seeded digest of the key
+    go to test, the next round(val_frac * (n - test)) to val, the rest to train.
+
+    No row is numbered or moved: two threshold digests per class come from counts of digest prefixes, and each row is compared
+    with those of its class. Rows of one key share a split.
+    """
+    digest = F.coalesce(seeded_order_key(seed, key_col), F.lit("0" * 32))  # null keys come first
+
+    def ranks(n):
+        t = F.round(n * test_frac)
+        return [t, t + F.round((n - t) * val_frac)]
+
+    cuts = digest_thresholds(df, class_col, digest, ranks)
+    j = df.join(cuts, df[class_col].eqNullSafe(cuts["_class"]), "inner")
+    split = F.when(within(digest, F.col("_t0")), "test").when(within(digest, F.col("_t1")), "val").otherwise("train")
+    return j.select(*[df[c] for c in df.columns], split.alias("split"))

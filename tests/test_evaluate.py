@@ -98,25 +98,6 @@ def test_box_whiskers(spark):
     assert b.whisker_high == 4.0 and b.n_outliers == 1
 
 
-def test_box_counts_path_equals_row_path(spark, monkeypatch):
-    import numpy as np
-
-    from lectern.operators import quantiles
-
-    rng = np.random.default_rng(7)
-    rows = [("a", float(v)) for v in rng.integers(0, 9, 60)] + [("b", float(v)) for v in rng.normal(size=33)]
-    rows += [(None, 2.0), (None, 5.0), ("c", None)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    by_counts = sorted(box_stats(df, ["g"], "v").collect(), key=str)
-    from lectern.operators import numbering
-
-    monkeypatch.setattr(quantiles, "DISTINCT_VALUES_BOUND", 0)
-    by_rows = sorted(box_stats(df, ["g"], "v").collect(), key=str)
-    assert by_counts == by_rows
-    by_rows = sorted(box_stats(df, ["g"], "v").collect(), key=str)
-    assert by_counts == by_rows and len(by_counts) == 3
-
-
 def history(spark, values, run="r"):
     return spark.createDataFrame([(run, i + 1, "val_acc", v) for i, v in enumerate(values)],
                                  "run string, step long, key string, value double")
