@@ -1,8 +1,9 @@
 """Text encoding: tokens, a frequency-ranked vocabulary, fixed-length ids.
 
 The WordPiece tokenizer is replaced by lower-cased letter runs, computed by
-JVM regex functions. Token -> id lookup is a join against the vocabulary
-table (broadcast under a size check, salted shuffle beyond it).
+JVM regex functions. Token -> id lookup happens inside the row, against a
+packed perfect hash of the vocabulary that is sent once (salted shuffle join
+for a vocabulary beyond its size bound).
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 from lectern.labels import HEAD_TOKENS, MAX_LENGTH, SPECIAL_TOKENS, TAIL_TOKENS
 from lectern.operators.joins import lookup_join
 from lectern.operators.numbering import global_row_number
+from lectern.operators.packed_vocab import MAX_WORDS, pack_vocab, token_ids
 from lectern.operators.sizing import stable_table
 
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
-# A vocabulary (token, id) is broadcast to the encoding join up to this many
-# rows (tens of MB); a larger one is joined by a salted shuffle.
-VOCAB_BROADCAST_ROWS = 1_000_000
+# A vocabulary of up to this many words is sent to the tasks in packed form; a larger one is joined by a salted shuffle.
+PACKED_WORDS = MAX_WORDS
 TOKEN_PATTERN = r"[^\p{L}]+"
 
 
@@ -48,10 +49,15 @@ def build_vocab(train: DataFrame, text_col: str = "text", min_count: int = 1) ->
 
 
 def join_vocab(df: DataFrame, vocab: DataFrame, key_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
-    """(key, pos, token, token_id): unknown tokens map to UNK."""
+    """(key, pos, token, token_id): unknown tokens map to UNK. Ids are looked up inside the row; a vocabulary that is too
+    large to be sent is joined by a salted shuffle."""
+    packed = pack_vocab(vocab, PACKED_WORDS)
+    if packed is not None:
+        ids = token_ids(df, packed, F.col(tokens_col), UNK_ID)
+        zipped = df.select(key_col, F.posexplode(F.arrays_zip(F.col(tokens_col).alias("token"), ids.alias("token_id"))).alias("pos", "_t"))
+        return zipped.select(key_col, "pos", F.col("_t")["token"].alias("token"), F.col("_t")["token_id"].alias("token_id"))
     exploded = df.select(key_col, F.posexplode(tokens_col).alias("pos", "token"))
-    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left",
-                    max_broadcast_rows=VOCAB_BROADCAST_ROWS, salt_source=key_col)
+    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left", max_broadcast_rows=0, salt_source=key_col)
     return j.select(key_col, "pos", "token", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
 
 
@@ -59,17 +65,16 @@ def _ids_per_doc(df: DataFrame, vocab: DataFrame, key_col: str, tokens_col: str,
     """(key, n_tokens, ids) with ``ids`` the vocabulary ids of the ``kept`` tokens
     (default all) in order. ``n_tokens`` always counts the whole text.
 
-    ``posexplode_outer`` keeps token-less documents, so no join back to the
-    documents is needed; the per-document list is bounded by the kept tokens.
+    A projection where the vocabulary can be sent. Beyond that ``posexplode_outer`` keeps token-less documents, so no join
+    back to the documents is needed; the per-document list is bounded by the kept tokens.
     """
     kept = F.col(tokens_col) if kept is None else kept
+    packed = pack_vocab(vocab, PACKED_WORDS)
+    if packed is not None:
+        return df.select(key_col, F.size(tokens_col).alias("n_tokens"), token_ids(df, packed, kept, UNK_ID).alias("ids"))
     exploded = df.select(key_col, F.size(tokens_col).alias("n_tokens"),
                          F.posexplode_outer(kept).alias("pos", "token"))
-    v = vocab.select("token", "token_id")
-    if vocab.count() <= VOCAB_BROADCAST_ROWS:
-        j = exploded.join(F.broadcast(v), "token", "left")
-    else:
-        j = lookup_join(exploded, v, "token", "left", max_broadcast_rows=0, salt_source=key_col)
+    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left", max_broadcast_rows=0, salt_source=key_col)
     item = F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
     per_doc = j.groupBy(key_col, "n_tokens").agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_p"))

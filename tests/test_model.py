@@ -149,5 +149,5 @@ def test_salted_encoding_equals_broadcast(spark, split, monkeypatch):
                 sorted(tuple(r) for r in j.collect()))
 
     by_broadcast = run()
-    monkeypatch.setattr(encode, "VOCAB_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(encode, "PACKED_WORDS", 0)
     assert run() == by_broadcast
