@@ -137,13 +137,15 @@ def job_daily_inference(spark: SparkSession, source: DataFrame, model: naive_bay
 
 def job_report(predictions: DataFrame, metric_history: DataFrame, classes: Sequence[str],
                patience: int = 3) -> dict[str, DataFrame]:
-    """All report tables: curves, confusion, per-class, averages, run parameters, summary."""
-    history.require_history(metric_history)
+    """All report tables: curves, confusion, per-class, averages, run parameters, summary.
+
+    Predictions and history are written once; every table reads those.
+    """
+    metric_history = history.require_history(stable_table(metric_history, "report-history"))
     names = F.array(*[F.lit(c) for c in classes])
-    ids = predictions.select(
+    ids = stable_table(predictions.select(
         "doc_id", (F.array_position(names, F.col("true_label")) - 1).cast("bigint").alias("y"),
-        (F.array_position(names, F.col("predicted")) - 1).cast("bigint").alias("pred"),
-        F.array(*[F.col(f"prob_{c}") for c in classes]).alias("probs"))
+        (F.array_position(names, F.col("predicted")) - 1).cast("bigint").alias("pred")), "report-predictions")
     per_class = ev.classification_report(ids, classes)
     return {
         "training_curves": history.training_curves(metric_history),
@@ -153,5 +155,32 @@ def job_report(predictions: DataFrame, metric_history: DataFrame, classes: Seque
         "averages": ev.report_averages(per_class),
         "config": history.report_config_rows(metric_history, history.run_params(metric_history)),
         "early_stop": history.early_stop(metric_history, patience),
-        "summary": ev.accuracy(predictions.withColumn("correct", F.col("true_label") == F.col("predicted"))),
+        "summary": ev.accuracy(ids.withColumn("correct", F.col("y").eqNullSafe(F.col("pred")))),
     }
+
+
+# Of each report table: the columns that name a figure, and those that hold figures.
+REPORT_COLUMNS = {
+    "training_curves": (["run", "step"], history.HISTORY_KEYS),
+    "confusion": (["true_label", "predicted_label"], ["n"]),
+    "confusion_normalised": (["true_label", "predicted_label"], ["share"]),
+    "per_class": (["label"], ["precision", "recall", "f1_score", "support"]),
+    "averages": (["label"], ["precision", "recall", "f1_score", "support"]),
+    "early_stop": (["run"], ["stop_step", "n_steps", "best_step", "best_value"]),
+    "summary": ([], ["total", "n_correct", "n_errors", "accuracy"]),
+}
+
+
+def report_rows(bundle: Mapping[str, DataFrame]) -> DataFrame:
+    """The whole bundle as one table: (table, key, figure, value, text); figures in ``value``, run parameters in ``text``."""
+    parts = [bundle["config"].select(F.lit("config").alias("table"), F.col("run").alias("key"), F.col("parameter").alias("figure"),
+                                     F.lit(None).cast("double").alias("value"), F.col("value").alias("text"))]
+    for name, (keys, figures) in REPORT_COLUMNS.items():
+        key = F.concat_ws("/", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
+        wide = bundle[name].select(key.alias("key"), *[F.col(f).cast("double").alias(f) for f in figures])
+        long = wide.unpivot(["key"], figures, "figure", "value").where(F.col("value").isNotNull())
+        parts.append(long.select(F.lit(name).alias("table"), "key", "figure", "value", F.lit(None).cast("string").alias("text")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -60,12 +60,12 @@ def q_training_curves(spark, sf):
     return hist.training_curves(hist.require_history(metric_history(spark, sf)))
 
 
-_CFG_VALUES = ",\n".join(
+CONFIG_VALUES = ",\n".join(
     f"({i + 1}, '{name}', '{key}', '{default}')" for i, (name, key, default) in enumerate(REPORT_CONFIG_ROWS))
 
 
 @register("report_config_rows", with_(METRIC_HISTORY) + f""",
-cfg(position, parameter, param, dflt) AS (VALUES {_CFG_VALUES}),
+cfg(position, parameter, param, dflt) AS (VALUES {CONFIG_VALUES}),
 runs AS (SELECT DISTINCT run FROM metric_history),
 params AS (SELECT run, 'epochs' AS param, CAST(max(step) AS VARCHAR) AS value FROM metric_history GROUP BY run)
 SELECT r.run, CAST(c.position AS BIGINT) AS position, c.parameter, coalesce(p.value, c.dflt) AS value

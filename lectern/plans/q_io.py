@@ -13,7 +13,8 @@ from lectern.labels import LANG2ID, LANG_CLASSES
 from lectern.operators import filters, naive_bayes, sampling
 from lectern.operators.splits import filter_split
 from lectern.plans import jobs
-from lectern.plans.q_model import nb_model, nb_sql, split_docs
+from lectern.plans.q_history import CONFIG_VALUES, ES_SQL
+from lectern.plans.q_model import NB_SQL, nb_model, nb_sql, split_docs
 from lectern.plans.registry import register
 from lectern.plans.views import DOCS, PREDICTIONS, RANKED, with_
 from lectern.session import ensure_checkpoint_dir
@@ -229,24 +230,51 @@ def q_job_train(spark, sf):
     return out["report"]
 
 
-@register("job_report")
+REPORT_SQL = NB_SQL + """,
+""" + ES_SQL.removeprefix("WITH ").replace("ranked", "by_value") + f""",
+cfg(position, parameter, param, dflt) AS (VALUES {CONFIG_VALUES}),
+pr AS (SELECT doc_id, true_label, cls AS pred FROM p2 WHERE r = 1),
+cl(c) AS (VALUES ('de'), ('en'), ('es'), ('fr')),
+cm AS (SELECT a.c AS t, b.c AS q, count(pr.doc_id) AS n FROM cl a CROSS JOIN cl b
+       LEFT JOIN pr ON pr.true_label = a.c AND pr.pred = b.c GROUP BY 1, 2),
+tot AS (SELECT c, (SELECT sum(n) FROM cm WHERE t = c) AS support, (SELECT sum(n) FROM cm WHERE q = c) AS predicted,
+               (SELECT sum(n) FROM cm WHERE t = c AND q = c) AS tp FROM cl),
+pr2 AS (SELECT c, support, CASE WHEN predicted = 0 THEN 0 ELSE tp / predicted END AS prec,
+               CASE WHEN support = 0 THEN 0 ELSE tp / support END AS rec FROM tot),
+per AS (SELECT c AS label, round(prec, 6) AS prec, round(rec, 6) AS rec,
+               round(CASE WHEN prec + rec = 0 THEN 0 ELSE 2 * prec * rec / (prec + rec) END, 6) AS f1, support FROM pr2),
+av AS (SELECT 'macro avg' AS label, avg(prec) AS prec, avg(rec) AS rec, avg(f1) AS f1, sum(support) AS support FROM per
+       UNION ALL SELECT 'weighted avg', sum(prec * support) / sum(support), sum(rec * support) / sum(support),
+                        sum(f1 * support) / sum(support), sum(support) FROM per
+       UNION ALL SELECT 'accuracy', NULL, NULL, sum(rec * support) / sum(support), sum(support) FROM per),
+figures AS (
+  SELECT 'training_curves' AS "table", run || '/' || step AS key, key AS figure, value FROM metric_history
+  UNION ALL SELECT 'confusion', t || '/' || q, 'n', n FROM cm
+  UNION ALL SELECT 'confusion_normalised', t || '/' || q, 'share',
+                   round(CASE WHEN sum(n) OVER (PARTITION BY t) = 0 THEN 0 ELSE n / sum(n) OVER (PARTITION BY t) END, 6) FROM cm
+  UNION ALL SELECT 'per_class', label, unnest(['precision', 'recall', 'f1_score', 'support']), unnest([prec, rec, f1, support::DOUBLE]) FROM per
+  UNION ALL SELECT 'averages', label, unnest(['precision', 'recall', 'f1_score', 'support']),
+                   unnest([round(prec, 6), round(rec, 6), round(f1, 6), support::DOUBLE]) FROM av
+  UNION ALL SELECT 'early_stop', run, unnest(['stop_step', 'n_steps', 'best_step', 'best_value']),
+                   unnest([stop_step::DOUBLE, n_steps::DOUBLE, best_step::DOUBLE, best_value]) FROM es
+  UNION ALL SELECT 'summary', '', unnest(['total', 'n_correct', 'n_errors', 'accuracy']),
+                   unnest([count(*)::DOUBLE, count(*) FILTER (WHERE true_label = pred)::DOUBLE, count(*) FILTER (WHERE true_label <> pred)::DOUBLE,
+                           round(avg(CASE WHEN true_label = pred THEN 1.0 ELSE 0.0 END), 6)]) FROM pr)
+SELECT "table", key, figure, CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM figures WHERE value IS NOT NULL
+UNION ALL SELECT 'config', r.run, c.parameter, NULL, CASE WHEN c.param = 'epochs' THEN r.last ELSE c.dflt END
+FROM (SELECT run, CAST(max(step) AS VARCHAR) AS last FROM metric_history GROUP BY run) r CROSS JOIN cfg c"""
+
+
+@register("job_report", REPORT_SQL)
 def q_job_report(spark, sf):
-    """Report bundle over the NB test predictions and the events-derived history;
-    returned as one long table (table, key, value)."""
+    """All eight report tables over the NB test predictions and the events-derived history, as one long table."""
     from lectern.sources.adapters import metric_history
 
     s = split_docs(spark, sf)
     m = nb_model(spark, sf, s)
     scored = naive_bayes.score_nb(m, filter_split(s, "test"), keep=["category"])
     preds = jobs.predictions_frame(scored, LANG_CLASSES, True)
-    bundle = jobs.job_report(preds, metric_history(spark, sf), LANG_CLASSES)
-    per = bundle["per_class"].select(F.lit("per_class").alias("table"), F.col("label").alias("key"),
-                                     F.col("f1_score").alias("value"))
-    avg = bundle["averages"].select(F.lit("averages").alias("table"), F.col("label").alias("key"),
-                                    F.col("f1_score").alias("value"))
-    es = bundle["early_stop"].select(F.lit("early_stop").alias("table"), F.col("run").alias("key"),
-                                     F.col("stop_step").cast("double").alias("value"))
-    return per.unionByName(avg).unionByName(es)
+    return jobs.report_rows(jobs.job_report(preds, metric_history(spark, sf), LANG_CLASSES))
 
 
 @register("stream_score_append", nb_sql("""test AS (SELECT doc_id, title, body, category, body AS text
