@@ -9,6 +9,11 @@ from lectern.functions.hashing import seeded_order_key
 from lectern.labels import DAY_BUCKETS, SEED, TEST_PCT, VAL_PCT
 from lectern.operators.numbering import exact_row_number, global_row_number, hashed_rank
 from lectern.operators.selection import digest_thresholds, within
+from lectern.operators.sizing import stable_table
+
+
+SPLITS = ["train", "val", "test"]
+FAULTS = ["overlap_train_val", "overlap_train_test", "overlap_val_test", "missing_rows", "extra_rows"]
 
 
 def rank_in_class(df: DataFrame, class_col: str = "category", order_col: str = "title",
@@ -58,30 +63,79 @@ def split_counts(df: DataFrame, class_col: str = "category") -> DataFrame:
     return df.groupBy("split", class_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def split_integrity(df: DataFrame, source: DataFrame, key_col: str = "doc_id") -> DataFrame:
+# Pieces of the key space whose fingerprints are compared; differing ones are cut into as many again.
+FINGERPRINT_PIECES = 4096
+
+
+def _keyed(df: DataFrame, key_col: str, *more) -> DataFrame:
+    k = F.col(key_col)
+    return df.select(k.alias("_k"), F.xxhash64(k.isNull(), k).alias("_h"), *more)
+
+
+def _piece(level: int):
+    return F.pmod(F.shiftright("_h", 12 * level), F.lit(FINGERPRINT_PIECES)).cast("int")
+
+
+def _fingerprints(rows: DataFrame, pieces: list, splits: bool) -> DataFrame:
+    """Per piece of the key space: rows, and the order-free sum of their key hashes (in halves, so that no sum overflows)."""
+    figures = [F.count(F.lit(1)).alias("_n"), F.sum(F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF))).alias("_lo"),
+               F.sum(F.shiftrightunsigned("_h", 32)).alias("_hi")]
+    if splits:
+        figures += [F.count_if(F.col("split") == s).alias(f"_{s}") for s in SPLITS]
+    return rows.groupBy(*pieces).agg(*figures)
+
+
+def _differing(given: DataFrame, placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Pieces whose rows or hash sums differ between the input and the splits."""
+    g = given.select(*keys, F.struct("_n", "_lo", "_hi").alias("_g"))
+    p = placed.select(*keys, F.struct("_n", "_lo", "_hi").alias("_p"))
+    return g.join(p, keys, "full").where(~F.col("_g").eqNullSafe(F.col("_p"))).select(*keys)
+
+
+def split_integrity(df: DataFrame, source: DataFrame, key_col: str = "doc_id", unique_keys: bool = False) -> DataFrame:
     """One row of counts that compares the split frame with its input.
 
     Splits are disjoint when every overlap is 0 and complete when ``missing_rows`` (input rows in no split) and
-    ``extra_rows`` (split rows beyond the input's) are 0. Two keyed aggregates (map-side combined) and one full join.
+    ``extra_rows`` (split rows beyond the input's) are 0. With ``unique_keys`` (the key names one input row) both sides are
+    reduced to order-free sums of key hashes per piece of the key space, one scan each and no shuffle of rows; where all agree,
+    the splits hold the input's rows once each. Differing pieces are cut once more, and only keys of those that still differ
+    are compared one by one. Without it every key is.
     """
-    s = F.col("split")
-    per_key = df.groupBy(F.col(key_col).alias("_k")).agg(
-        F.count_if(s == "train").alias("_tr"), F.count_if(s == "val").alias("_va"), F.count_if(s == "test").alias("_te"))
-    given = source.groupBy(F.col(key_col).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-    both = given.join(per_key, given["_g"].eqNullSafe(per_key["_k"]), "full").na.fill(0, ["_n", "_tr", "_va", "_te"])
-    tr, va, te = F.col("_tr") > 0, F.col("_va") > 0, F.col("_te") > 0
-    placed = F.col("_tr") + F.col("_va") + F.col("_te")
-    return both.agg(
-        F.sum("_n").alias("input_rows"),
-        F.sum("_tr").alias("train_rows"),
-        F.sum("_va").alias("val_rows"),
-        F.sum("_te").alias("test_rows"),
-        F.count_if(tr & va).alias("overlap_train_val"),
-        F.count_if(tr & te).alias("overlap_train_test"),
-        F.count_if(va & te).alias("overlap_val_test"),
-        F.sum(F.greatest(F.col("_n") - placed, F.lit(0))).alias("missing_rows"),
-        F.sum(F.greatest(placed - F.col("_n"), F.lit(0))).alias("extra_rows"),
-    )
+    given, placed = _keyed(source, key_col), _keyed(df, key_col, "split")
+    if not unique_keys:
+        return _key_counts(given, placed).agg(*_totals())
+    top = [F.col("_a")]
+    given, placed = given.withColumn("_a", _piece(0)), placed.withColumn("_a", _piece(0))
+    sums = [stable_table(_fingerprints(x, top, s), "fingerprints") for x, s in ((given, False), (placed, True))]
+    whole = sums[0].agg(F.lit(1).alias("_one"), F.sum("_n").alias("input_rows")).join(
+        sums[1].agg(F.lit(1).alias("_one"), *[F.sum(f"_{s}").alias(f"{s}_rows") for s in SPLITS]), "_one").na.fill(0)
+    bad = stable_table(_differing(*sums, ["_a"]), "differing")
+    found = {c: F.lit(0).cast("bigint").alias(c) for c in FAULTS}
+    if not bad.isEmpty():
+        parts = [x.join(bad, "_a", "left_semi").withColumn("_b", _piece(1)) for x in (given, placed)]
+        finer = [_fingerprints(x, [F.col("_a"), F.col("_b")], False) for x in parts]
+        worse = stable_table(_differing(*finer, ["_a", "_b"]), "differing")
+        rows = [x.join(worse, ["_a", "_b"], "left_semi") for x in parts]
+        faults = _key_counts(*rows).agg(*_totals()).first()  # one row
+        found = {c: F.lit(faults[c] or 0).cast("bigint").alias(c) for c in FAULTS}
+    return whole.select("input_rows", *[f"{s}_rows" for s in SPLITS], *found.values())
+
+
+def _key_counts(given: DataFrame, placed: DataFrame) -> DataFrame:
+    """Per key: rows of the input and of each split. Two keyed aggregates (map-side combined) and one full join."""
+    per_key = placed.groupBy("_k").agg(*[F.count_if(F.col("split") == s).alias(f"_{s}") for s in SPLITS])
+    per_given = given.groupBy(F.col("_k").alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    return per_given.join(per_key, per_given["_g"].eqNullSafe(per_key["_k"]), "full").na.fill(0, ["_n", *[f"_{s}" for s in SPLITS]])
+
+
+def _totals() -> list:
+    tr, va, te = (F.col(f"_{s}") > 0 for s in SPLITS)
+    there = F.col("_train") + F.col("_val") + F.col("_test")
+    return [F.sum("_n").alias("input_rows"), *[F.sum(f"_{s}").alias(f"{s}_rows") for s in SPLITS],
+            F.count_if(tr & va).alias("overlap_train_val"), F.count_if(tr & te).alias("overlap_train_test"),
+            F.count_if(va & te).alias("overlap_val_test"),
+            F.sum(F.greatest(F.col("_n") - there, F.lit(0))).alias("missing_rows"),
+            F.sum(F.greatest(there - F.col("_n"), F.lit(0))).alias("extra_rows")]
 
 
 def day_partition(df: DataFrame, buckets: int = DAY_BUCKETS, order_col: str = "title",

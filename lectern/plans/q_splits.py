@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.labels import LANG2ID, SEED
 from lectern.operators import epoch_order, sampling, splits
-from lectern.operators.sizing import default_partitions
+from lectern.operators.sizing import default_partitions, stable_table
 from lectern.plans.registry import register
 from lectern.plans.views import ARTICLES, DOCS, RANKED, with_
 from lectern.sources.articles import docs_articles, scan_articles
@@ -72,7 +72,8 @@ SELECT CAST(sum(n) AS BIGINT) AS input_rows, CAST(sum(tr) AS BIGINT) AS train_ro
        CAST(sum(greatest(tr + va + te - n, 0)) AS BIGINT) AS extra_rows
 FROM j""")
 def q_split_integrity(spark, sf):
-    return splits.split_integrity(split_articles(spark, sf), articles(spark, sf))
+    placed = stable_table(split_articles(spark, sf).select("doc_id", "split"), "placed")
+    return splits.split_integrity(placed, articles(spark, sf), unique_keys=True)
 
 
 DAY_SQL = with_(DOCS) + """,

@@ -149,3 +149,32 @@ def test_numbering_hot_class_and_hot_value(spark, monkeypatch):
     # the hot (class, title) value is cut across partitions by the unique tie-break
     per_part = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in per_part) < 1800
+
+
+@pytest.mark.parametrize("pieces", [2, 4096])
+def test_fingerprints_find_what_keys_find(spark, monkeypatch, pieces):
+    """Dropped, doubled and swapped rows: the fingerprints lead to the counts that comparing every key gives."""
+    monkeypatch.setattr(splits, "FINGERPRINT_PIECES", pieces)
+    base = [(i, ("train", "val", "test")[i % 3]) for i in range(300)] + [(None, "train")]
+    source = spark.createDataFrame([(k,) for k, _ in base], "doc_id long")
+    cases = {
+        "whole": base,
+        "dropped": [r for r in base if r[0] not in (5, 17)],
+        "doubled": base + [(7, "test"), (9, "val")],
+        "swapped": [(8, s) if k == 250 else (k, s) for k, s in base],
+        "foreign": base + [(1000, "val")],
+        "no null": [r for r in base if r[0] is not None],
+        "empty": [],
+    }
+    for name, rows in cases.items():
+        df = spark.createDataFrame(rows, "doc_id long, split string")
+        want = splits.split_integrity(df, source).first().asDict()
+        assert splits.split_integrity(df, source, unique_keys=True).first().asDict() == want, name
+        assert name == "whole" or want["missing_rows"] + want["extra_rows"] > 0
+
+
+def test_whole_splits_move_no_row(spark):
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("train").alias("split"))
+    keyed = splits._keyed(df, "doc_id", "split").withColumn("_a", splits._piece(0))
+    plan = splits._fingerprints(keyed, [F.col("_a")], True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan
