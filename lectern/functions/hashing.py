@@ -15,19 +15,14 @@ def fingerprint(col: Column | str) -> Column:
     return F.conv(F.substring(F.md5(_c(col).cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
-def fingerprint64(col: Column | str) -> Column:
-    """Signed 64-bit hash (Spark only, fastest)."""
-    return F.xxhash64(_c(col))
-
-
 def abs_mod(col: Column | str, n: int) -> Column:
     """``MOD(ABS(x), n)`` without the overflow of ``abs`` on the minimum long."""
     return F.pmod(_c(col), F.lit(n))
 
 
-def hash_pct(col: Column | str) -> Column:
-    """Bucket 0..99 of a value, stable across runs and engines."""
-    return F.pmod(fingerprint(col), F.lit(100))
+def hash_pct(col: Column | str, digest=fingerprint) -> Column:
+    """Bucket 0..99 of a value, stable across runs and engines: ``abs(digest) mod 100`` (of a signed digest, too)."""
+    return F.abs(digest(_c(col).cast("string")) % 100)
 
 
 def seeded_order_key(seed: int | str, key: Column | str) -> Column:

@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.hashing import hash_pct, seeded_order_key
+from lectern.functions.hashing import fingerprint, hash_pct, seeded_order_key
 from lectern.functions.timefmt import sample_pct
 from lectern.labels import SEED
 
 
-def sample_hash_label(df: DataFrame, sample_size: int, total: int, label_col: str = "category") -> DataFrame:
+def sample_hash_label(df: DataFrame, sample_size: int, total: int, label_col: str = "category",
+                      digest=fingerprint) -> DataFrame:
     """As the reference writes it: hash of the *label*, so classes are kept or dropped whole."""
     pct = sample_pct(sample_size, total)
-    return df.where(hash_pct(label_col) < pct)
+    return df.where(hash_pct(label_col, digest) < pct)
 
 
-def sample_hash_row(df: DataFrame, sample_size: int, total: int, key_col: str = "doc_id") -> DataFrame:
+def sample_hash_row(df: DataFrame, sample_size: int, total: int, key_col: str = "doc_id",
+                    digest=fingerprint) -> DataFrame:
     """About ``sample_size`` rows, the same rows on every run: hash of the row key."""
     pct = sample_pct(sample_size, total)
-    return df.where(hash_pct(key_col) < pct)
+    return df.where(hash_pct(key_col, digest) < pct)
 
 
 def random_sample_n(df: DataFrame, n: int, seed: int = SEED, key_col: str = "doc_id") -> DataFrame:

@@ -17,13 +17,13 @@ FAULTS = ["overlap_train_val", "overlap_train_test", "overlap_val_test", "missin
 
 
 def rank_in_class(df: DataFrame, class_col: str = "category", order_col: str = "title",
-                  key_col: str = "doc_id", out_col: str = "rn") -> DataFrame:
-    """1-based rank of each row in its class, ordered by md5(raw title), then key.
+                  key_col: str = "doc_id", out_col: str = "rn", digest=F.md5) -> DataFrame:
+    """1-based rank of each row in its class, ordered by the digest of the raw title, then key.
 
     Computed with the scaled numbering, so a large class is spread over
     many tasks; the result equals the plain window.
     """
-    return hashed_rank(df, [class_col], F.md5(F.col(order_col)), [F.col(key_col).asc_nulls_first()], out_col)
+    return hashed_rank(df, [class_col], digest(F.col(order_col)), [F.col(key_col).asc_nulls_first()], out_col)
 
 
 def split_of(rn, test_pct: int = TEST_PCT, val_pct: int = VAL_PCT):
@@ -36,11 +36,11 @@ def split_of(rn, test_pct: int = TEST_PCT, val_pct: int = VAL_PCT):
 
 def stratified_split(df: DataFrame, test_pct: int = TEST_PCT, val_pct: int = VAL_PCT,
                      class_col: str = "category", order_col: str = "title",
-                     key_col: str = "doc_id") -> DataFrame:
+                     key_col: str = "doc_id", digest=F.md5) -> DataFrame:
     """Add ``split`` in {'train','val','test'} per the rank-in-class rule."""
     if not (0 <= test_pct and 0 <= val_pct and test_pct + val_pct <= 100):
         raise ValueError("test_pct + val_pct must be within 0..100")
-    ranked = rank_in_class(df, class_col, order_col, key_col, "_rn")
+    ranked = rank_in_class(df, class_col, order_col, key_col, "_rn", digest)
     return ranked.withColumn("split", split_of(F.col("_rn"), test_pct, val_pct)).drop("_rn")
 
 

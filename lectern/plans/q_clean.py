@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lectern.functions.farmhash import farm_fingerprint
 from lectern.functions import hashing, scores, text, timefmt
 from lectern.labels import TOPIC_CLASSES
 from lectern.plans.registry import register
@@ -65,6 +66,12 @@ def q_fingerprint(spark, sf):
     return docs_articles(spark, sf).select("doc_id", hashing.fingerprint("title").alias("fp"))
 
 
+@register("farm_fingerprint")
+def q_farm_fingerprint(spark, sf):
+    """Signed 64-bit FarmHash fingerprint of the whole body."""
+    return docs_articles(spark, sf).select("doc_id", farm_fingerprint("body").alias("fp"))
+
+
 @register("abs_mod", """
 SELECT doc_id, CAST(n_chars % 100 AS BIGINT) AS m100, CAST(doc_id % 30 AS BIGINT) AS m30 FROM documents""")
 def q_abs_mod(spark, sf):

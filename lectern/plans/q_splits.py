@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lectern.functions.farmhash import farm_fingerprint
 from lectern.labels import LANG2ID, SEED
 from lectern.operators import epoch_order, sampling, splits
 from lectern.operators.sizing import default_partitions, stable_table
@@ -39,6 +40,13 @@ def q_stratified_split(spark, sf):
     return split_articles(spark, sf).select("doc_id", "category", "label", "split")
 
 
+@register("stratified_split_farm")
+def q_stratified_split_farm(spark, sf):
+    """The split by the 64-bit FarmHash fingerprint of the title, as the source table's own engine orders it."""
+    a = articles(spark, sf).select("doc_id", "title", "category", "label")
+    return splits.stratified_split(a, digest=farm_fingerprint).select("doc_id", "category", "label", "split")
+
+
 @register("stratified_split_scaled", with_(RANKED) + "SELECT doc_id, category, label, split FROM splitted")
 def q_stratified_split_scaled(spark, sf):
     n = 4 * default_partitions(spark.range(1))
