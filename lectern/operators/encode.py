@@ -57,7 +57,7 @@ def join_vocab(df: DataFrame, vocab: DataFrame, key_col: str = "doc_id", tokens_
         zipped = df.select(key_col, F.posexplode(F.arrays_zip(F.col(tokens_col).alias("token"), ids.alias("token_id"))).alias("pos", "_t"))
         return zipped.select(key_col, "pos", F.col("_t")["token"].alias("token"), F.col("_t")["token_id"].alias("token_id"))
     exploded = df.select(key_col, F.posexplode(tokens_col).alias("pos", "token"))
-    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left", max_broadcast_rows=0, salt_source=key_col)
+    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left", salt_source=key_col)
     return j.select(key_col, "pos", "token", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
 
 
@@ -74,7 +74,7 @@ def _ids_per_doc(df: DataFrame, vocab: DataFrame, key_col: str, tokens_col: str,
         return df.select(key_col, F.size(tokens_col).alias("n_tokens"), token_ids(df, packed, kept, UNK_ID).alias("ids"))
     exploded = df.select(key_col, F.size(tokens_col).alias("n_tokens"),
                          F.posexplode_outer(kept).alias("pos", "token"))
-    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left", max_broadcast_rows=0, salt_source=key_col)
+    j = lookup_join(exploded, vocab.select("token", "token_id"), "token", "left", salt_source=key_col)
     item = F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint").alias("token_id"))
     per_doc = j.groupBy(key_col, "n_tokens").agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_p"))

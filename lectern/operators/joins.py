@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.operators.sizing import bounded_broadcast
+from lectern.operators.sizing import bounded_broadcast, default_partitions, stable_table
 
 
 def join_predictions(articles: DataFrame, preds: DataFrame, key_col: str = "doc_id") -> DataFrame:
@@ -27,21 +27,37 @@ def join_label_dict(df: DataFrame, mapping: Mapping[str, int], class_col: str =
     return df.join(d, df[class_col] == d["_cat"], "left").drop("_cat")
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                max_broadcast_rows: int = 2_000_000, salts: int = 16,
-                salt_source: str | None = None) -> DataFrame:
-    """Join a large fact table to a dimension with one row per ``key``.
+# A key with more rows than a task's share, divided by this, is cut into pieces of that size.
+FINENESS = 4
 
-    Broadcast when the dimension's counted rows are under the bound. Beyond
-    it, a shuffle join salted on the fact side: every fact row gets a salt
-    from ``salt_source`` (a column; default the key itself mixed with a row
-    hash), the dimension is replicated ``salts`` times. A hot key (a token
-    in a third of all rows) is then spread over ``salts`` tasks.
+
+def hot_keys(facts: DataFrame, key: str, tasks: int) -> DataFrame:
+    """(key, _pieces) of the keys that hold more than 1 / (FINENESS x tasks) of all rows, so at most FINENESS x tasks keys.
+
+    Counted map-side; a key gets as many pieces as it has such shares.
+    """
+    counts = stable_table(facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    share = max(1, total // (FINENESS * tasks))
+    return counts.where(F.col("_n") > share).select(key, F.ceil(F.col("_n") / share).cast("long").alias("_pieces"))
+
+
+def salted(facts: DataFrame, dim: DataFrame, key: str, salt_source: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt`` to join by: rows of a hot key are dealt over its pieces, its dimension row stands in each."""
+    hot = F.broadcast(hot_keys(facts, key, default_partitions(facts)))  # bounded by the number of tasks
+    src = F.col(salt_source) if salt_source else F.struct(*[F.col(c) for c in facts.columns])
+    pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
+    f = facts.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(src), pieces)).drop("_pieces")
+    d = dim.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))).drop("_pieces")
+    return f, d
+
+
+def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left", salt_source: str | None = None) -> DataFrame:
+    """Join a large fact table to a large dimension with one row per ``key`` by a shuffle.
+
+    The facts are written once and their keys counted; rows of a key that would fill a task by itself (a token in a third of
+    all rows) are dealt over as many pieces as its count asks for, by the hash of ``salt_source`` (default the whole row), and
+    only such keys' dimension rows are repeated.
     """
-    n = dim.count() if max_broadcast_rows > 0 else 1
-    if n <= max_broadcast_rows:
-        return facts.join(F.broadcast(dim), key, how)
-    src = F.col(salt_source) if salt_source else F.xxhash64(*[F.col(c) for c in facts.columns])
-    f = facts.withColumn("_salt", F.pmod(F.xxhash64(src), F.lit(salts)))
-    d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    f, d = salted(stable_table(facts, "facts"), dim, key, salt_source)
     return f.join(d, [key, "_salt"], how).drop("_salt")

@@ -141,7 +141,7 @@ def class_scores(model: NaiveBayesModel, df: DataFrame, text_col: str = "text",
         j = facts.join(F.broadcast(model.terms), "token", "left")
     else:
         facts = exploded.groupBy(key_col, "token").agg(F.count(F.lit(1)).alias("cnt"))
-        j = lookup_join(facts, model.terms, "token", "left", max_broadcast_rows=0, salt_source=key_col)
+        j = lookup_join(facts, model.terms, "token", "left", salt_source=key_col)
     known = F.col("w").isNotNull()
     sums = [F.sum(F.when(known, F.col("cnt") * F.col("w")[i]).otherwise(0.0)).alias(f"_s{i}") for i in range(k)]
     # a document's tokens come from one row, so the partial aggregate leaves
