@@ -23,6 +23,7 @@ from lectern.operators import epoch_trainer, filters, history, naive_bayes, samp
 from lectern.operators.sizing import stable_table
 from lectern.sources import sinks
 from lectern.sources.articles import scan_articles
+from lectern.sources.published import Published
 
 
 def clean_and_split(raw: DataFrame, test_pct: int = TEST_PCT, val_pct: int = VAL_PCT,
@@ -135,6 +136,17 @@ def job_daily_inference(spark: SparkSession, source: DataFrame, model: naive_bay
                                        ("prediction_date", "day_partition"))
 
 
+def job_daily_published(spark: SparkSession, source: DataFrame, model: naive_bayes.NaiveBayesModel, base: str,
+                        day: int | None = None, now: dt.datetime | None = None) -> int:
+    """The daily job with its rows published by a manifest: a killed run is never read, a rerun replaces its day at once, and
+    a rerun that finds no rows takes the old ones away. Returns the rows published."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    day = day_bucket_of(now.day) if day is None else day
+    rows = stable_table(splits.filter_day(source, day), "day-slice")
+    table = Published(spark, base, schemas.daily_prediction(model.class_names))
+    return table.publish(daily_frame(source, model, day, now, rows=rows), f"{now.date()}/{day}")
+
+
 def job_report(predictions: DataFrame, metric_history: DataFrame, classes: Sequence[str],
                patience: int = 3) -> dict[str, DataFrame]:
     """All report tables: curves, confusion, per-class, averages, run parameters, summary.

@@ -21,6 +21,7 @@ from lectern.session import ensure_checkpoint_dir
 from lectern.sources import requests, sinks
 from lectern.sources.adapters import predictions, request_batches
 from lectern.sources.articles import docs_articles
+from lectern.sources.published import Published
 from lectern.sources.tables import scan_csv
 from lectern.streaming.score_append import stream_score_append
 
@@ -215,6 +216,23 @@ def q_job_daily_inference(spark, sf):
                                            "predicted_label", F.round("confidence", 6).alias("confidence"))
 
 
+@register("job_daily_published", nb_sql(DAY_NUMBERED + """,
+test AS (SELECT doc_id, title, body, category, body AS text, day_num FROM numbered WHERE day_num IN (7, 9))""") + """
+SELECT t.doc_id, t.day_num AS day_partition, p2.cls AS predicted_label, round(p2.prob, 6) AS confidence
+FROM test t JOIN p2 ON p2.doc_id = t.doc_id AND p2.r = 1""")
+def q_job_daily_published(spark, sf):
+    """Days 7 (twice), 8 and 9 published, then day 8 again from a source without rows, which takes it away; read back."""
+    base = scratch(spark, "published")
+    model = nb_model(spark, sf)
+    d = docs_articles(spark, sf)
+    for day in (7, 7, 8, 9):
+        jobs.job_daily_published(spark, d, model, base, day=day, now=RUN_TS)
+    jobs.job_daily_published(spark, d.where("title IS NULL"), model, base, day=8, now=RUN_TS)
+    table = Published(spark, base, schemas.daily_prediction(model.class_names))
+    table.collect()
+    return table.read().select("doc_id", "day_partition", "predicted_label", F.round("confidence", 6).alias("confidence"))
+
+
 @register("job_sample_inference", nb_sql(SAMPLE_TEST) + """
 SELECT t.doc_id, t.title, t.body, t.category, p2.cls AS predicted_label, CAST(100 AS BIGINT) AS rows_written
 FROM test t JOIN p2 ON p2.doc_id = t.doc_id AND p2.r = 1""")
