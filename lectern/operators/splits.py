@@ -138,20 +138,40 @@ def _totals() -> list:
             F.sum(F.greatest(there - F.col("_n"), F.lit(0))).alias("extra_rows")]
 
 
+def _scorable(df: DataFrame, order_col: str) -> DataFrame:
+    return df.where(F.col("body").isNotNull() & F.col(order_col).isNotNull())
+
+
+def day_numbers(df: DataFrame, buckets: int = DAY_BUCKETS, order_col: str = "title", key_col: str = "doc_id",
+                out_col: str = "day_num") -> DataFrame:
+    """(key, order, day): ``MOD(ROW_NUMBER() OVER (ORDER BY title, key), buckets)`` over scorable rows; only these columns are
+    numbered, so no text is moved."""
+    keys = _scorable(df, order_col).select(key_col, order_col)
+    numbered = global_row_number(keys, [F.col(order_col).asc_nulls_first(), F.col(key_col).asc_nulls_first()], "_rn")
+    return numbered.withColumn(out_col, F.pmod(F.col("_rn"), F.lit(buckets)).cast("bigint")).drop("_rn")
+
+
+def _by_row(df: DataFrame, numbers: DataFrame, order_col: str, key_col: str, how: str) -> DataFrame:
+    n = numbers.withColumnsRenamed({key_col: "_k", order_col: "_o"})
+    return df.join(n, df[key_col].eqNullSafe(n["_k"]) & (df[order_col] == n["_o"]), how)
+
+
 def day_partition(df: DataFrame, buckets: int = DAY_BUCKETS, order_col: str = "title",
                   key_col: str = "doc_id", out_col: str = "day_num") -> DataFrame:
-    """``MOD(ROW_NUMBER() OVER (ORDER BY title, key), buckets)`` over scorable rows."""
-    scorable = df.where(F.col("body").isNotNull() & F.col(order_col).isNotNull())
-    numbered = global_row_number(scorable, [F.col(order_col).asc_nulls_first(),
-                                            F.col(key_col).asc_nulls_first()], "_rn")
-    return numbered.withColumn(out_col, F.pmod(F.col("_rn"), F.lit(buckets)).cast("bigint")).drop("_rn")
+    """All scorable rows with their day. (order, key) must name a row; rows that share both share a day only by chance and
+    would be doubled, so they are given the least of their days."""
+    numbers = day_numbers(df, buckets, order_col, key_col, out_col).groupBy(key_col, order_col).agg(F.min(out_col).alias(out_col))
+    return _by_row(_scorable(df, order_col), numbers, order_col, key_col, "inner").drop("_k", "_o")
 
 
-def filter_day(df: DataFrame, day: int, buckets: int = DAY_BUCKETS) -> DataFrame:
+def filter_day(df: DataFrame, day: int, buckets: int = DAY_BUCKETS, order_col: str = "title", key_col: str = "doc_id") -> DataFrame:
+    """The rows of one day: the day's keys are picked, then their rows (a semi-join against 1 / buckets of the keys)."""
     from lectern.functions.timefmt import validate_day
 
     validate_day(day, buckets)
-    return day_partition(df, buckets).where(F.col("day_num") == day)
+    numbers = day_numbers(df, buckets, order_col, key_col).groupBy(key_col, order_col).agg(F.min("day_num").alias("day_num"))
+    mine = stable_table(numbers.where(F.col("day_num") == day).select(key_col, order_col), "day-keys")
+    return _by_row(_scorable(df, order_col), mine, order_col, key_col, "left_semi").withColumn("day_num", F.lit(day).cast("bigint"))
 
 
 def stratified_split_exact(df: DataFrame, test_frac: float = 0.1, val_frac: float = 0.111,

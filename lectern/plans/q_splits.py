@@ -94,7 +94,7 @@ numbered AS (
 
 @register("day_partition", DAY_SQL + "SELECT doc_id, day_num FROM numbered")
 def q_day_partition(spark, sf):
-    return splits.day_partition(docs_articles(spark, sf)).select("doc_id", "day_num")
+    return splits.day_numbers(docs_articles(spark, sf)).select("doc_id", "day_num")
 
 
 @register("filter_day", DAY_SQL + """
