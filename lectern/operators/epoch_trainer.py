@@ -31,7 +31,7 @@ from lectern.labels import SEED
 from lectern.operators.encode import tokens
 from lectern.operators.epoch_order import epoch_places
 from lectern.operators.numbering import exact_row_number
-from lectern.operators.sizing import stable_table
+from lectern.operators.sizing import drop_folder, stable_table
 from lectern.session import ensure_checkpoint_dir
 
 UNIT = float(1 << 36)
@@ -284,6 +284,7 @@ def _train_epoch(rows: DataFrame, n: int, epoch: int, steps: int, optimiser: Opt
         optimiser.step(gradient.reshape(optimiser.w.shape))
         losses.append(seen[LOSS] / UNIT / seen[ROWS])
         right += seen[RIGHT]
+    drop_folder(spark, path)
     return losses, right
 
 

@@ -55,6 +55,12 @@ def stable_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def drop_folder(spark, path: str) -> None:
+    """Delete a written intermediate table after its last reader."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def default_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -163,18 +163,18 @@ def q_score_external_model(spark, sf):
 
 
 @register("optional_labels_schema", NB_SQL + """
-SELECT doc_id, cls AS predicted, round(prob, 6) AS confidence FROM p2 WHERE r = 1""")
+SELECT doc_id, max(cls) FILTER (WHERE r = 1) AS predicted, round(max(prob) FILTER (WHERE r = 1), 6) AS confidence,
+       """ + ", ".join(f"round(max(prob) FILTER (WHERE cls = '{c}'), 6) AS prob_{c}" for c in LANG_CLASSES) + """
+FROM p2 GROUP BY doc_id""")
 def q_optional_labels_schema(spark, sf):
     """Unlabelled input: no true_label / correct columns in the prediction frame."""
     from lectern.plans.jobs import predictions_frame
 
-    s = split_docs(spark, sf)
+    s = stable_table(split_docs(spark, sf).select("doc_id", "category", "text", "split"), "splits")
     m = nb_model(spark, sf, s)
-    test = filter_split(s, "test").drop("category", "label")
-    scored = naive_bayes.score_nb(m, test)
-    has_labels = "category" in test.columns
-    out = predictions_frame(scored, LANG_CLASSES, has_labels)
-    return out.select("doc_id", "predicted", F.round("confidence", 6).alias("confidence"))
+    test = filter_split(s, "test").drop("category")
+    out = predictions_frame(naive_bayes.score_nb(m, test), LANG_CLASSES, "category" in test.columns)
+    return out.select("doc_id", "predicted", *[F.round(c, 6).alias(c) for c in ("confidence", *(f"prob_{c}" for c in LANG_CLASSES))])
 
 
 # Rows a mini-batch: a fixed number of steps an epoch, whatever the size of the table.

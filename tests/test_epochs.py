@@ -1,5 +1,6 @@
 """Training over epochs against a numpy version; the keyed permutation against itself run row by row."""
 
+import os
 import re
 from collections import Counter
 
@@ -15,6 +16,7 @@ from lectern.operators.splits import filter_split, stratified_split
 from lectern.plans import jobs
 from lectern.plans.oracle_check import compare, duckdb_con
 from lectern.plans.registry import load_all
+from lectern.session import ensure_checkpoint_dir
 from lectern.sources.articles import docs_articles, scan_articles
 
 CONFIG = et.TrainConfig(epochs=3, batch_size=40, num_features=512, lr=0.1, warmup_steps=2)
@@ -121,6 +123,8 @@ def test_training_equals_numpy_and_any_partitioning(spark, parts, tmp_path):
         model, history = et.train_epochs(*(x.repartition(p) for x in parts), LANG_CLASSES, str(tmp_path / f"run{p}"), CONFIG)
         runs.append((model.weights.tobytes(), table(history)))
     assert runs[0] == runs[1] == runs[2]
+    tables = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    assert not [t for t in os.listdir(tables) if t.startswith("epoch-batches")]  # an epoch's batches go with it
     x, y = dense(spark, parts[0], CONFIG.num_features)
     w, log = numpy_training(x, y, *dense(spark, parts[1], CONFIG.num_features), CONFIG)
     assert np.allclose(np.array(log), np.array(runs[0][1]), atol=1e-6)
