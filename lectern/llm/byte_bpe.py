@@ -5,7 +5,9 @@ the whole encoding, and a token sequence is a BPE encoding exactly if each neigh
 its bytes. The nondeterministic machine therefore keeps, for each place where the token now being read may have begun,
 the trie node of its bytes and the tokens before it. The determinised machine's states are tuples of these items with
 their pending tokens; what all items share is emitted at once, so the lookahead is bounded by the longest token.
-States and pair checks are made when first met and dropped together when the memo is full.
+States and pair checks are made when first met; states are dropped together when there are too many. Encoded pieces are
+remembered in two halves: a full young half becomes the old one, and what is met again moves back, so frequent pieces
+stay however many rare ones pass. Results leave each task in small batches.
 
 Decoding. Tokens are bytes; a character may be cut between two of them. The decoder's state is the unfinished
 character (at most three bytes); its moves by token are memoised in the same lazy way.
@@ -20,7 +22,9 @@ import base64
 import hashlib
 import itertools
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
+from operator import itemgetter
 
 import pyarrow as pa
 import regex
@@ -28,7 +32,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.common import whole_text
 
-MEMO = 400_000  # entries of a memo before it is dropped
+MEMO = 300_000  # entries of a memo's half, or of the pair checks, before they are dropped
+STATES = 400_000  # states of the determinised machine before it starts anew
+OUT_ROWS, OUT_IDS = 1024, 1 << 20  # a batch of results ends with so many rows or ids
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,15 +61,16 @@ class Encoder:
             self.token_at[node] = rank
         self.bytes_of = {rank: word for word, rank in ranks.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.halves: dict[int, tuple[int, int]] = {}
         self.chunks: dict[str, tuple[str, int, tuple[int, ...]]] = {}
+        self.older: dict[str, tuple[str, int, tuple[int, ...]]] = {}
         self._reset()
 
     def _reset(self) -> None:
         # A state is a tuple of (trie node, token before, pending tokens); the last item stands at a boundary.
         self.states: list[tuple] = []
         self.numbers: dict[tuple, int] = {}
-        self.moves: list[dict[int, tuple[tuple[int, ...], int]]] = []
+        self.moves: dict[int, tuple[tuple[int, ...], int]] = {}  # by 256 * state + byte; leads to 256 * state
         self.start = self._number(((0, -1, ()),))
 
     def _number(self, state: tuple) -> int:
@@ -71,13 +78,12 @@ class Encoder:
         if k is None:
             k = self.numbers[state] = len(self.states)
             self.states.append(state)
-            self.moves.append({})
         return k
 
-    def merged(self, word: bytes) -> list[int]:
-        """What the merges make of a short word: the lowest rank first, the leftmost of equals."""
+    def merged(self, word: bytes, stop: int = 1) -> list[int]:
+        """What the merges make of a short word, the lowest rank first, the leftmost of equals, down to ``stop`` parts."""
         parts = [word[i:i + 1] for i in range(len(word))]
-        while len(parts) > 1:
+        while len(parts) > stop:
             ranked = [(self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
             rank, i = min(ranked)
             if rank == 1 << 60:
@@ -85,17 +91,42 @@ class Encoder:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _halves(self, token: int) -> tuple[int, int]:
+        """The two tokens whose merge makes this one; a byte, or a token that no merges make, is its own halves."""
+        known = self.halves.get(token)
+        if known is None:
+            parts = self.merged(self.bytes_of[token], 2)
+            known = self.halves[token] = (parts[0], parts[1]) if len(parts) == 2 else (token, token)
+        return known
+
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the merges leave this pair of tokens (or a single token, ``left`` -1) as it is."""
+        """Whether the merges leave this pair of tokens (or a single token, ``left`` -1) as it is.
+
+        The merges are undone from the last one: the two tokens stay apart unless, at some time, the parts that then
+        touched made a token of a rank below the merge that came next (of equal ranks the left one comes first).
+        """
         known = self.pairs.get((left, right))
         if known is None:
-            word = (self.bytes_of[left] if left >= 0 else b"") + self.bytes_of[right]
-            known = self.merged(word) == ([left, right] if left >= 0 else [right])
+            known = self.merged(self.bytes_of[right]) == [right] if left < 0 else self._apart(left, right)
             if len(self.pairs) >= MEMO:
                 self.pairs.clear()
             self.pairs[left, right] = known
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        a, b, next_merge = left, right, 1 << 60
+        while True:
+            if self.ranks.get(self.bytes_of[a] + self.bytes_of[b], 1 << 60) < next_merge:
+                return False
+            last_left, last_right = self._halves(a)[1], self._halves(b)[0]
+            if last_left == a and last_right == b:
+                return True
+            # undo the later of the two merges; of one rank, the right one came later
+            if last_right == b or (last_left != a and a > b):
+                a, next_merge = last_left, a
+            else:
+                b, next_merge = last_right, b + 1
+
     def _move(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
         items, at_end = [], None
         for node, before, pending in self.states[state]:
@@ -113,52 +144,62 @@ class Encoder:
         while shared < shortest and len({p[shared] for _, _, p in items}) == 1:
             shared += 1
         out = items[0][2][:shared]
-        to = self._number(tuple((n, b, p[shared:]) for n, b, p in items))
-        self.moves[state][byte] = (out, to)
-        return out, to
+        to = 256 * self._number(tuple((n, b, p[shared:]) for n, b, p in items))
+        self.moves[256 * state + byte] = step = (out, to)
+        return step
 
     def encode_word(self, word: bytes) -> tuple[int, ...]:
         """Ids of one match of the pattern; a word that is a token stays whole."""
         whole = self.ranks.get(word)
         if whole is not None:
             return (whole,)
-        if len(self.states) >= MEMO:
+        if len(self.states) >= STATES:
             self._reset()
         out: list[int] = []
-        state, moves = self.start, self.moves
+        at, known = 256 * self.start, self.moves.get
         for byte in word:
-            step = moves[state].get(byte) or self._move(state, byte)
+            step = known(at + byte) or self._move(at >> 8, byte)
             if step[0]:
-                out.extend(step[0])
-            state = step[1]
-        out.extend(self.states[state][-1][2])
+                out += step[0]
+            at = step[1]
+        out += self.states[at >> 8][-1][2]
         return tuple(out)
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        known = self.words.get(word)
-        if known is None:
-            known = self.encode_word(word.encode())
-            if len(self.words) >= MEMO:
-                self.words.clear()
-            if len(word) <= 32:
-                self.words[word] = known
-        return known
-
-    def _chunk(self, chunk: str) -> tuple[str, int, tuple[int, ...]]:
-        lines = LONE_LINE.split(chunk)  # a lone line end is a match of its own, and so parts what stands around it
-        ids: list[int] = []
-        for k, line in enumerate(lines):
-            if k:
-                ids += self._word("\n")
-            ids += (self.chunks.get(line) or self._chunk(line))[2] if len(lines) > 1 else [
-                i for word in self.pattern.findall(line) for i in self._word(word)]
-        known = (",".join(map(str, ids)), len(ids), tuple(ids))
-        if len(lines) == 1 and len(chunk) <= 32:
+    def _keep(self, piece: str, ids: tuple[int, ...]) -> tuple[str, int, tuple[int, ...]]:
+        known = (",".join(map(str, ids)), len(ids), ids)
+        if len(piece) <= 32:
             if len(self.chunks) >= MEMO:
+                self.older = dict(self.chunks)
                 self.chunks.clear()
-            self.chunks[chunk] = known
+            self.chunks[piece] = known
         return known
 
+    def _again(self, piece: str) -> tuple[str, int, tuple[int, ...]] | None:
+        known = self.older.get(piece)
+        return known and self._keep(piece, known[2])
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        known = self.chunks.get(word) or self._again(word) or self._keep(word, self.encode_word(word.encode()))
+        return known[2]
+
+    def _chunk(self, chunk: str) -> tuple[str, int, tuple[int, ...]]:
+        known = self._again(chunk)
+        if known:
+            return known
+        if "\n" in chunk:  # a lone line end is a match of its own, and so parts what stands around it
+            lines = LONE_LINE.split(chunk)
+            if len(lines) > 1:
+                ids = []
+                for k, line in enumerate(lines):
+                    if k:
+                        ids += self._word("\n")
+                    ids += (self.chunks.get(line) or self._chunk(line))[2]
+                return ",".join(map(str, ids)), len(ids), tuple(ids)
+        words = self.pattern.findall(chunk)
+        if len(words) == 1:
+            return self._keep(chunk, self.encode_word(chunk.encode()))
+        return self._keep(chunk, tuple([i for word in words for i in self._word(word)]))
+
     def chunks_of(self, text: str) -> Iterator[tuple[str, int, tuple[int, ...]]]:
         """The text's pieces with their ids. A lone space between two visible symbols always begins a match, so the
         pieces that such spaces begin can be encoded, and remembered, by themselves."""
@@ -256,7 +297,7 @@ def encoder(ranks: bytes, pattern: str) -> Encoder:
 
 def digests(text: str, enc: Encoder, dec: Decoder, with_ids: bool) -> tuple:
     """(number of ids, their digest, digest of the decoded text[, ids]); a very long text passes in blocks."""
-    sha_ids, sha_text, n, ids = hashlib.sha256(), hashlib.sha256(), 0, []
+    sha_ids, sha_text, n, ids = hashlib.sha256(), hashlib.sha256(), 0, array("i")
     pieces = enc.chunks_of(text) if text else iter(())
     while block := list(itertools.islice(pieces, 8192)):
         sha_ids.update((("," if n else "") + ",".join([x[0] for x in block])).encode())
@@ -264,7 +305,7 @@ def digests(text: str, enc: Encoder, dec: Decoder, with_ids: bool) -> tuple:
         sha_text.update(dec.feed(flat).encode())
         n += len(flat)
         if with_ids:
-            ids += flat
+            ids.extend(flat)
     sha_text.update(dec.finish().encode())
     return n, sha_ids.hexdigest(), sha_text.hexdigest(), *([ids] if with_ids else [])
 
@@ -286,9 +327,13 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
         enc = encoder(shared.value, pattern)
         moves, whole = {}, WholeTokens(enc.bytes_of)
         for batch in batches:
-            rows = [digests(t.as_py(), enc, Decoder(enc.bytes_of, moves, whole), with_ids) for t in batch.column("_text")]
-            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], names=names)
+            keys, texts, begin, rows = batch.column("_key"), batch.column("_text"), 0, []
+            for at, text in enumerate(texts, 1):
+                rows.append(digests(text.as_py(), enc, Decoder(enc.bytes_of, moves, whole), with_ids))
+                if at == len(texts) or len(rows) >= OUT_ROWS or with_ids and sum(map(itemgetter(0), rows)) >= OUT_IDS:
+                    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                    yield pa.RecordBatch.from_arrays([keys.slice(begin, at - begin), *columns], names=names)
+                    begin, rows = at, []
 
     kinds = [pa.int64(), pa.string(), pa.string(), *([pa.list_(pa.int32())] if with_ids else [])]
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]

@@ -406,3 +406,30 @@ def test_search_all_candidates_where_few(spark):
             want = [k for k in np.argsort(-score[q], kind="stable") if k != q][:20]
             assert len(found[q]) == min(20, n - 1)
             assert n > 21 and len(found[q] & set(want)) >= 10 or found[q] == set(want)
+
+
+def test_bpe_small_memos_and_undone_merges_agree_with_plain_merging(monkeypatch):
+    """Full memos and restarts of the machine change nothing; undoing merges tells what merging a pair tells."""
+    monkeypatch.setattr(byte_bpe, "MEMO", 50)
+    monkeypatch.setattr(byte_bpe, "STATES", 40)
+    ranks = byte_bpe.read_ranks(RANKS)
+    own = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(5)
+    for _ in range(1500):
+        text = "".join(rnd.choice("aaabbcde '12.,\n\tö привет你好🙂") for _ in range(rnd.randint(0, 60)))
+        assert own.encode(text) == library.encode(text, disallowed_special=())
+    assert len(own.chunks) <= 50 and len(own.older) <= 50
+    ids = sorted(own.bytes_of)
+    for _ in range(20000):
+        a, b = rnd.choice(ids[:2000]), rnd.choice(ids[:2000])
+        assert own._apart(a, b) == (own.merged(own.bytes_of[a] + own.bytes_of[b]) == [a, b])
+
+
+def test_bpe_results_leave_in_small_batches(spark):
+    """However results are cut into batches, keys keep their rows."""
+    docs = spark.createDataFrame([(k, "word " * (k % 7)) for k in range(3000)], "doc_id long, text string").coalesce(1)
+    got = byte_bpe.bpe_digests(docs, RANKS, public_tokenizers.PATTERN, with_ids=True).collect()
+    own = byte_bpe.Encoder(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    assert sorted(r.doc_id for r in got) == list(range(3000))
+    assert all(r.ids == own.encode("word " * (r.doc_id % 7)) and r.n_tokens == len(r.ids) for r in got)
