@@ -11,6 +11,7 @@ from lectern.operators import filters
 from lectern.plans.registry import register
 from lectern.plans.views import DOCS, LANG_CASE, PAGES, with_
 from lectern.sources.articles import docs_articles, pages_articles, scan_articles, scan_projected
+from lectern.sources.footers import footer_statistics, table_bytes
 from lectern.sources.tables import scan_external, table_path
 
 
@@ -99,3 +100,34 @@ SELECT column_name, column_type, ordinal, n_rows FROM (
 def q_table_metadata(spark, sf):
     from lectern.operators.profile import table_metadata
     return table_metadata(spark.read.parquet(table_path(sf, "documents")))
+
+
+def _footer_sql(table: str, columns: list[tuple[str, str]]) -> str:
+    """One row per column; texts have no extremes in footers."""
+    rows = []
+    for i, (name, kind) in enumerate(columns, 1):
+        lo, hi = ("NULL", "NULL") if kind == "string" else (f"min({name})", f"max({name})")
+        rows.append(f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS column_type, CAST({i} AS BIGINT) AS ordinal, "
+                    f"count(*) AS n_rows, count(*) - count({name}) AS n_nulls, CAST({lo} AS DOUBLE) AS min_value, "
+                    f"CAST({hi} AS DOUBLE) AS max_value FROM {table}")
+    return " UNION ALL ".join(rows)
+
+
+FOOTER_TABLES = {
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")],
+    "events": [("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double"), ("props", "string")],
+}
+
+
+@register("table_footer_statistics", " UNION ALL ".join(_footer_sql(t, c) for t, c in FOOTER_TABLES.items()))
+def q_table_footer_statistics(spark, sf):
+    """Rows, nulls and extremes of whole tables from their footers."""
+    parts = [footer_statistics(spark, table_path(sf, t), [c for c, _ in columns]).select(F.lit(t).alias("table_name"), "*")
+             for t, columns in FOOTER_TABLES.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@register("table_bytes")
+def q_table_bytes(spark, sf):
+    """Files and bytes of ``documents``, from the listing."""
+    return table_bytes(spark, table_path(sf, "documents"))
