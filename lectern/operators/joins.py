@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,22 +42,24 @@ def hot_keys(facts: DataFrame, key: str, tasks: int) -> DataFrame:
     return counts.where(F.col("_n") > share).select(key, F.ceil(F.col("_n") / share).cast("long").alias("_pieces"))
 
 
-def salted(facts: DataFrame, dim: DataFrame, key: str, salt_source: str | None = None) -> tuple[DataFrame, DataFrame]:
+def salted(facts: DataFrame, dim: DataFrame, key: str, salt_source: str | Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_salt`` to join by: rows of a hot key are dealt over its pieces, its dimension row stands in each."""
     hot = F.broadcast(hot_keys(facts, key, default_partitions(facts)))  # bounded by the number of tasks
-    src = F.col(salt_source) if salt_source else F.struct(*[F.col(c) for c in facts.columns])
+    source = [salt_source] if isinstance(salt_source, str) else salt_source or facts.columns
+    src = F.struct(*[F.col(c) for c in source])
     pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
     f = facts.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(src), pieces)).drop("_pieces")
     d = dim.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))).drop("_pieces")
     return f, d
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left", salt_source: str | None = None) -> DataFrame:
+def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
+                salt_source: str | Sequence[str] | None = None) -> DataFrame:
     """Join a large fact table to a large dimension with one row per ``key`` by a shuffle.
 
     The facts are written once and their keys counted; rows of a key that would fill a task by itself (a token in a third of
-    all rows) are dealt over as many pieces as its count asks for, by the hash of ``salt_source`` (default the whole row), and
-    only such keys' dimension rows are repeated.
+    all rows) are dealt over as many pieces as its count asks for, by the hash of the ``salt_source`` columns (default the
+    whole row), and only such keys' dimension rows are repeated.
     """
     f, d = salted(stable_table(facts, "facts"), dim, key, salt_source)
     return f.join(d, [key, "_salt"], how).drop("_salt")

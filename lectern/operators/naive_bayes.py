@@ -124,38 +124,39 @@ def train_nb(train: DataFrame, class_names: Sequence[str], text_col: str = "text
     return NaiveBayesModel(terms, names, log_prior, log_denom, vocab, n_docs, n_tokens)
 
 
-def class_scores(model: NaiveBayesModel, df: DataFrame, text_col: str = "text", key_col: str = "doc_id",
+def class_scores(model: NaiveBayesModel, df: DataFrame, text_col: str = "text", key_col: str | Sequence[str] = "doc_id",
                  keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., z) with z the unnormalised log score of every class.
 
-    ``key_col`` must identify a row. Only (key, token) pairs are exploded:
+    ``key_col``, one column or several, must identify a row. Only (key, token) pairs are exploded:
     the ``keep`` columns (often the whole text) are joined back once per
     document instead of being copied into every token row.
     """
     k = len(model.class_names)
+    keys = [key_col] if isinstance(key_col, str) else list(key_col)
     # One NULL sentinel token per document keeps token-less documents.
     toks = F.concat(tokens(text_col), F.array(F.lit(None).cast("string")))
-    exploded = df.select(key_col, F.explode(toks).alias("token"))
+    exploded = df.select(*keys, F.explode(toks).alias("token"))
     if terms_broadcastable(model):
         facts = exploded.withColumn("cnt", F.lit(1).cast("bigint"))
         j = facts.join(F.broadcast(model.terms), "token", "left")
     else:
-        facts = exploded.groupBy(key_col, "token").agg(F.count(F.lit(1)).alias("cnt"))
-        j = lookup_join(facts, model.terms, "token", "left", salt_source=key_col)
+        facts = exploded.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("cnt"))
+        j = lookup_join(facts, model.terms, "token", "left", salt_source=keys)
     known = F.col("w").isNotNull()
     sums = [F.sum(F.when(known, F.col("cnt") * F.col("w")[i]).otherwise(0.0)).alias(f"_s{i}") for i in range(k)]
     # a document's tokens come from one row, so the partial aggregate leaves
     # one row per document and task before the shuffle
-    agg = j.groupBy(key_col).agg(F.sum(F.when(known, F.col("cnt")).otherwise(0)).alias("_nv"), *sums)
+    agg = j.groupBy(*keys).agg(F.sum(F.when(known, F.col("cnt")).otherwise(0)).alias("_nv"), *sums)
     z = F.array(*[F.lit(lp) + F.col(f"_s{i}") - F.col("_nv") * F.lit(ld)
                   for i, (lp, ld) in enumerate(zip(model.log_prior, model.log_denom))])
-    scores = agg.select(key_col, z.alias("z"))
+    scores = agg.select(*keys, z.alias("z"))
     if not keep:
         return scores
-    return df.select(key_col, *keep).join(scores, key_col, "inner").select(key_col, *keep, "z")
+    return df.select(*keys, *keep).join(scores, keys, "inner").select(*keys, *keep, "z")
 
 
-def score_nb(model: NaiveBayesModel, df: DataFrame, text_col: str = "text", key_col: str = "doc_id",
+def score_nb(model: NaiveBayesModel, df: DataFrame, text_col: str = "text", key_col: str | Sequence[str] = "doc_id",
              keep: Sequence[str] = ()) -> DataFrame:
     """Adds probs (softmax of z), pred (argmax, lowest id on ties), predicted_label, confidence."""
     z = class_scores(model, df, text_col, key_col, keep)

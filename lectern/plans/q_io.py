@@ -22,7 +22,7 @@ from lectern.sources import requests, sinks
 from lectern.sources.adapters import predictions, request_batches
 from lectern.sources.articles import docs_articles
 from lectern.sources.published import Published
-from lectern.sources.tables import scan_csv
+from lectern.sources.tables import read_table, scan_csv
 from lectern.streaming.score_append import stream_score_append
 
 RUN_TS = dt.datetime(2024, 1, 8, 6, 30, 0, tzinfo=dt.timezone.utc)
@@ -152,11 +152,43 @@ def q_request_json(spark, sf):
 def q_response_json(spark, sf):
     rows, rejected = requests.request_json(request_batches(spark, sf))
     model = nb_model(spark, sf)
-    keyed = rows.withColumn("rid", F.xxhash64("conv_id", "chunk", "pos"))
-    scored = naive_bayes.score_nb(model, keyed, key_col="rid", keep=["conv_id", "chunk", "pos"])
+    scored = naive_bayes.score_nb(model, rows, key_col=["conv_id", "chunk", "pos"])
     return requests.response_json(scored, model.class_names)
 
 
+RESPONSE_TEST = """reqs AS (SELECT conv_id, CAST(turn // 256 AS BIGINT) AS chunk, text,
+                 CAST(row_number() OVER (PARTITION BY conv_id, turn // 256 ORDER BY turn) - 1 AS BIGINT) AS pos FROM conversations),
+test AS (SELECT conv_id || '/' || chunk || '/' || pos AS doc_id, 'en' AS category, * FROM reqs)"""
+
+
+@register("response_rows", nb_sql(RESPONSE_TEST) + """
+SELECT t.conv_id, t.chunk, t.pos, any_value(cls) FILTER (WHERE r = 1) AS label,
+       round(any_value(prob) FILTER (WHERE r = 1), 4) AS confidence,
+       round(any_value(prob) FILTER (WHERE cls = 'de'), 4) AS score_de,
+       round(any_value(prob) FILTER (WHERE cls = 'en'), 4) AS score_en,
+       round(any_value(prob) FILTER (WHERE cls = 'es'), 4) AS score_es,
+       round(any_value(prob) FILTER (WHERE cls = 'fr'), 4) AS score_fr
+FROM test t JOIN p2 ON p2.doc_id = t.doc_id GROUP BY t.conv_id, t.chunk, t.pos""")
+def q_response_rows(spark, sf):
+    """The JSON responses read back, one row per instance."""
+    return requests.response_rows(q_response_json(spark, sf), LANG_CLASSES)
+
+
+@register("request_rejects", """
+SELECT conv_id, chunk, 'instances list is empty' AS reason
+FROM (SELECT conv_id, CAST(turn // 256 AS BIGINT) AS chunk, role FROM conversations)
+GROUP BY conv_id, chunk HAVING count(*) FILTER (WHERE role = 'system') = 0
+UNION ALL SELECT conv_id, CAST(-1 - turn AS BIGINT), 'malformed request' FROM conversations""")
+def q_request_rejects(spark, sf):
+    """Rejected requests come back with their reason: chunks asked for their system turns only, and bare texts."""
+    turns = read_table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"])
+    text = F.when(F.col("role") == "system", F.struct("text"))
+    asked = turns.groupBy("conv_id", F.floor(F.col("turn") / 256).cast("bigint").alias("chunk")).agg(
+        F.to_json(F.struct(F.collect_list(text).alias("instances"))).alias("request"))
+    bare = turns.select("conv_id", (F.lit(-1) - F.col("turn")).cast("bigint").alias("chunk"), F.col("text").alias("request"))
+    return requests.request_json(asked.unionByName(bare))[1]
+
+
 @register("guard_empty", with_(DOCS) + "," + DAY_NUMBERED + " SELECT doc_id, title FROM numbered WHERE day_num = 7")
 def q_guard_empty(spark, sf):
     """Daily slice guard: a non-empty slice passes through, an empty one would return 0 rows written."""

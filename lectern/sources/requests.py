@@ -15,15 +15,16 @@ def request_json(requests: DataFrame, request_col: str = "request",
     """Parse ``{"instances":[{"text":..}]}``. Returns (rows, rejected).
 
     rows: (ids..., pos, text) with pos the 0-based input position;
-    rejected: (ids..., reason) for unparsable or empty instance lists.
+    rejected: (ids..., reason) for unparsable requests, empty instance lists and instances without a text; a request
+    is taken or rejected as a whole.
     """
     parsed = requests.select(*id_cols, F.from_json(F.col(request_col), REQUEST_SCHEMA).alias("_r"))
     inst = F.col("_r.instances")
-    ok = inst.isNotNull() & (F.size(inst) > 0)
-    rows = parsed.where(ok).select(*id_cols, F.posexplode(inst).alias("pos", "_i")) \
+    reason = F.when(inst.isNull(), "malformed request").when(F.size(inst) == 0, "instances list is empty") \
+        .when(F.exists(inst, lambda i: i["text"].isNull()), "instance without text")
+    rows = parsed.where(reason.isNull()).select(*id_cols, F.posexplode(inst).alias("pos", "_i")) \
         .select(*id_cols, F.col("pos").cast("bigint").alias("pos"), F.col("_i.text").alias("text"))
-    rejected = parsed.where(~ok | inst.isNull()).select(
-        *id_cols, F.when(inst.isNull(), "malformed request").otherwise("instances list is empty").alias("reason"))
+    rejected = parsed.select(*id_cols, reason.alias("reason")).where("reason IS NOT NULL")
     return rows, rejected
 
 
@@ -42,3 +43,13 @@ def response_json(scored: DataFrame, class_names: Sequence[str],
     preds = F.transform("_p", lambda s: F.struct(s["label"].alias("label"), s["confidence"].alias("confidence"),
                                                  s["scores"].alias("scores")))
     return grouped.select(*id_cols, F.to_json(F.struct(preds.alias("predictions"))).alias("response"))
+
+
+def response_rows(responses: DataFrame, class_names: Sequence[str], response_col: str = "response",
+                  id_cols: Sequence[str] = ("conv_id", "chunk")) -> DataFrame:
+    """The predictions of each response as rows: (ids..., pos, label, confidence, score_<class>...)."""
+    schema = "struct<predictions: array<struct<label: string, confidence: double, scores: map<string, double>>>>"
+    parsed = responses.select(*id_cols, F.from_json(response_col, schema)["predictions"].alias("_p"))
+    return parsed.select(*id_cols, F.posexplode("_p").alias("pos", "_i")).select(
+        *id_cols, F.col("pos").cast("bigint").alias("pos"), "_i.label", "_i.confidence",
+        *[F.col("_i.scores")[c].alias(f"score_{c}") for c in class_names])

@@ -89,13 +89,35 @@ def test_request_round_trip_and_empty_rejected(spark, model):
     rows, rejected = requests.request_json(req)
     assert [(r.conv_id, r.pos, r.text) for r in rows.orderBy("pos").collect()] == [(1, 0, "the cat"), (1, 1, "le chat")]
     assert [r.reason for r in rejected.collect()] == ["instances list is empty"]
-    keyed = rows.withColumn("rid", F.xxhash64("conv_id", "chunk", "pos"))
-    scored = naive_bayes.score_nb(model, keyed, key_col="rid", keep=["conv_id", "chunk", "pos"])
+    scored = naive_bayes.score_nb(model, rows, key_col=["conv_id", "chunk", "pos"])
     resp = requests.response_json(scored, model.class_names).first().response
     import json
 
     preds = json.loads(resp)["predictions"]
     assert len(preds) == 2 and set(preds[0]) == {"label", "confidence", "scores"}
+    back = requests.response_rows(requests.response_json(scored, model.class_names), model.class_names).orderBy("pos").collect()
+    assert [(r.conv_id, r.chunk, r.pos, r.label) for r in back] == [(1, 0, k, p["label"]) for k, p in enumerate(preds)]
+
+
+def test_requests_are_taken_or_rejected_whole(spark):
+    req = spark.createDataFrame([(1, 0, "not json"), (2, 0, None), (3, 0, '{"instances":[{"text":"a"},{"txt":"b"}]}'),
+                                 (4, 0, '{"instances":[{"text":""}]}'), (5, 0, '{"instances":{}}')],
+                                "conv_id long, chunk long, request string")
+    rows, rejected = requests.request_json(req)
+    assert [(r.conv_id, r.pos, r.text) for r in rows.collect()] == [(4, 0, "")]
+    got = {r.conv_id: r.reason for r in rejected.collect()}
+    assert got.pop(3) == "instance without text" and got.pop(5) and set(got.values()) == {"malformed request"} and len(got) == 2
+
+
+def test_rows_of_several_keys_score_as_rows_of_one(spark, model, monkeypatch):
+    """The broadcast and the shuffled look-up give the same scores under a key of three columns."""
+    rows = spark.createDataFrame([(k % 3, 0, k, "le chat " * (k % 4) + "the cat") for k in range(40)],
+                                 "conv_id long, chunk long, pos long, text string")
+    one = {r.pos: r.z for r in naive_bayes.class_scores(model, rows, key_col="pos").collect()}
+    for broadcast in (True, False):
+        monkeypatch.setattr(naive_bayes, "terms_broadcastable", lambda m, b=broadcast: b)
+        got = naive_bayes.class_scores(model, rows, key_col=["conv_id", "chunk", "pos"]).collect()
+        assert len(got) == 40 and all(r.z == pytest.approx(one[r.pos]) for r in got)  # a class without rows has -inf
 
 
 def test_stream_appends_each_file_once(spark, docs, model, tmp_path):
