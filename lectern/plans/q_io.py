@@ -23,6 +23,7 @@ from lectern.sources.adapters import predictions, request_batches
 from lectern.sources.articles import docs_articles
 from lectern.sources.published import Published
 from lectern.sources.tables import read_table, scan_csv
+from lectern.streaming.request_stream import stream_requests
 from lectern.streaming.score_append import stream_score_append
 
 RUN_TS = dt.datetime(2024, 1, 8, 6, 30, 0, tzinfo=dt.timezone.utc)
@@ -161,14 +162,17 @@ RESPONSE_TEST = """reqs AS (SELECT conv_id, CAST(turn // 256 AS BIGINT) AS chunk
 test AS (SELECT conv_id || '/' || chunk || '/' || pos AS doc_id, 'en' AS category, * FROM reqs)"""
 
 
-@register("response_rows", nb_sql(RESPONSE_TEST) + """
+RESPONSE_SQL = nb_sql(RESPONSE_TEST) + """
 SELECT t.conv_id, t.chunk, t.pos, any_value(cls) FILTER (WHERE r = 1) AS label,
        round(any_value(prob) FILTER (WHERE r = 1), 4) AS confidence,
        round(any_value(prob) FILTER (WHERE cls = 'de'), 4) AS score_de,
        round(any_value(prob) FILTER (WHERE cls = 'en'), 4) AS score_en,
        round(any_value(prob) FILTER (WHERE cls = 'es'), 4) AS score_es,
        round(any_value(prob) FILTER (WHERE cls = 'fr'), 4) AS score_fr
-FROM test t JOIN p2 ON p2.doc_id = t.doc_id GROUP BY t.conv_id, t.chunk, t.pos""")
+FROM test t JOIN p2 ON p2.doc_id = t.doc_id GROUP BY t.conv_id, t.chunk, t.pos"""
+
+
+@register("response_rows", RESPONSE_SQL)
 def q_response_rows(spark, sf):
     """The JSON responses read back, one row per instance."""
     return requests.response_rows(q_response_json(spark, sf), LANG_CLASSES)
@@ -342,3 +346,16 @@ def q_stream_score_append(spark, sf):
     # a second run finds no new files and writes nothing
     stream_score_append(spark, src, d.schema, nb_model(spark, sf), sink, ck)
     return spark.read.parquet(sink).select("doc_id", "title", "category", "predicted_label", "confidence")
+
+
+@register("stream_requests", RESPONSE_SQL)
+def q_stream_requests(spark, sf):
+    """All requests arrive as lines of files; the stream answers each once, whatever runs follow."""
+    src, out, mark = (scratch(spark, f"requests-{d}") for d in ("src", "out", "mark"))
+    lines = request_batches(spark, sf).select(F.concat(
+        F.lit('{"conv_id":'), "conv_id", F.lit(',"chunk":'), "chunk", F.lit(","), F.expr("substring(request, 2)")).alias("value"))
+    lines.write.text(src)
+    model = nb_model(spark, sf)
+    for _ in range(2):  # the second run finds no new files
+        stream_requests(spark, src, model, out, scratch(spark, "requests-rejects"), mark)
+    return requests.response_rows(spark.read.parquet(out), LANG_CLASSES)

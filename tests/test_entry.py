@@ -10,7 +10,8 @@ from lectern.plans.oracle_check import compare, duckdb_con
 FAST_KEYS = ["scan_articles", "label_encode", "stratified_split", "rank_in_class", "day_partition",
              "clean_article", "word_count_box", "classification_report", "report_averages", "confusion_counts",
              "confidence_histogram", "log_loss_batched", "early_stop", "metrics_read", "build_vocab",
-             "encode_head_tail", "score_nb", "train_nb", "request_json", "one_per_class", "random_sample_n"]
+             "encode_head_tail", "score_nb", "train_nb", "request_json", "one_per_class", "random_sample_n",
+             "request_rejects", "table_footer_statistics"]
 
 
 def test_entry_runs(spark):
