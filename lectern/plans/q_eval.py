@@ -165,14 +165,34 @@ def q_per_class_metrics(spark, sf):
     return ev.classification_report(preds_ids(spark, sf), TOPIC_CLASSES, null_safe=True)
 
 
-@register("performance_trend", with_(PREDICTIONS) + """
+TREND_SQL = with_(PREDICTIONS) + """
 SELECT prediction_date, count(*) AS n, round(avg(CAST(correct AS DOUBLE)), 6) AS accuracy,
-       round(avg(confidence), 6) AS avg_confidence FROM predictions GROUP BY prediction_date""")
+       round(avg(confidence), 6) AS avg_confidence FROM predictions GROUP BY prediction_date"""
+
+
+@register("performance_trend", TREND_SQL)
 def q_performance_trend(spark, sf):
     from lectern.operators.reports import performance_trend
     return performance_trend(predictions(spark, sf))
 
 
+@register("stream_performance_trend", TREND_SQL)
+def q_stream_performance_trend(spark, sf):
+    """The trend from a stream: a first run of every day with turned marks, its rerun, then a first run's file that comes late."""
+    from lectern.plans.q_io import scratch
+    from lectern.streaming.trend import current_trend, stream_run_sums
+
+    p = predictions(spark, sf).select("doc_id", "prediction_date", F.dayofmonth("prediction_date").alias("day_partition"),
+                                      "correct", "confidence")
+    src, sums, mark = (scratch(spark, f"trend-{d}") for d in ("src", "sums", "mark"))
+    turned = p.withColumn("correct", ~F.col("correct"))
+    for rows, hour in ((turned, 6), (p, 9), (turned, 6)):
+        run = rows.withColumn("run_timestamp", F.make_timestamp(F.lit(2024), F.lit(1), F.lit(8), F.lit(hour), F.lit(0), F.lit(0)))
+        run.write.mode("append").parquet(src)
+        stream_run_sums(spark, src, run.schema, sums, mark)
+    return current_trend(spark.read.parquet(sums))
+
+
 @register("summary_stats", with_(PREDICTIONS) + """
 SELECT count(*) AS n, round(avg(CAST(correct AS DOUBLE)), 6) AS accuracy, round(avg(confidence), 6) AS avg_confidence,
        min(prediction_date) AS first_date, max(prediction_date) AS latest_date FROM predictions""")
