@@ -156,6 +156,23 @@ def test_best_epoch_restored_and_run_resumed(spark, parts, tmp_path, monkeypatch
     assert (resumed.weights == whole.weights).all() and len(table(history)) == CONFIG.epochs
 
 
+@pytest.mark.parametrize("arrow", ["true", "false"])
+def test_state_written_with_and_without_arrow(spark, tmp_path, arrow):
+    before = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", arrow)
+    try:
+        given = [np.array([[0.0, 0.0], [0.271808013285187, -1.5], [0.0, 3e-17]]), np.zeros((3, 2)), np.eye(3, 2)]
+        et._write_state(spark, str(tmp_path / "s"), given)
+        assert all((a == b).all() for a, b in zip(given, et._read_state(spark, str(tmp_path / "s"), 3, (3, 2))))
+        et._write_state(spark, str(tmp_path / "z"), [np.zeros((3, 2))])  # nothing but zeros: no rows
+        assert not et._read_state(spark, str(tmp_path / "z"), 1, (3, 2))[0].any()
+        df = spark.createDataFrame([(i, "en" if i % 2 else "fr", f"word{i % 2} word") for i in range(12)], "doc_id long, category string, text string")
+        model, history = et.train_epochs(df, df, LANG_CLASSES, str(tmp_path / "r"), et.TrainConfig(epochs=2, batch_size=6, num_features=16, lr=0.1))
+        assert len(table(history)) == 2 and et.score_epochs(model, df).where("predicted_label is null").count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", before)
+
+
 def test_odd_rows(spark, tmp_path):
     rows = [(1, "en", "a b"), (1, "en", "a b"), (None, "fr", None), (2, "de", ""), (3, "xx", "left out"), (4, None, "left out")]
     df = spark.createDataFrame(rows, "doc_id long, category string, text string")
