@@ -7,8 +7,8 @@ replacement in proportion to the weights: Gumbel noise, drawn from a hash of the
 the k largest are kept. k is the number of documents whose log weight reaches the cut that best separates the labelled
 documents, so the share that is kept follows the corpus.
 
-The target model is fitted on one half and the cut on the other half of at most ``LABEL_LIMIT`` labelled rows (a hash
-sample beyond that); the raw model, the weights, k and the k-th largest key cover all rows.
+The target model is fitted on one half and the cut on the other half of all labelled rows; the raw model, the weights, k
+and the k-th largest key cover all rows.
 
 Defined cases: null text counts as empty and has log weight 0; without good labels all weights are 0 and all rows
 are kept; rows that tie with the k-th key are kept too, so repeated rows share one fate; a null doc_id is never
@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.arrays import WordHashes, gathered
 from lectern.llm.common import staged, whole_text
+from lectern.operators.sizing import bounded_broadcast
 
 BUCKETS = 1 << 16
-LABEL_LIMIT = 200_000
+SENT_LABELS = 4_000_000  # so many labelled rows are sent to the executors (some 60 bytes each); more are joined by a shuffle
 SEED = 20240229
 PRIOR = 4.0           # added to each bucket of both models
 BIN, EDGE = 0.25, 400  # the cut is looked for on a grid of this step up to this log weight
@@ -62,14 +63,15 @@ def ngrams(words: list[bytes], hashes: WordHashes, shapes: ShapeHashes) -> np.nd
     return np.concatenate([x >> SHIFT for x in found]).astype(np.int64)
 
 
-def labelled(labels: DataFrame, value: str, limit: int = LABEL_LIMIT) -> DataFrame:
-    """(doc_id, label) of at most about ``limit`` rows, chosen by a hash of the id; small enough to broadcast."""
-    rows = labels.where(F.col("doc_id").isNotNull() & F.col(value).isNotNull()).groupBy("doc_id").agg(
-        F.max(F.col(value).cast("int")).alias("label"))
-    n = rows.count()
-    if n > limit:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(limit / n * (1 << 20)))
-    return rows
+def labelled(labels: DataFrame, value: str) -> DataFrame:
+    """(doc_id, label) of every labelled document, written once."""
+    return staged(labels.where(F.col("doc_id").isNotNull() & F.col(value).isNotNull()).groupBy("doc_id").agg(
+        F.max(F.col(value).cast("int")).alias("label")), "labels")
+
+
+def with_labels(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` with the other columns of ``known`` by doc_id, null where it lacks the id."""
+    return rows.join(bounded_broadcast(known, SENT_LABELS), "doc_id", "left")
 
 
 def for_cut(key: Column) -> Column:
@@ -80,7 +82,7 @@ def for_cut(key: Column) -> Column:
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Log ratio of the target and the raw model by bucket."""
     good = labels.where("label = 1").where(~for_cut(F.col("doc_id"))).select("doc_id", F.lit(True).alias("_good"))
-    rows = docs.select("doc_id", whole_text().alias("_text")).join(F.broadcast(good), "doc_id", "left").select(
+    rows = with_labels(docs.select("doc_id", whole_text().alias("_text")), good).select(
         "_text", F.coalesce("_good", F.lit(False)).alias("_good"))
 
     def count(batches: Iterable[pd.DataFrame]) -> dict[str, np.ndarray]:
@@ -164,7 +166,7 @@ def resample(docs: DataFrame, labels: DataFrame, value: str = "quality") -> tupl
     known = labelled(labels, value)
     ratios = log_ratios(docs, known)
     weights = docs.select("doc_id", log_weight(docs, ratios).alias("log_weight"), gumbel().alias("_noise"))
-    weights = staged(weights.join(F.broadcast(known), "doc_id", "left").select(
+    weights = staged(with_labels(weights, known).select(
         "doc_id", "log_weight", (F.col("log_weight") + F.col("_noise")).alias("sample_key"), "label"), "weights")
     k = weights.where(F.col("log_weight") >= F.lit(best_cut(weights))).count()
     least = kth_largest(weights, "sample_key", k) if k else math.inf

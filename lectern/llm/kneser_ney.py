@@ -10,8 +10,8 @@ Counts live in arrays of fixed size indexed by hashes. Pair counts of a full arr
 cell. Distinct contexts are estimated by 64-bit sketches with geometric bits, merged by "or", so they cover all
 documents at any size.
 
-Learning uses at most ``LABEL_LIMIT`` labelled rows outside the held-out fold (a hash sample beyond that); the shared
-counts use every document. Labels, lang, source and doc_id are no inputs of a score.
+Learning uses every labelled row outside the held-out fold; the shared counts use every document. The logistic function
+is fitted by sums that Spark takes over its rows, so no row reaches the driver. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined cases: null and empty texts have no windows and score as such (the logistic of zero evidence); without toxic
 or without ordinary training rows every document gets the smoothed share of toxic training rows; a doc_id with
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.arrays import WordHashes, document_runs, gathered
 from lectern.llm.common import staged, whole_text
-from lectern.llm.importance import LABEL_LIMIT, labelled
+from lectern.llm.importance import labelled, with_labels
 
 WORDS, PAIRS = 1 << 18, 1 << 20
 WORD_SHIFT, PAIR_SHIFT = np.uint64(64 - 18), np.uint64(64 - 20)
@@ -156,15 +156,25 @@ def evidence(models: Models, texts: list[list[bytes]], hashes: WordHashes) -> np
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
-    """Weights and intercept by Newton's method on a few hundred thousand rows of a few features."""
-    x = np.column_stack([x, np.ones(len(x))])
-    beta = np.zeros(x.shape[1])
+def fit_logistic(rows: DataFrame, features: list[str], label: str = "label", rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
+    """Weights and intercept by Newton's method; a round adds up its gradient and curvature over all rows."""
+    x = [*map(F.col, features), F.lit(1.0)]
+    k = len(x)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    beta = np.zeros(k)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        grad = x.T @ (p - y) + ridge * beta
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * np.eye(len(beta))
-        beta -= np.linalg.solve(hess, grad)
+        z = sum((F.lit(float(b)) * c for b, c in zip(beta, x)), F.lit(0.0))
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+        found = rows.withColumn("_p", p).withColumn("_v", F.col("_p") * (1 - F.col("_p")) + 1e-9).agg(
+            *[F.sum(c * (F.col("_p") - F.col(label))) for c in x], *[F.sum(x[i] * x[j] * F.col("_v")) for i, j in pairs]).first()
+        grad, hess = np.array(found[:k]) + ridge * beta, ridge * np.eye(k)
+        for (i, j), v in zip(pairs, found[k:]):
+            hess[i, j] += v
+            hess[j, i] = hess[i, j]
+        step = np.linalg.solve(hess, grad)
+        beta -= step
+        if np.abs(step).max() < 1e-12:
+            break
     return beta
 
 
@@ -172,11 +182,11 @@ def fold(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 4
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, value: str = "toxic", limit: int = LABEL_LIMIT) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, value: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
     held = F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False))
-    known = labelled(labels.where(fold(F.col("doc_id")) != 2), value, limit)
-    rows = docs.select("doc_id", whole_text().alias("_text")).join(F.broadcast(known), "doc_id", "left")
+    known = labelled(labels.where(fold(F.col("doc_id")) != 2), value)
+    rows = with_labels(docs.select("doc_id", whole_text().alias("_text")), known)
     in_counts = F.col("label").isNotNull() & (fold(F.col("doc_id")) != 3)
     counted = rows.select("_text", F.when(in_counts, F.col("label")).otherwise(F.lit(-1)).alias("_class"))
     models = docs.sparkSession.sparkContext.broadcast(Models(gathered(counted, count_arrays, SPEC)))
@@ -191,10 +201,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, value: str = "toxic", lim
 
     scored = staged(rows.select("doc_id", held.alias("held_out"), "label", weigh("_text").alias("e")).select(
         "doc_id", "held_out", "label", "e.*"), "toxicity")
-    fitted = scored.where("label is not null").where(fold(F.col("doc_id")) == 3).select("label", *EVIDENCE).collect()
-    y = np.array([r["label"] for r in fitted], float)
-    if 0 < y.sum() < len(y):
-        beta = fit_logistic(np.array([[r[x] for x in EVIDENCE] for r in fitted]), y)
+    fitted = staged(scored.where("label is not null").where(fold(F.col("doc_id")) == 3).select("label", *EVIDENCE), "evidence")
+    n, toxic = fitted.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if 0 < toxic < n:
+        beta = fit_logistic(fitted, EVIDENCE)
     else:  # nothing to fit on: the smoothed share of toxic rows
         n = known.agg(F.count("*"), F.sum("label")).first()
         share = ((n[1] or 0) + 1) / (n[0] + 2)

@@ -181,6 +181,43 @@ def test_toxicity_held_out(spark):
     assert hit / sum(r.toxic for r in got) >= 0.85 and hit / sum(r.predicted for r in got) >= 0.85
 
 
+def test_every_labelled_row_counts(spark):
+    labels = spark.range(230_000).select(F.col("id").alias("doc_id"), (F.col("id") % 7 == 0).cast("int").alias("toxic"))
+    known = importance.labelled(labels, "toxic")
+    assert known.agg(F.count("*"), F.sum("label")).first()[:] == (230_000, 32_858)
+
+
+def test_labels_sent_or_shuffled_give_the_same(spark, monkeypatch):
+    rows = [(i, f"some plain words number {i % 9}" + (" vile nasty filth" * 3 if i % 3 == 0 else "")) for i in range(400)]
+    docs = spark.createDataFrame([*rows, (None, "no id"), (5, rows[5][1]), (401, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 == 0)) for i in range(300)] + [(None, 1, 1), (7, None, None)],
+                                   "doc_id long, quality int, toxic int")
+
+    def key(r):
+        return str(r[0])
+
+    def result():
+        toxic = kneser_ney.score_toxicity(docs, labels)
+        sample = importance.resample(docs, labels)[0]
+        return [sorted(((r[0], *(round(float(x), 9) for x in r[1:])) for r in df.collect()), key=key) for df in (toxic, sample)]
+
+    sent = result()
+    monkeypatch.setattr(importance, "SENT_LABELS", 0)
+    assert result() == sent and [len(x) for x in sent] == [403, 403]
+
+
+def test_logistic_by_sums_equals_numpy(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 2))
+    y = (x @ [1.5, -0.7] + 0.3 + rng.logistic(size=500) > 0).astype(int)
+    one, beta = np.column_stack([x, np.ones(500)]), np.zeros(3)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(one @ beta, -30, 30)))
+        beta -= np.linalg.solve((one * (p * (1 - p) + 1e-9)[:, None]).T @ one + 1e-2 * np.eye(3), one.T @ (p - y) + 1e-2 * beta)
+    rows = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, label int").repartition(5)
+    assert np.allclose(kneser_ney.fit_logistic(rows, ["a", "b"]), beta, atol=1e-9)
+
+
 def test_sketch_counts():
     rng = np.random.default_rng(1)
     for n in (1, 10, 100, 10_000):
