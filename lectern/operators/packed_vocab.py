@@ -3,7 +3,8 @@
 A token is known by its 64-bit hash. The hashes are dealt into groups of some ``GROUP`` tokens, and each group gets a minimal
 perfect hash in a task of its own: buckets of about two hashes, from the fullest to the smallest, look for a seed that sends
 all of theirs to free places; a bucket of one hash stores its place outright, so the last free places cost no search. What is
-sent to the tasks is one array of seeds, one of hashes and one of ids, some 18 bytes a token. The stored hash is the
+sent to the tasks is one array of seeds, one of hashes and one of ids, some 14 bytes a token (seeds and ids take 4 bytes
+where they fit). Looking up takes ``LOOKUP`` hashes at a time, so a batch of long rows needs little beyond itself. The stored hash is the
 fingerprint: a token outside the vocabulary is taken for one inside only if all 64 bits agree.
 
 ``pack_vocab`` refuses vocabularies beyond ``max_words``, for which the token join stays. Two tokens of one hash would share
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from lectern.operators.sizing import stable_table
 
 GROUP = 4096
-# 18 bytes a word: some 150 MB sent to each executor at most.
+# 14 bytes a word: some 110 MB held by each Python worker at most.
 MAX_WORDS = 8_000_000
 TRIES = 64
+LOOKUP = 1 << 16
 
 
 def _mix(h: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
@@ -81,17 +83,26 @@ class PackedVocab:
     word_starts: np.ndarray
 
     def lookup(self, h: np.ndarray, unknown: int) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(h), unknown, np.int64)
+        out = np.full(len(h), unknown, np.int64)
+        for i in range(0, len(h) if len(self.hashes) else 0, LOOKUP):
+            out[i:i + LOOKUP] = self._found(h[i:i + LOOKUP], unknown)
+        return out
+
+    def _found(self, h: np.ndarray, unknown: int) -> np.ndarray:
         group = np.mod(h, len(self.word_starts) - 1)
         begin, n = self.word_starts[group], np.diff(self.word_starts)[group]
         buckets = np.diff(self.seed_starts)[group]
-        seed = self.seeds[self.seed_starts[group] + _bucket(h, buckets)]
+        seed = self.seeds[self.seed_starts[group] + _bucket(h, buckets)].astype(np.int64)
         place = np.where(seed < 0, -1 - seed, (_mix(h, np.maximum(seed, 0)) % np.maximum(n, 1).astype(np.uint64)).astype(np.int64))
         at = np.minimum(begin + place, len(self.hashes) - 1)
         return np.where((n > 0) & (self.hashes[at] == h), self.ids[at], unknown)
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    """In 4 bytes a number, if all fit."""
+    return x.astype(np.int32) if not len(x) or (x.min() >= -2**31 and x.max() < 2**31) else x
+
+
 def pack_vocab(vocab: DataFrame, max_words: int = MAX_WORDS) -> PackedVocab | None:
     """The packed form of (token, token_id), or None beyond ``max_words``."""
     words = stable_table(vocab.select(F.xxhash64("token").alias("h"), F.col("token_id").cast("long").alias("id")), "vocab-hashes")
@@ -117,7 +128,7 @@ def pack_vocab(vocab: DataFrame, max_words: int = MAX_WORDS) -> PackedVocab | No
 
     seeds, hashes, ids = (parts(c) for c in ("seeds", "hashes", "ids"))
     starts = [np.r_[0, np.cumsum([len(p) for p in x])] for x in (seeds, hashes)]
-    return PackedVocab(np.concatenate(seeds), np.concatenate(hashes), np.concatenate(ids), *starts)
+    return PackedVocab(narrow(np.concatenate(seeds)), np.concatenate(hashes), narrow(np.concatenate(ids)), *starts)
 
 
 def token_ids(df: DataFrame, packed: PackedVocab, tokens: Column, unknown: int) -> Column:
@@ -129,7 +140,7 @@ def token_ids(df: DataFrame, packed: PackedVocab, tokens: Column, unknown: int)
         flat = hashes.flatten().to_numpy(zero_copy_only=False)
         sizes = np.diff(hashes.offsets.to_numpy())
         offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(sent.value.lookup(flat.astype(np.int64), unknown)))
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(sent.value.lookup(flat.astype(np.int64, copy=False), unknown)))
 
     known = F.coalesce(tokens, F.array().cast("array<string>"))
     return ids(F.transform(known, lambda t: F.xxhash64(t)))

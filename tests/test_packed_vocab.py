@@ -1,5 +1,7 @@
 """The packed vocabulary: every word found, no stranger mistaken, no token shuffled."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -30,6 +32,22 @@ def test_words_found_and_a_million_strangers_not(spark, monkeypatch):
     assert (packed.lookup(strangers, 1) == 1).all()
 
 
+def test_long_batches_need_little_memory():
+    rng = np.random.default_rng(5)
+    h = rng.integers(-2**63, 2**63 - 1, 4000)
+    seeds, place = pv.build_group(h)
+    hashes, ids = np.empty_like(h), np.empty(4000, np.int64)
+    hashes[place], ids[place] = h, np.arange(4000)
+    packed = pv.PackedVocab(pv.narrow(seeds), hashes, pv.narrow(ids), np.array([0, len(seeds)]), np.array([0, 4000]))
+    assert packed.seeds.dtype == packed.ids.dtype == np.int32 and pv.narrow(np.array([1 << 40])).dtype == np.int64
+    many = np.tile(h, 1000)
+    tracemalloc.start()
+    found = packed.lookup(many, -1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found == np.tile(np.arange(4000), 1000)).all() and peak < 1.5 * many.nbytes
+
+
 def test_small_and_empty_vocabularies(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, None), (4, ["zz"])], "doc_id long, tokens array<string>")
     for words in ([], [("a", 4)], [("a", 4), ("b", 5)]):
