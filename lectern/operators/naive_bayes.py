@@ -15,10 +15,13 @@ shares with the vocabulary:
     z_c = log_prior_c + sum_t cnt_t * w_t[c] - n_in_vocab * log_denom_c
 
 which equals the textbook sum over all tokens. Scoring explodes the
-document's tokens, looks them up in ``terms`` (broadcast while the
-vocabulary is under a row bound, otherwise a salted shuffle join after a
-per-(doc, token) pre-aggregation) and sums per document; the per-document
-sum is combined map-side, since a document's tokens come from one row.
+document's tokens and joins them with ``terms`` while the vocabulary is
+under a row bound for a broadcast. Beyond it the terms are packed into
+perfect hashes (``packed_vocab``), each of a bounded number of words, and a
+document's sums are taken inside its row, one projection per pack: no token
+is shuffled. Only beyond ``MAX_PACKS`` packs, or with too many different
+weight vectors, the tokens are joined by a salted shuffle after a
+per-(doc, token) pre-aggregation. Sums of one key are added up at the end.
 """
 
 from __future__ import annotations
@@ -28,22 +31,28 @@ import math
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.scores import argmax_label, decode_label, pick, softmax
 from lectern.operators.encode import tokens
 from lectern.operators.joins import lookup_join
+from lectern.operators.packed_vocab import MAX_WORDS, PackedVocab, pack_vocab, token_sums
 from lectern.operators.sizing import stable_table
 
 # The terms table is broadcast to the scoring tasks only while its estimated
 # size (token plus one double per class, per row) stays under this many
-# bytes and its rows under the row bound; beyond either it is a salted
-# shuffle join.
+# bytes and its rows under the row bound; beyond either it is packed.
 BROADCAST_VOCAB_ROWS = 500_000
 BROADCAST_TERMS_BYTES = 128 * 1024 * 1024
 TERM_ROW_OVERHEAD_BYTES = 48
+# A pack holds up to about MAX_WORDS words; every pack reads the scored rows once.
+MAX_PACKS = 8
+# Words of the same counts share a weight vector; each pack's tasks hold all of them.
+MAX_VECTORS = 500_000
 
 
 def terms_broadcastable(model: "NaiveBayesModel") -> bool:
@@ -60,6 +69,23 @@ class NaiveBayesModel:
     vocab_size: int
     n_docs: list[int] = field(default_factory=list)
     n_tokens: list[int] = field(default_factory=list)
+    packs: list[PackedVocab] | None = field(default=None, repr=False, compare=False)
+    vectors: np.ndarray | None = field(default=None, repr=False, compare=False)
+
+    def packed(self) -> bool:
+        """Pack the terms, once for all batches that the model scores; False if they are too many."""
+        parts = -(-self.vocab_size // MAX_WORDS)
+        if self.packs is None and parts <= MAX_PACKS:
+            distinct = stable_table(self.terms.select("w").distinct().withColumn("token_id", F.monotonically_increasing_id()), "nb-vectors")
+            if distinct.count() <= MAX_VECTORS:
+                found = sorted(distinct.collect(), key=lambda r: r["token_id"])
+                self.vectors = np.array([[1.0, *r["w"]] for r in found])
+                words = stable_table(self.terms.join(F.broadcast(distinct), "w").select("token", "token_id"), "nb-words")
+                at, numbers = F.pmod(F.xxhash64("token", F.lit(parts)), F.lit(parts)), np.array([r["token_id"] for r in found])
+                self.packs = [pack_vocab(words.where(at == i), 2 * MAX_WORDS) for i in range(parts)]
+                for p in self.packs:
+                    p.ids = np.searchsorted(numbers, p.ids).astype(np.int32)
+        return self.packs is not None
 
     def classes_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(i, c, self.n_docs[i], self.n_tokens[i], self.log_prior[i], self.log_denom[i])
@@ -124,6 +150,24 @@ def train_nb(train: DataFrame, class_names: Sequence[str], text_col: str = "text
     return NaiveBayesModel(terms, names, log_prior, log_denom, vocab, n_docs, n_tokens)
 
 
+def _joined_sums(model: NaiveBayesModel, df: DataFrame, text_col: str, keys: list[str]) -> DataFrame:
+    """(keys, _nv, _s0, _s1, ...): what each token adds, by a join with the terms."""
+    # One NULL sentinel token per document keeps token-less documents.
+    toks = F.concat(tokens(text_col), F.array(F.lit(None).cast("string")))
+    exploded = df.select(*keys, F.explode(toks).alias("token"))
+    if terms_broadcastable(model):
+        facts = exploded.withColumn("cnt", F.lit(1).cast("bigint"))
+        j = facts.join(F.broadcast(model.terms), "token", "left")
+    else:
+        facts = exploded.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("cnt"))
+        j = lookup_join(facts, model.terms, "token", "left", salt_source=keys)
+    known = F.col("w").isNotNull()
+    # a document's tokens come from one row, so the caller's partial aggregate
+    # leaves one row per document and task before the shuffle
+    sums = [F.when(known, F.col("cnt") * F.col("w")[i]).otherwise(0.0).alias(f"_s{i}") for i in range(len(model.class_names))]
+    return j.select(*keys, F.when(known, F.col("cnt")).otherwise(0).alias("_nv"), *sums)
+
+
 def class_scores(model: NaiveBayesModel, df: DataFrame, text_col: str = "text", key_col: str | Sequence[str] = "doc_id",
                  keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., z) with z the unnormalised log score of every class.
@@ -134,20 +178,14 @@ def class_scores(model: NaiveBayesModel, df: DataFrame, text_col: str = "text",
     """
     k = len(model.class_names)
     keys = [key_col] if isinstance(key_col, str) else list(key_col)
-    # One NULL sentinel token per document keeps token-less documents.
-    toks = F.concat(tokens(text_col), F.array(F.lit(None).cast("string")))
-    exploded = df.select(*keys, F.explode(toks).alias("token"))
-    if terms_broadcastable(model):
-        facts = exploded.withColumn("cnt", F.lit(1).cast("bigint"))
-        j = facts.join(F.broadcast(model.terms), "token", "left")
+    if terms_broadcastable(model) or not model.packed():
+        parts = _joined_sums(model, df, text_col, keys)
     else:
-        facts = exploded.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("cnt"))
-        j = lookup_join(facts, model.terms, "token", "left", salt_source=keys)
-    known = F.col("w").isNotNull()
-    sums = [F.sum(F.when(known, F.col("cnt") * F.col("w")[i]).otherwise(0.0)).alias(f"_s{i}") for i in range(k)]
-    # a document's tokens come from one row, so the partial aggregate leaves
-    # one row per document and task before the shuffle
-    agg = j.groupBy(*keys).agg(F.sum(F.when(known, F.col("cnt")).otherwise(0)).alias("_nv"), *sums)
+        # a document's first element counts its known tokens; a null text has no scores, as in the join
+        of = [df.where(F.col(text_col).isNotNull()).select(*keys, token_sums(df, p, model.vectors, tokens(text_col)).alias("_v")) for p in model.packs]
+        parts = reduce(DataFrame.unionAll, of).select(*keys, F.col("_v")[0].cast("bigint").alias("_nv"),
+                                                      *[F.col("_v")[i + 1].alias(f"_s{i}") for i in range(k)])
+    agg = parts.groupBy(*keys).agg(F.sum("_nv").alias("_nv"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(k)])
     z = F.array(*[F.lit(lp) + F.col(f"_s{i}") - F.col("_nv") * F.lit(ld)
                   for i, (lp, ld) in enumerate(zip(model.log_prior, model.log_denom))])
     scores = agg.select(*keys, z.alias("z"))

@@ -144,3 +144,25 @@ def token_ids(df: DataFrame, packed: PackedVocab, tokens: Column, unknown: int)
 
     known = F.coalesce(tokens, F.array().cast("array<string>"))
     return ids(F.transform(known, lambda t: F.xxhash64(t)))
+
+
+def token_sums(df: DataFrame, packed: PackedVocab, table: np.ndarray, tokens: Column) -> Column:
+    """Sum of the ``table`` rows that the words' ids name, over the tokens of an array; strangers add nothing."""
+    sent = df.sparkSession.sparkContext.broadcast((packed, np.vstack([table, np.zeros((1, table.shape[1]))])))
+
+    @F.arrow_udf("array<double>")
+    def sums(hashes: pa.Array) -> pa.Array:
+        words, rows = sent.value
+        flat = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+        of = np.repeat(np.arange(len(hashes)), np.diff(hashes.offsets.to_numpy()))
+        out = np.zeros((len(hashes), rows.shape[1]))
+        for i in range(0, len(flat), LOOKUP):
+            found, at = rows[words.lookup(flat[i:i + LOOKUP], -1)], of[i:i + LOOKUP]
+            for c in range(rows.shape[1]):
+                part = np.bincount(at - at[0], weights=found[:, c])
+                out[at[0]:at[0] + len(part), c] += part
+        offsets = np.arange(0, out.size + 1, rows.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+    known = F.coalesce(tokens, F.array().cast("array<string>"))
+    return sums(F.transform(known, lambda t: F.xxhash64(t)))

@@ -151,3 +151,28 @@ def test_salted_encoding_equals_broadcast(spark, split, monkeypatch):
     by_broadcast = run()
     monkeypatch.setattr(encode, "PACKED_WORDS", 0)
     assert run() == by_broadcast
+
+
+@pytest.mark.parametrize("max_words", [8_000_000, 4])
+def test_large_vocabulary_scores_inside_the_row(spark, monkeypatch, max_words):
+    rows = [(i, c, f"common word{i % 5} {c}thing " + "x y " * (i % 3)) for i, c in enumerate(LANG_CLASSES * 6)]
+    train = spark.createDataFrame(rows, "doc_id long, category string, text string")
+    df = spark.createDataFrame([(1, "common enthing enthing stranger"), (2, None), (3, ""), (4, "strangers alone"), (5, "x " * 5_000 + "stranger " * 65_000 + "dething"),
+                                (6, "y"), (6, "x frthing"), (None, "word1")], "doc_id long, text string")
+
+    def scores(model, **kw):
+        out = naive_bayes.class_scores(model, df, **kw)
+        return out, sorted([(r.doc_id, [round(x, 4) for x in r.z]) for r in out.collect()], key=str)
+
+    sent = naive_bayes.train_nb(train, LANG_CLASSES)
+    expected, kept = scores(sent)[1], scores(sent, keep=["text"])[1]
+    monkeypatch.setattr(naive_bayes, "BROADCAST_VOCAB_ROWS", 0)
+    monkeypatch.setattr(naive_bayes, "MAX_WORDS", max_words)
+    model = naive_bayes.train_nb(train, LANG_CLASSES)
+    out, got = scores(model)
+    assert got == expected and scores(model, keep=["text"])[1] == kept
+    assert len(model.packs) == -(-model.vocab_size // max_words)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan  # no token leaves its row
+    monkeypatch.setattr(naive_bayes, "MAX_PACKS", 0)
+    assert scores(naive_bayes.train_nb(train, LANG_CLASSES))[1] == expected
