@@ -10,7 +10,8 @@ remembered in two halves: a full young half becomes the old one, and what is met
 stay however many rare ones pass. Results leave each task in small batches.
 
 Decoding. Tokens are bytes; a character may be cut between two of them. The decoder's state is the unfinished
-character (at most three bytes); its moves by token are memoised in the same lazy way.
+character (at most three bytes); its moves by token are memoised in the same lazy way. A piece's ids always end with a
+whole character, so what they decode to is remembered with them, and a text's is the pieces' in order.
 
 Defined cases: null text counts as empty: no tokens, digests of the empty string; repeated rows each get their result;
 an empty table gives an empty result; other columns are ignored; bytes that are not UTF-8 decode to U+FFFD.
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import itertools
 import re
 from array import array
 from collections.abc import Iterator
@@ -34,6 +34,7 @@ from lectern.llm.common import whole_text
 
 MEMO = 300_000  # entries of a memo's half, or of the pair checks, before they are dropped
 STATES = 400_000  # states of the determinised machine before it starts anew
+BLOCK = 8192  # pieces of a text that are looked up at once
 OUT_ROWS, OUT_IDS = 1024, 1 << 20  # a batch of results ends with so many rows or ids
 
 
@@ -62,23 +63,22 @@ class Encoder:
         self.bytes_of = {rank: word for word, rank in ranks.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}
-        self.chunks: dict[str, tuple[str, int, tuple[int, ...]]] = {}
-        self.older: dict[str, tuple[str, int, tuple[int, ...]]] = {}
+        self.chunks: dict[str, Known] = {}
+        self.older: dict[str, Known] = {}
+        self.decoder = Decoder(self.bytes_of)
         self._reset()
 
     def _reset(self) -> None:
-        # A state is a tuple of (trie node, token before, pending tokens); the last item stands at a boundary.
-        self.states: list[tuple] = []
-        self.numbers: dict[tuple, int] = {}
-        self.moves: dict[int, tuple[tuple[int, ...], int]] = {}  # by 256 * state + byte; leads to 256 * state
-        self.start = self._number(((0, -1, ()),))
-
-    def _number(self, state: tuple) -> int:
-        k = self.numbers.get(state)
-        if k is None:
-            k = self.numbers[state] = len(self.states)
-            self.states.append(state)
-        return k
+        # A state's items are (trie node, token before, pending tokens); the last one stands at a boundary. Its moves lie
+        # in a small dictionary of its own, by byte, the items beside them.
+        self.states: dict[tuple, dict] = {}
+        self.start = self._state(((0, -1, ()),))
+
+    def _state(self, items: tuple) -> dict:
+        state = self.states.get(items)
+        if state is None:
+            state = self.states[items] = {ITEMS: items}
+        return state
 
     def merged(self, word: bytes, stop: int = 1) -> list[int]:
         """What the merges make of a short word, the lowest rank first, the leftmost of equals, down to ``stop`` parts."""
@@ -127,25 +127,32 @@ class Encoder:
             else:
                 b, next_merge = last_right, b + 1
 
-    def _move(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
-        items, at_end = [], None
-        for node, before, pending in self.states[state]:
-            nxt = self.children[node].get(byte)
+    def _move(self, state: dict, byte: int) -> tuple[tuple[int, ...], dict]:
+        items, at_end, children, token_at, pairs = [], None, self.children, self.token_at, self.pairs
+        for node, before, pending in state[ITEMS]:
+            nxt = children[node].get(byte)
             if nxt is None:
                 continue
-            token = self.token_at[nxt]
-            if token >= 0 and at_end is None and self.compatible(before, token):
-                at_end = (0, token, (*pending, token))
-            if self.children[nxt]:
+            token = token_at[nxt]
+            if token >= 0 and at_end is None:
+                apart = pairs.get((before, token))
+                if self.compatible(before, token) if apart is None else apart:
+                    at_end = (0, token, (*pending, token))
+            if children[nxt]:
                 items.append((nxt, before, pending))
         items.append(at_end)
-        shared = 0
-        shortest = min(len(p) for _, _, p in items)
-        while shared < shortest and len({p[shared] for _, _, p in items}) == 1:
-            shared += 1
-        out = items[0][2][:shared]
-        to = 256 * self._number(tuple((n, b, p[shared:]) for n, b, p in items))
-        self.moves[256 * state + byte] = step = (out, to)
+        if len(items) == 1:
+            step = at_end[2], self._state(((0, at_end[1], ()),))
+        else:
+            first, shared = items[0][2], 0
+            for k, token in enumerate(first):  # the first item is the oldest
+                if not all([len(p) > k and p[k] == token for _, _, p in items]):
+                    break
+                shared += 1
+            if shared:
+                items = [(n, b, p[shared:]) for n, b, p in items]
+            step = first[:shared], self._state(tuple(items))
+        state[byte] = step
         return step
 
     def encode_word(self, word: bytes) -> tuple[int, ...]:
@@ -156,17 +163,16 @@ class Encoder:
         if len(self.states) >= STATES:
             self._reset()
         out: list[int] = []
-        at, known = 256 * self.start, self.moves.get
+        at = self.start
         for byte in word:
-            step = known(at + byte) or self._move(at >> 8, byte)
+            step = at.get(byte) or self._move(at, byte)
             if step[0]:
                 out += step[0]
             at = step[1]
-        out += self.states[at >> 8][-1][2]
+        out += at[ITEMS][-1][2]
         return tuple(out)
 
-    def _keep(self, piece: str, ids: tuple[int, ...]) -> tuple[str, int, tuple[int, ...]]:
-        known = (",".join(map(str, ids)), len(ids), ids)
+    def _keep(self, piece: str, known: Known) -> Known:
         if len(piece) <= 32:
             if len(self.chunks) >= MEMO:
                 self.older = dict(self.chunks)
@@ -174,46 +180,67 @@ class Encoder:
             self.chunks[piece] = known
         return known
 
-    def _again(self, piece: str) -> tuple[str, int, tuple[int, ...]] | None:
+    def _again(self, piece: str) -> Known | None:
         known = self.older.get(piece)
-        return known and self._keep(piece, known[2])
+        return known and self._keep(piece, known)
+
+    def _encoded(self, word: str) -> Known:
+        """A match's ids by the machine, and what the decoder makes of them."""
+        ids = self.encode_word(word.encode())
+        text = self.decoder.feed(ids) + self.decoder.finish()
+        return ",".join(map(str, ids)), len(ids), word if text == word else text  # one string, not two equal ones
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        known = self.chunks.get(word) or self._again(word) or self._keep(word, self.encode_word(word.encode()))
-        return known[2]
+    def _word(self, word: str) -> Known:
+        return self.chunks.get(word) or self._again(word) or self._keep(word, self._encoded(word))
 
-    def _chunk(self, chunk: str) -> tuple[str, int, tuple[int, ...]]:
+    def _chunk(self, chunk: str) -> Known:
         known = self._again(chunk)
         if known:
             return known
         if "\n" in chunk:  # a lone line end is a match of its own, and so parts what stands around it
             lines = LONE_LINE.split(chunk)
             if len(lines) > 1:
-                ids = []
+                parts = []
                 for k, line in enumerate(lines):
                     if k:
-                        ids += self._word("\n")
-                    ids += (self.chunks.get(line) or self._chunk(line))[2]
-                return ",".join(map(str, ids)), len(ids), tuple(ids)
+                        parts.append(self._word("\n"))
+                    parts.append(self.chunks.get(line) or self._chunk(line))
+                return joined(parts)
         words = self.pattern.findall(chunk)
         if len(words) == 1:
-            return self._keep(chunk, self.encode_word(chunk.encode()))
-        return self._keep(chunk, tuple([i for word in words for i in self._word(word)]))
+            return self._keep(chunk, self._encoded(chunk))
+        return self._keep(chunk, joined([self._word(word) for word in words]))
 
-    def chunks_of(self, text: str) -> Iterator[tuple[str, int, tuple[int, ...]]]:
-        """The text's pieces with their ids. A lone space between two visible symbols always begins a match, so the
-        pieces that such spaces begin can be encoded, and remembered, by themselves."""
-        get, make = self.chunks.get, self._chunk
+    def blocks_of(self, text: str) -> Iterator[list[Known]]:
+        """The text's pieces, encoded and decoded, a block at a time. A lone space between two visible symbols always
+        begins a match, so the pieces that such spaces begin can be encoded, and remembered, by themselves."""
         first, *rest = LONE_SPACE.split(text) if MIXED_SPACE.search(text) or text[:1] == " " or text[-1:] == " " \
             else text.split(" ")
-        if first:
-            yield get(first) or make(first)
-        for piece in rest:
-            piece = " " + piece
-            yield get(piece) or make(piece)
+        get, make = self.chunks.get, self._chunk
+        for at in range(0, len(rest) + 1, BLOCK):
+            pieces = [" " + piece for piece in rest[max(at - 1, 0):at + BLOCK - 1]]
+            if at == 0 and first:
+                pieces.insert(0, first)
+            found = list(map(get, pieces))
+            if not all(found):
+                found = [known or get(piece) or make(piece) for known, piece in zip(found, pieces)]
+            if found:
+                yield found
 
     def encode(self, text: str) -> list[int]:
-        return [i for _, _, ids in self.chunks_of(text) for i in ids]
+        return [i for found in self.blocks_of(text) for i in ids_of(joined(found)[0])]
+
+
+Known = tuple[str, int, str]  # of a piece: its ids joined by commas, their number, the text that they decode to
+ITEMS = -1  # a state's items lie beside its moves, which have bytes as keys
+
+
+def joined(parts: list[Known]) -> Known:
+    return ",".join([x[0] for x in parts]), sum([x[1] for x in parts]), "".join([x[2] for x in parts])
+
+
+def ids_of(numbers: str) -> Iterator[int]:
+    return map(int, numbers.split(","))
 
 
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -295,18 +322,16 @@ def encoder(ranks: bytes, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def digests(text: str, enc: Encoder, dec: Decoder, with_ids: bool) -> tuple:
+def digests(text: str, enc: Encoder, with_ids: bool) -> tuple:
     """(number of ids, their digest, digest of the decoded text[, ids]); a very long text passes in blocks."""
     sha_ids, sha_text, n, ids = hashlib.sha256(), hashlib.sha256(), 0, array("i")
-    pieces = enc.chunks_of(text) if text else iter(())
-    while block := list(itertools.islice(pieces, 8192)):
-        sha_ids.update((("," if n else "") + ",".join([x[0] for x in block])).encode())
-        flat = [i for x in block for i in x[2]]
-        sha_text.update(dec.feed(flat).encode())
-        n += len(flat)
+    for found in enc.blocks_of(text):
+        numbers, count, decoded = joined(found)
+        sha_ids.update((("," if n else "") + numbers).encode())
+        sha_text.update(decoded.encode())
+        n += count
         if with_ids:
-            ids.extend(flat)
-    sha_text.update(dec.finish().encode())
+            ids.extend(ids_of(numbers))
     return n, sha_ids.hexdigest(), sha_text.hexdigest(), *([ids] if with_ids else [])
 
 
@@ -325,11 +350,10 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, pattern)
-        moves, whole = {}, WholeTokens(enc.bytes_of)
         for batch in batches:
             keys, texts, begin, rows = batch.column("_key"), batch.column("_text"), 0, []
             for at, text in enumerate(texts, 1):
-                rows.append(digests(text.as_py(), enc, Decoder(enc.bytes_of, moves, whole), with_ids))
+                rows.append(digests(text.as_py(), enc, with_ids))
                 if at == len(texts) or len(rows) >= OUT_ROWS or with_ids and sum(map(itemgetter(0), rows)) >= OUT_IDS:
                     columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
                     yield pa.RecordBatch.from_arrays([keys.slice(begin, at - begin), *columns], names=names)

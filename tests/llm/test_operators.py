@@ -470,3 +470,21 @@ def test_bpe_results_leave_in_small_batches(spark):
     own = byte_bpe.Encoder(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
     assert sorted(r.doc_id for r in got) == list(range(3000))
     assert all(r.ids == own.encode("word " * (r.doc_id % 7)) and r.n_tokens == len(r.ids) for r in got)
+
+
+def test_bpe_pieces_come_back_from_the_older_half_as_they_are(monkeypatch):
+    """What was encoded and decoded once is not put together again; whole texts agree with the library."""
+    monkeypatch.setattr(byte_bpe, "MEMO", 4)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 3)
+    own = byte_bpe.Encoder(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    text = "grünes Haus, alte\nBrücke  am \U0001f642 Fluss und 12 weitere Häuser "
+    first = own._word(" Haus")
+    own.encode(text)
+    own.older[" Haus"] = first
+    own.chunks.pop(" Haus", None)
+    assert own._again(" Haus") is first
+    ids = reference_encoding().encode_ordinary(text)
+    n, ids_sha, text_sha, kept = byte_bpe.digests(text, own, True)
+    assert (n, list(kept)) == (len(ids), ids)
+    assert ids_sha == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert text_sha == hashlib.sha256(text.encode()).hexdigest()
