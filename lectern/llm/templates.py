@@ -12,8 +12,9 @@ typed slot the benchmark's value must always meet the same value of the document
 re-parameterised copy passes and a chance meeting of templates fails. An alignment that covers ``SPAN`` words, or
 ``SHARE`` of a shorter item, contaminates the document.
 
-Before the join Bloom filters of fixed size over the benchmark's window hashes, one a form, drop most windows inside
-their row; the join decides, whatever the size of the benchmark.
+Before the join Bloom filters of fixed size, one a form over the benchmark's window hashes and one each over the hashes of
+their first four words, drop most windows inside their row: only windows whose first four words pass are hashed whole. The
+filters are one row that a broadcast join puts beside the documents; the join decides, whatever the size of the benchmark.
 
 Defined cases: null text counts as empty and is never contaminated; rows with equal doc_id and text count as one
 document; a null doc_id is handled like any other; items with fewer words than a window are found by exact
@@ -25,13 +26,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lectern.llm.common import staged
 from lectern.llm.line_chunks import text_key
 
 WIDTH = 8       # words of a window
 LITERAL = 4     # literal words of a window whose slots may vary
 SPAN = 13       # words that an alignment must cover
 SHARE = 0.8     # or this part of an item
-BITS = 18       # log2 of the cells of the window filter
+BITS = 18       # log2 of the cells of one window filter
 UNITS = ("kg", "g", "mg", "km", "m", "cm", "mm", "mi", "miles", "mile", "meters", "metres", "feet", "inches", "l", "ml",
          "liters", "litres", "hours", "hour", "minutes", "minute", "seconds", "second", "days", "day", "weeks", "years",
          "dollars", "dollar", "cents", "euros", "percent", "degrees", "usd", "eur")
@@ -39,7 +41,7 @@ UNITS = ("kg", "g", "mg", "km", "m", "cm", "mm", "mi", "miles", "mile", "meters"
 
 def words_of(text: Column) -> Column:
     """Runs of letters and digits."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}]+", -1), "")
 
 
 def canonical(word: Column) -> Column:
@@ -49,55 +51,77 @@ def canonical(word: Column) -> Column:
             .when(small.isin(*UNITS), F.lit("<unit>")).otherwise(small))
 
 
-def caseless(word: Column) -> Column:
-    """The canonical form without names."""
-    small = F.lower(word)
-    return (F.when(F.substring(word, 1, 1).between("0", "9"), F.lit("<number>")).when(small.isin(*UNITS), F.lit("<unit>"))
-            .otherwise(small))
-
-
 SLOTS = ("<number>", "<name>", "<unit>")
 FORMS = (0, 1, 2)  # windows of canonical words, of words whatever their case, and whole items shorter than a window
 
 
-def windows(df: DataFrame, keep=None, widths=()) -> DataFrame:
-    """Explode column ``words`` into (…, at, form, h, raw); ``keep`` filters by form and hash before rows are made.
-
-    ``widths`` are those of the third form."""
+def hashed(df: DataFrame) -> DataFrame:
+    """Column ``words`` followed by arrays of hashes, one a word: ``plain`` of the word in lower case, ``loose`` with numbers
+    and units as placeholders, ``canon`` with names too, and of the four words from each place on ``loose4``, ``canon4``."""
+    others = [c for c in df.columns if c != "words"]
+    number, name, unit = (F.xxhash64(F.lit(slot)) for slot in SLOTS)
+    units = [F.xxhash64(F.lit(u)) for u in UNITS]
+
+    def onward(array: str, by: int) -> Column:
+        """Hash of each element and the one ``by`` places on, where there is one."""
+        return F.zip_with(array, F.slice(array, by + 1, F.size(array)), lambda x, y: F.xxhash64(x, y)).alias(array)
+
+    # Lower case is taken of all words at once; words hold no line ends.
+    small = F.when(F.size("words") > 0, F.split(F.lower(F.array_join("words", "\n")), "\n", -1)).otherwise(
+        F.array().cast("array<string>"))
+    df = df.select(*others, "words", small.alias("small"))
+    df = df.select(*others, "words", "small", F.transform("small", lambda s: F.xxhash64(s)).alias("plain"))
+    df = df.select(*others, "words", "plain", F.zip_with("words", "plain", lambda w, p: F.when(
+        w < ":", number).when(p.isin(*units), unit).otherwise(p)).alias("loose"), F.zip_with(
+        "words", "small", lambda w, s: (w != s) & (F.substring(w, 1, 1) != F.substring(s, 1, 1))).alias("named"))
+    df = df.select(*others, "words", "plain", "loose", F.zip_with(
+        "named", "loose", lambda named, h: F.when(named, name).otherwise(h)).alias("canon"))
+    kept = [*others, "words", "plain", "loose", "canon"]
+    df = df.select(*kept, onward("loose", 1).alias("loose4"), onward("canon", 1).alias("canon4"))
+    return df.select(*kept, onward("loose4", 2), onward("canon4", 2))
+
+
+def windows(df: DataFrame, cells: DataFrame | None = None, widths=()) -> DataFrame:
+    """Explode column ``words`` into (…, at, form, h, first, raw); the filters ``cells`` drop windows before rows are made.
+
+    ``first`` is the hash of a window's first four words, null in the third form; ``widths`` are those of that form."""
     others = [c for c in df.columns if c != "words"]
-    df = df.select(*others, "words", F.transform("words", lambda w: F.xxhash64(canonical(w))).alias("canon"),
-                   F.transform("words", lambda w: F.xxhash64(caseless(w))).alias("loose"),
-                   F.transform("words", lambda w: F.xxhash64(F.lower(w))).alias("plain"))
-    # Literal words before each place, so that a window's are one difference.
-    literal = F.transform(F.arrays_zip("loose", "plain"), lambda x: (x["loose"] == x["plain"]).cast("int"))
-    df = df.select(*others, "words", "canon", "loose", "plain", literal.alias("literal"))
+    df = hashed(df)
+    if cells is not None:
+        df = df.crossJoin(F.broadcast(cells))
     size = F.size("words")
 
     def run(array: str, i: Column, width: int) -> list[Column]:
-        return [F.element_at(array, i + k) for k in range(width)]  # element_at, unlike slice, does not touch the rest
-
-    def places(form: int, width: int, value) -> Column:
-        found = F.transform(F.sequence(F.lit(1), F.greatest(size - width + 1, F.lit(1))), lambda i: F.struct(
-            (i - 1).alias("at"), F.lit(form).alias("form"), F.lit(width).alias("width"), value(i).alias("h")))
-        if keep is not None:
-            found = F.filter(found, lambda x: keep(form, x["h"]))
-        return F.when(size >= width, found).otherwise(F.array().cast("array<struct<at:int,form:int,width:int,h:bigint>>"))
+        return [F.get(array, i + k) for k in range(width)]
 
     def any_case(i: Column) -> Column:
-        enough = sum(run("literal", i, WIDTH)[1:], F.element_at("literal", i)) >= LITERAL
-        return F.when(enough, F.xxhash64(*run("loose", i, WIDTH))).otherwise(F.xxhash64(*run("plain", i, WIDTH)))
-
-    found = [places(0, WIDTH, lambda i: F.xxhash64(*run("canon", i, WIDTH))), places(1, WIDTH, any_case)]
-    found += [places(2, n, lambda i, n=n: F.xxhash64(*run("plain", i, n))) for n in widths]
+        loose, plain = run("loose", i, WIDTH), run("plain", i, WIDTH)
+        literal = sum([(a == b).cast("int") for a, b in zip(loose[1:], plain[1:])], (loose[0] == plain[0]).cast("int"))
+        return F.when(literal >= LITERAL, F.xxhash64(*loose)).otherwise(F.xxhash64(*plain))
+
+    def places(form: int, width: int, value, first) -> Column:
+        at = F.sequence(F.lit(0), F.greatest(size - width, F.lit(0)))
+        if cells is not None and form != 2:
+            at = F.filter(at, lambda i: passes(FIRST + form, first(i), 0))
+        if cells is not None:
+            at = F.filter(at, lambda i: passes(form, value(i), 0) & passes(form, value(i), 1))
+        found = F.transform(at, lambda i: F.struct(i.alias("at"), F.lit(form).alias("form"), F.lit(width).alias("width"),
+                                                   value(i).alias("h"), first(i).alias("first")))
+        return F.when(size >= width, found).otherwise(
+            F.array().cast("array<struct<at:int,form:int,width:int,h:bigint,first:bigint>>"))
+
+    found = [places(0, WIDTH, lambda i: F.xxhash64(*run("canon", i, WIDTH)), lambda i: F.get("canon4", i)),
+             places(1, WIDTH, any_case, lambda i: F.get("loose4", i))]
+    found += [places(2, n, lambda i, n=n: F.xxhash64(*run("plain", i, n)), lambda i: F.lit(None).cast("long")) for n in widths]
     df = df.select(*others, F.transform(F.concat(*found), lambda x: F.struct(
-        x["at"].alias("at"), x["form"].alias("form"), x["h"].alias("h"), F.transform(
+        x["at"].alias("at"), x["form"].alias("form"), x["h"].alias("h"), x["first"].alias("first"), F.transform(
             F.sequence(F.lit(1), x["width"]), lambda k: F.element_at("words", x["at"] + k)).alias("raw"))).alias("w"))
     # The outer form: for the inner one a filter on the size is inferred, which computes the whole chain once per word.
     return df.select(*others, F.explode_outer("w").alias("w")).where("w is not null").select(*others, "w.*")
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n_words, b_at, form, h, b_raw): canonical windows with enough literal words, all windows of any case,
+    """(item_id, n_words, b_at, form, h, first, b_raw): canonical windows with enough literal words, all windows of any case,
     whole items shorter than a window."""
     rows = benchmark.select("item_id", words_of(F.col("text")).alias("words"))
     rows = rows.select("item_id", "words", F.size("words").alias("n_words"))
@@ -105,35 +129,44 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     found = windows(rows, widths=range(1, WIDTH)).where(
         F.when(F.col("form") == 0, literal >= LITERAL).when(F.col("form") == 2, F.size("raw") == F.col("n_words"))
         .otherwise(F.lit(True)))
-    return found.select("item_id", "n_words", F.col("at").alias("b_at"), "form", "h", F.col("raw").alias("b_raw"))
+    return found.select("item_id", "n_words", F.col("at").alias("b_at"), "form", "h", "first", F.col("raw").alias("b_raw"))
+
+
+FIRST = len(FORMS)  # the filters of forms 0 and 1 over first words follow those over whole windows
+FILTERS = FIRST + 2
+
 
+def cell(h: Column, k: int) -> Column:
+    """The cell of a hash, from its k-th lot of bits."""
+    return F.shiftrightunsigned(h, k * BITS).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
 
-def filter_cells(h: Column) -> list[Column]:
-    """Two cells of a window hash, from different bits."""
-    mask = F.lit((1 << BITS) - 1)
-    return [h.bitwiseAND(mask).cast("int"), F.shiftrightunsigned(h, BITS).bitwiseAND(mask).cast("int")]
 
+def passes(number: int, h: Column, k: int) -> Column:
+    """Whether the k-th cell of ``h`` is set in this filter of column ``cells``, 64 cells a long."""
+    at = cell(h, k)
+    return F.getbit(F.get("cells", F.shiftright(at, 6) + (number << (BITS - 6))), at.bitwiseAND(F.lit(63))) == 1
 
-def known_hashes(hashes: DataFrame):
-    """A test that every pair of ``form`` and ``h`` passes and few others: a Bloom filter of 2^BITS cells, a byte each, a
-    form."""
-    cells = {form: bytearray(1 << BITS) for form in FORMS}
-    for r in hashes.select("form", F.explode(F.array(*filter_cells(F.col("h")))).alias("cell")).distinct().collect():
-        cells[r["form"]][r["cell"]] = 1  # at most 2^BITS rows a form
-    held, one = {form: F.lit(bytes(c)) for form, c in cells.items()}, F.lit(b"\x01")
 
-    def passes(form: int, h: Column) -> Column:
-        first, second = (F.substring(held[form], c + 1, F.lit(1)) == one for c in filter_cells(h))
-        return first & second
-    return passes
+def known_cells(bench: DataFrame) -> DataFrame:
+    """One row, whatever the benchmark: ``cells``, the Bloom filters over its windows, 2^BITS bits each. They stay a column,
+    as literals they would stand in every plan's text."""
+    marks = bench.select(F.explode(F.array(
+        *[F.struct(F.col("form").alias("number"), cell(F.col("h"), k).alias("cell")) for k in (0, 1)],
+        F.struct((F.col("form") + FIRST).alias("number"), cell(F.col("first"), 0).alias("cell")))).alias("m")).select(
+        "m.*").where("cell is not null").select((F.col("number").cast("long") * (1 << BITS) + F.col("cell")).alias("bit"))
+    longs = marks.groupBy(F.shiftright("bit", 6).alias("id")).agg(F.bit_or(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    every = bench.sparkSession.range(0, FILTERS << (BITS - 6), 1, 1).join(F.broadcast(longs), "id", "left")
+    return every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias(
+        "x")).select(F.col("x.bits").alias("cells"))
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, _key, item_id, n_words, offset, covered, consistent, exact), one row per alignment."""
-    bench = benchmark_windows(benchmark)
+    bench = staged(benchmark_windows(benchmark), "benchmark_windows")
     widths = [r["n_words"] for r in bench.where("form = 2").select("n_words").distinct().collect()]  # below WIDTH
     found = windows(docs.select("doc_id", text_key(F.col("text")).alias("_key"), words_of(F.col("text")).alias("words")),
-                    known_hashes(bench), sorted(widths))
+                    staged(known_cells(bench), "cells"), sorted(widths))
     met = found.join(bench, ["form", "h"]).select(
         "doc_id", "_key", "item_id", "n_words", (F.col("at") - F.col("b_at")).alias("offset"), "b_at", "raw", "b_raw").distinct()
     by = ["doc_id", "_key", "item_id", "n_words", "offset"]

@@ -488,3 +488,25 @@ def test_bpe_pieces_come_back_from_the_older_half_as_they_are(monkeypatch):
     assert (n, list(kept)) == (len(ids), ids)
     assert ids_sha == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     assert text_sha == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_template_filters_stay_out_of_the_plans(spark):
+    """The window filters are data: as literals each made half a megabyte of text at every mention in a plan."""
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "One two three four five six seven eight nine ten")], "item_id long, text string")
+    found = templates.contaminated(docs, bench)
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 7)]
+    assert len(found._jdf.queryExecution().toString()) < 1_000_000
+
+
+def test_template_words_at_odd_letters(spark):
+    """Hashes of words taken in lower case together are those of each word alone."""
+    text = "ΟΔΥΣΣΕΥΣ ΑΣ'Α İstanbul Kg 5kg ²x ½ kg KM Ab ǅabc ẞA 7 oak"
+    row = templates.hashed(spark.createDataFrame([(text,), ("",)], "text string").select(
+        "text", templates.words_of(F.col("text")).alias("words"))).where("text != ''").select(
+        "words", "plain", "loose", "canon", F.transform("words", lambda w: F.xxhash64(F.lower(w))).alias("p"),
+        F.transform("words", lambda w: F.xxhash64(templates.canonical(w))).alias("c"),
+        F.transform("words", lambda w: F.xxhash64(F.when(F.substring(w, 1, 1).between("0", "9"), "<number>").when(
+            F.lower(w).isin(*templates.UNITS), "<unit>").otherwise(F.lower(w)))).alias("l")).first()
+    assert len(row.words) == 15
+    assert (row.plain, row.canon, row.loose) == (row.p, row.c, row.l)
