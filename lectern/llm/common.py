@@ -18,9 +18,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage with a table that survives the loss of executors and lets several readers share one computation.
     """
+    return staged_at(df, name)[0]
+
+
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``staged`` with the table's folder, for those who delete it after its last reader."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def whole_text(col: str = "text") -> Column:

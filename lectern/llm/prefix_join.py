@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.arrays import WordHashes, gathered
-from lectern.llm.common import staged, whole_text
+from lectern.llm.common import staged, staged_at, whole_text
 from lectern.llm.line_chunks import text_key
+from lectern.operators.sizing import drop_folder
 
 CELLS_LOG = 21
+PARITIES = 512           # bits of a set's parities
 ROUNDS = 3               # rounds with hubs before the rest is expanded
 BROADCAST_ROWS = 2_000_000  # rows of three longs that may be broadcast; beyond that the join shuffles
 
@@ -80,8 +82,15 @@ def digest(h: np.ndarray) -> bytes:
     return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """Of each of ``PARITIES`` classes of hashes, whether the set holds an odd number: as many bits, in words of 64. Where
+    two sets' bits differ, at least one hash of the class is in one of them only."""
+    odd = np.bincount(h & (PARITIES - 1), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, _tkey, n, digest, prefix): set size, digest of the set, its prefix in global order."""
+    """(doc_id, _tkey, n, digest, parities, prefix): set size, digest and parities of the set, its prefix in global order."""
     counts = docs.sparkSession.sparkContext.broadcast(cell_counts(docs, width).astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,14 +103,17 @@ def prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 first.append(h[np.lexsort((h, counts.value[cell(h)]))[:keep]])
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in first])]).astype(np.int32)
             flat = np.concatenate(first) if first else np.zeros(0, np.int64)
+            words = np.concatenate([parities(h) for h in sets]) if sets else np.zeros(0, np.int64)
+            bits = np.arange(len(sets) + 1, dtype=np.int32) * (PARITIES // 64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_tkey"), pa.array([len(h) for h in sets], pa.int64()),
-                 pa.array([digest(h) for h in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["doc_id", "_tkey", "n", "digest", "prefix"])
+                 pa.array([digest(h) for h in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(bits), pa.array(words)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                names=["doc_id", "_tkey", "n", "digest", "parities", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_key(F.col("text")).alias("_tkey"), whole_text().alias("_text")).mapInArrow(
-        run, f"doc_id {kind}, _tkey long, n long, digest binary, prefix array<long>")
+        run, f"doc_id {kind}, _tkey long, n long, digest binary, parities array<long>, prefix array<long>")
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -136,19 +148,38 @@ def enough(overlap: Column, a: Column, b: Column, percent: int) -> Column:
 
 def may_link(x: Column, y: Column, percent: int) -> Column:
     """Whether sets of sizes n can be similar if the hash at their positions pos is the first that they share: no more
-    than the rest of the smaller side can then be equal. A pair that links passes at the first hash it shares."""
-    most = F.least(x["n"] - x["pos"], y["n"] - y["pos"])
+    than the rest of the smaller side can then be equal, and of equally many not all, since the sets differ. A pair that
+    links passes at the first hash it shares."""
+    most = F.least(x["n"] - x["pos"], y["n"] - y["pos"], F.greatest(x["n"], y["n"]) - 1)
     return similar_size(x["n"], y["n"], percent) & enough(most, x["n"], y["n"], percent)
 
 
+def may_overlap(x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of sizes n can be similar by their parities: each bit that differs stands for a hash that only one of
+    them holds. A pair that links passes, whatever the hashes."""
+    apart = sum((F.bit_count(F.get(x["parities"], F.lit(i)).bitwiseXOR(F.get(y["parities"], F.lit(i))))
+                 for i in range(PARITIES // 64)), F.lit(0)).cast("long")
+    total = x["n"] + y["n"]
+    return (total - apart) * (100 + percent) >= total * 2 * percent
+
+
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b, linked) of the pairs (a, b), by their whole sets."""
-    both = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = staged(whole_sets(docs, nodes.join(both, "node", "left_semi"), width), "sets")
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
+    """(a, b, linked) of the pairs (a, b), by their whole sets; pairs that their parities tell apart need no sets."""
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), F.struct("n", "parities").alias(f"_{name}"))
+
+    judged = staged(pairs.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", may_overlap(F.col("_a"), F.col("_b"), percent).alias("may")), "judged")
+    close = judged.where("may").select("a", "b")
+    both = close.select(F.col("a").alias("node")).union(close.select(F.col("b").alias("node"))).distinct()
+    sets, folder = staged_at(whole_sets(docs, nodes.join(both, "node", "left_semi"), width), "sets")
+    left = close.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
     full = left.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-    return full.select("a", "b", enough(F.size(F.array_intersect("sa", "sb")).cast("long"), F.size("sa").cast("long"),
-                                        F.size("sb").cast("long"), percent).alias("linked")).distinct()
+    found = staged(full.select("a", "b", enough(F.size(F.array_intersect("sa", "sb")).cast("long"), F.size("sa").cast("long"),
+                                                F.size("sb").cast("long"), percent).alias("linked")).distinct().union(
+        judged.where("not may").select("a", "b", F.lit(False).alias("linked")).distinct()), "verified")
+    drop_folder(docs.sparkSession, folder)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -179,8 +210,8 @@ def join_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     """Rows (doc_id, n, digest) and classes (digest, component): the smallest doc_id of the component of each set."""
     rows = staged(prefixes(docs, width, percent), "prefixes")
     nodes = staged(rows.where("n > 0").groupBy("digest", "n").agg(
-        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "_tkey")).alias("source"), F.first("prefix").alias("prefix")
-    ).withColumn("node", F.monotonically_increasing_id()), "nodes")
+        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "_tkey")).alias("source"), F.first("prefix").alias("prefix"),
+        F.first("parities").alias("parities")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     posts = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = posts.groupBy("token").count().where("count > 1").select("token")
     posts = staged(posts.join(shared, "token", "left_semi"), "posts")
@@ -205,7 +236,7 @@ def join_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = staged(verified(docs, nodes, staged(pairs, "pairs"), width, percent), "verified")
+        found = verified(docs, nodes, pairs, width, percent)
         tested = found if tested is None else tested.union(found)
         root = staged(components(tested.where("linked").select("a", "b")), "roots")
 
@@ -213,13 +244,13 @@ def join_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     at = staged(posts.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "posts")
     mixed = at.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                     F.min_by("root", F.xxhash64("node", F.lit(ROUNDS))).alias("major")).where("lo < hi")
-    live = at.join(mixed.select("token", "major"), "token")
-    x = live.where("root != major").select("token", F.struct("node", "n", "pos", "root").alias("x"))
-    y = live.select("token", F.struct("node", "n", "pos", "root").alias("y"))
-    rest = x.join(y, "token").where((F.col("x.root") != F.col("y.root")) & may_link(F.col("x"), F.col("y"), percent)).select(
-        *pair("x.node", "y.node")).distinct()
-    rest = staged(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    links = tested.union(staged(verified(docs, nodes, rest, width, percent), "verified")).where("linked").select("a", "b")
+    live = at.join(mixed.select("token", "major"), "token").join(nodes.select("node", "parities"), "node")
+    x = live.where("root != major").select("token", F.struct("node", "n", "pos", "root", "parities").alias("x"))
+    y = live.select("token", F.struct("node", "n", "pos", "root", "parities").alias("y"))
+    rest = x.join(y, "token").where((F.col("x.root") != F.col("y.root")) & may_link(F.col("x"), F.col("y"), percent)
+                                    & may_overlap(F.col("x"), F.col("y"), percent)).select(*pair("x.node", "y.node")).distinct()
+    rest = rest.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    links = tested.union(verified(docs, nodes, rest, width, percent)).where("linked").select("a", "b")
     root = components(links)
 
     label = nodes.select("node", "digest", "rep").join(root, "node", "left").select(

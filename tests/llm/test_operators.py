@@ -392,6 +392,43 @@ def test_join_components(spark, width, percent):
     assert kept == {d for d, (_, c) in want.items() if c == d}
 
 
+def test_parities_pass_every_pair_that_links(spark):
+    rng = random.Random(7)
+    rows = []
+    for n in [1, 2, 9, 10, 40, 300, 2000]:
+        for apart in [0, 1, 2, 5, n // 20, n // 10, n // 5]:
+            a = np.unique(np.array([rng.getrandbits(63) for _ in range(n)], np.int64))
+            b = np.unique(np.concatenate([a[min(apart, n - 1):], [rng.getrandbits(63) for _ in range(apart)]]).astype(np.int64))
+            both = len(np.intersect1d(a, b))
+            rows.append(((len(a), prefix_join.parities(a).tolist()), (len(b), prefix_join.parities(b).tolist()),
+                         both * 190 >= (len(a) + len(b)) * 90))
+    side = "struct<n: long, parities: array<long>>"
+    df = spark.createDataFrame(rows, f"x {side}, y {side}, linked boolean")
+    found = df.select("linked", prefix_join.may_overlap(F.col("x"), F.col("y"), 90).alias("may")).collect()
+    assert all(r.may for r in found if r.linked) and any(r.linked for r in found)
+    assert not all(r.may for r in found)
+
+
+def test_join_verifies_no_square_of_unlinked_variants(spark, monkeypatch):
+    """Variants of one text, nearly all further than the threshold from all others, whose prefixes share hashes."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    rows = {}
+    for i in range(120):
+        w = list(base)
+        for k in rng.sample(range(3, 200, 6), 8):
+            w[k] = f"e{k}"
+        rows[i] = " ".join(w)
+    sets = []
+    whole = prefix_join.whole_sets
+    monkeypatch.setattr(prefix_join, "whole_sets", lambda d, nodes, width: sets.append(nodes.count()) or whole(d, nodes, width))
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in prefix_join.jaccard_components(df, 3, 90).collect()}
+    assert got == brute_components(rows, 3, 90)
+    assert len({c for _, c in got.values()}) > 100
+    assert sum(sets) < len(rows)  # sets read again; round by round all of them before
+
+
 # --- op10
 
 
