@@ -11,7 +11,8 @@ stay however many rare ones pass. Results leave each task in small batches.
 
 Decoding. Tokens are bytes; a character may be cut between two of them. The decoder's state is the unfinished
 character (at most three bytes); its moves by token are memoised in the same lazy way. A piece's ids always end with a
-whole character, so what they decode to is remembered with them, and a text's is the pieces' in order.
+whole character, so what they decode to is remembered with them (where it is the piece, as that), and a text's is the
+pieces' in order.
 
 Defined cases: null text counts as empty: no tokens, digests of the empty string; repeated rows each get their result;
 an empty table gives an empty result; other columns are ignored; bytes that are not UTF-8 decode to U+FFFD.
@@ -20,10 +21,12 @@ an empty table gives an empty result; other columns are ignored; bytes that are
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from operator import itemgetter
 
 import pyarrow as pa
@@ -32,8 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.common import whole_text
 
-MEMO = 300_000  # entries of a memo's half, or of the pair checks, before they are dropped
-STATES = 400_000  # states of the determinised machine before it starts anew
+MEMO = 200_000  # entries of a memo's half, or of the pair checks, before they are dropped
+STATES = 200_000  # states of the determinised machine before it starts anew
 BLOCK = 8192  # pieces of a text that are looked up at once
 OUT_ROWS, OUT_IDS = 1024, 1 << 20  # a batch of results ends with so many rows or ids
 
@@ -44,7 +47,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Text to ids by a rank table and a splitting pattern; one per Python worker."""
+    """Text to ids by a rank table and a splitting pattern; one per task."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
@@ -69,6 +72,8 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
+        for state in getattr(self, "states", {}).values():  # states point at each other: emptied, they go at once
+            state.clear()
         # A state's items are (trie node, token before, pending tokens); the last one stands at a boundary. Its moves lie
         # in a small dictionary of its own, by byte, the items beside them.
         self.states: dict[tuple, dict] = {}
@@ -80,6 +85,13 @@ class Encoder:
             state = self.states[items] = {ITEMS: items}
         return state
 
+    def close(self) -> None:
+        """Drop all that was remembered."""
+        self._reset()
+        self.start.clear()
+        for held in (self.states, self.pairs, self.halves, self.chunks, self.older):
+            held.clear()
+
     def merged(self, word: bytes, stop: int = 1) -> list[int]:
         """What the merges make of a short word, the lowest rank first, the leftmost of equals, down to ``stop`` parts."""
         parts = [word[i:i + 1] for i in range(len(word))]
@@ -188,7 +200,8 @@ class Encoder:
         """A match's ids by the machine, and what the decoder makes of them."""
         ids = self.encode_word(word.encode())
         text = self.decoder.feed(ids) + self.decoder.finish()
-        return ",".join(map(str, ids)), len(ids), word if text == word else text  # one string, not two equal ones
+        numbers = ",".join(map(str, ids))
+        return numbers if text == word else (numbers, text)
 
     def _word(self, word: str) -> Known:
         return self.chunks.get(word) or self._again(word) or self._keep(word, self._encoded(word))
@@ -200,19 +213,21 @@ class Encoder:
         if "\n" in chunk:  # a lone line end is a match of its own, and so parts what stands around it
             lines = LONE_LINE.split(chunk)
             if len(lines) > 1:
-                parts = []
+                pieces, parts = [], []
                 for k, line in enumerate(lines):
                     if k:
+                        pieces.append("\n")
                         parts.append(self._word("\n"))
+                    pieces.append(line)
                     parts.append(self.chunks.get(line) or self._chunk(line))
-                return joined(parts)
+                return known_as(chunk, *joined(pieces, parts))
         words = self.pattern.findall(chunk)
         if len(words) == 1:
             return self._keep(chunk, self._encoded(chunk))
-        return self._keep(chunk, joined([self._word(word) for word in words]))
+        return self._keep(chunk, known_as(chunk, *joined(words, [self._word(word) for word in words])))
 
-    def blocks_of(self, text: str) -> Iterator[list[Known]]:
-        """The text's pieces, encoded and decoded, a block at a time. A lone space between two visible symbols always
+    def blocks_of(self, text: str) -> Iterator[tuple[list[str], list[Known]]]:
+        """The text's pieces, and what they are encoded and decoded to, a block at a time. A lone space between two visible symbols always
         begins a match, so the pieces that such spaces begin can be encoded, and remembered, by themselves."""
         first, *rest = LONE_SPACE.split(text) if MIXED_SPACE.search(text) or text[:1] == " " or text[-1:] == " " \
             else text.split(" ")
@@ -225,18 +240,28 @@ class Encoder:
             if not all(found):
                 found = [known or get(piece) or make(piece) for known, piece in zip(found, pieces)]
             if found:
-                yield found
+                yield pieces, found
 
     def encode(self, text: str) -> list[int]:
-        return [i for found in self.blocks_of(text) for i in ids_of(joined(found)[0])]
+        return [i for block in self.blocks_of(text) for i in ids_of(joined(*block)[0])]
 
 
-Known = tuple[str, int, str]  # of a piece: its ids joined by commas, their number, the text that they decode to
+# Of a piece: its ids joined by commas; with the text that they decode to, unless that is the piece itself.
+Known = str | tuple[str, str]
 ITEMS = -1  # a state's items lie beside its moves, which have bytes as keys
 
 
-def joined(parts: list[Known]) -> Known:
-    return ",".join([x[0] for x in parts]), sum([x[1] for x in parts]), "".join([x[2] for x in parts])
+def joined(pieces: list[str], known: list[Known]) -> tuple[str, str]:
+    """Ids and decoded text of pieces that follow each other."""
+    try:
+        return ",".join(known), "".join(pieces)
+    except TypeError:  # a piece that decodes to another text
+        pairs = [k if isinstance(k, tuple) else (k, piece) for piece, k in zip(pieces, known)]
+        return ",".join([numbers for numbers, _ in pairs]), "".join([text for _, text in pairs])
+
+
+def known_as(piece: str, numbers: str, text: str) -> Known:
+    return numbers if text == piece else (numbers, text)
 
 
 def ids_of(numbers: str) -> Iterator[int]:
@@ -310,26 +335,30 @@ class Decoder:
         return rest
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(ranks: bytes, pattern: str) -> Encoder:
-    """The worker's encoder for a rank file's content, made once per Python process."""
-    key = hashlib.sha256(ranks + pattern.encode()).hexdigest()
-    if key not in _ENCODERS:
-        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
-        _ENCODERS[key] = Encoder(table, pattern)
-    return _ENCODERS[key]
+@contextmanager
+def encoder(ranks: bytes, pattern: str) -> Iterator[Encoder]:
+    """An encoder for a rank file's content. It goes with its task: a worker that lives on, for tasks of other operators,
+    holds none of its memory. What it remembers has no cycles but those of its states, which it cuts itself; the collector
+    would only walk over it."""
+    table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
+    enc, collects = Encoder(table, pattern), gc.isenabled()
+    gc.disable()
+    try:
+        yield enc
+    finally:
+        enc.close()
+        if collects:
+            gc.enable()
 
 
 def digests(text: str, enc: Encoder, with_ids: bool) -> tuple:
     """(number of ids, their digest, digest of the decoded text[, ids]); a very long text passes in blocks."""
     sha_ids, sha_text, n, ids = hashlib.sha256(), hashlib.sha256(), 0, array("i")
-    for found in enc.blocks_of(text):
-        numbers, count, decoded = joined(found)
+    for block in enc.blocks_of(text):
+        numbers, decoded = joined(*block)
         sha_ids.update((("," if n else "") + numbers).encode())
         sha_text.update(decoded.encode())
-        n += count
+        n += numbers.count(",") + 1
         if with_ids:
             ids.extend(ids_of(numbers))
     return n, sha_ids.hexdigest(), sha_text.hexdigest(), *([ids] if with_ids else [])
@@ -349,15 +378,15 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
         ", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(shared.value, pattern)
-        for batch in batches:
-            keys, texts, begin, rows = batch.column("_key"), batch.column("_text"), 0, []
-            for at, text in enumerate(texts, 1):
-                rows.append(digests(text.as_py(), enc, with_ids))
-                if at == len(texts) or len(rows) >= OUT_ROWS or with_ids and sum(map(itemgetter(0), rows)) >= OUT_IDS:
-                    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-                    yield pa.RecordBatch.from_arrays([keys.slice(begin, at - begin), *columns], names=names)
-                    begin, rows = at, []
+        with encoder(shared.value, pattern) as enc:
+            for batch in batches:
+                keys, texts, begin, rows = batch.column("_key"), batch.column("_text"), 0, []
+                for at, text in enumerate(texts, 1):
+                    rows.append(digests(text.as_py(), enc, with_ids))
+                    if at == len(texts) or len(rows) >= OUT_ROWS or with_ids and sum(map(itemgetter(0), rows)) >= OUT_IDS:
+                        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                        yield pa.RecordBatch.from_arrays([keys.slice(begin, at - begin), *columns], names=names)
+                        begin, rows = at, []
 
     kinds = [pa.int64(), pa.string(), pa.string(), *([pa.list_(pa.int32())] if with_ids else [])]
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]

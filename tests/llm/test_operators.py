@@ -1,10 +1,12 @@
 """Each operator against a brute-force version, on the smallest tables or small fixtures."""
 
 import base64
+import gc
 import hashlib
 import math
 import random
 import re
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -527,6 +529,19 @@ def test_bpe_pieces_come_back_from_the_older_half_as_they_are(monkeypatch):
     assert text_sha == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_bpe_encoder_goes_with_its_task():
+    """A worker that lives on holds nothing of a task's encoder, without waiting for the collector."""
+    with open(RANKS, "rb") as f:
+        ranks = f.read()
+    with byte_bpe.encoder(ranks, public_tokenizers.PATTERN) as own:
+        assert own.encode("Häuser am Fluss, unfoldably") == reference_encoding().encode_ordinary("Häuser am Fluss, unfoldably")
+        left, state = weakref.ref(own), own.start
+        assert len(state) > 1 and not gc.isenabled()
+        assert all(isinstance(known, str) for known in own.chunks.values())
+    del own
+    assert left() is None and not state and gc.isenabled()
+
+
 def test_template_filters_stay_out_of_the_plans(spark):
     """The window filters are data: as literals each made half a megabyte of text at every mention in a plan."""
     docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
