@@ -47,7 +47,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Text to ids by a rank table and a splitting pattern; one per task."""
+    """Text to ids by a rank table and a splitting pattern; one per Python worker."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
@@ -85,13 +85,6 @@ class Encoder:
             state = self.states[items] = {ITEMS: items}
         return state
 
-    def close(self) -> None:
-        """Drop all that was remembered."""
-        self._reset()
-        self.start.clear()
-        for held in (self.states, self.pairs, self.halves, self.chunks, self.older):
-            held.clear()
-
     def merged(self, word: bytes, stop: int = 1) -> list[int]:
         """What the merges make of a short word, the lowest rank first, the leftmost of equals, down to ``stop`` parts."""
         parts = [word[i:i + 1] for i in range(len(word))]
@@ -335,18 +328,21 @@ class Decoder:
         return rest
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
 @contextmanager
 def encoder(ranks: bytes, pattern: str) -> Iterator[Encoder]:
-    """An encoder for a rank file's content. It goes with its task: a worker that lives on, for tasks of other operators,
-    holds none of its memory. What it remembers has no cycles but those of its states, which it cuts itself; the collector
-    would only walk over it."""
-    table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
-    enc, collects = Encoder(table, pattern), gc.isenabled()
+    """The worker's encoder for a rank file's content, made once per Python process. What it remembers has no cycles but
+    those of its states, which it cuts itself; while a task uses it the collector would only walk over it."""
+    key, collects = hashlib.sha256(ranks + pattern.encode()).hexdigest(), gc.isenabled()
+    if key not in _ENCODERS:
+        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
+        _ENCODERS[key] = Encoder(table, pattern)
     gc.disable()
     try:
-        yield enc
+        yield _ENCODERS[key]
     finally:
-        enc.close()
         if collects:
             gc.enable()
 
