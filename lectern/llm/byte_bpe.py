@@ -5,8 +5,8 @@ the whole encoding, and a token sequence is a BPE encoding exactly if each neigh
 its bytes. The nondeterministic machine therefore keeps, for each place where the token now being read may have begun,
 the trie node of its bytes and the tokens before it. The determinised machine's states are tuples of these items with
 their pending tokens; what all items share is emitted at once, so the lookahead is bounded by the longest token.
-States and pair checks are made when first met; states are dropped together when there are too many. Encoded pieces are
-remembered in two halves: a full young half becomes the old one, and what is met again moves back, so frequent pieces
+Pair checks are made when first met; a state is kept from the second time on that it is reached, as most are met in one rare
+word and never again; states are dropped together when there are too many. Encoded pieces are remembered in two halves: a full young half becomes the old one, and what is met again moves back, so frequent pieces
 stay however many rare ones pass. Results leave each task in small batches.
 
 Decoding. Tokens are bytes; a character may be cut between two of them. The decoder's state is the unfinished
@@ -25,8 +25,9 @@ import gc
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from itertools import chain
 from operator import itemgetter
 
 import pyarrow as pa
@@ -37,6 +38,7 @@ from lectern.llm.common import whole_text
 
 MEMO = 200_000  # entries of a memo's half, or of the pair checks, before they are dropped
 STATES = 200_000  # states of the determinised machine before it starts anew
+MET = 1 << 20  # marks, by hash, of states that were reached once; all are taken back when half as many were set
 BLOCK = 8192  # pieces of a text that are looked up at once
 OUT_ROWS, OUT_IDS = 1024, 1 << 20  # a batch of results ends with so many rows or ids
 
@@ -46,6 +48,36 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+NO_MORE: dict[int, Step] = {}
+
+
+class State:
+    """A state of the determinised machine: its items, one after the other (trie node, token before, pending tokens; the
+    last one stands at a boundary), and its moves by byte. Most states have one; it needs no dictionary."""
+
+    __slots__ = ("items", "byte", "step", "more")
+
+    def __init__(self, items: tuple):
+        self.items, self.byte, self.step, self.more = items, -1, None, NO_MORE
+
+    def __len__(self) -> int:
+        return bool(self.items) + (self.step is not None) + len(self.more)
+
+    def forget(self) -> None:
+        self.items, self.byte, self.step, self.more = (), -1, None, NO_MORE
+
+    def learn(self, byte: int, step: Step) -> None:
+        if self.step is None:
+            self.byte, self.step = byte, step
+        elif self.more is NO_MORE:
+            self.more = {byte: step}
+        else:
+            self.more[byte] = step
+
+
+Step = tuple[tuple[int, ...], State]  # tokens emitted by a move, and the state reached
+
+
 class Encoder:
     """Text to ids by a rank table and a splitting pattern; one per Python worker."""
 
@@ -66,25 +98,36 @@ class Encoder:
         self.bytes_of = {rank: word for word, rank in ranks.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}
-        self.chunks: dict[str, Known] = {}
+        self.chunks = Remembered(self._chunk)
         self.older: dict[str, Known] = {}
-        self.decoder = Decoder(self.bytes_of)
+        self.decoder, self.numbers = Decoder(self.bytes_of), Numbers()
+        self.by_letters = RUNS in pattern
+        self.met, self.n_met = bytearray(MET), 0
         self._reset()
 
     def _reset(self) -> None:
         for state in getattr(self, "states", {}).values():  # states point at each other: emptied, they go at once
-            state.clear()
-        # A state's items are (trie node, token before, pending tokens); the last one stands at a boundary. Its moves lie
-        # in a small dictionary of its own, by byte, the items beside them.
-        self.states: dict[tuple, dict] = {}
-        self.start = self._state(((0, -1, ()),))
+            state.forget()
+        self.states: dict[tuple, State] = {}
+        self.start = self._state((0, -1, ()))
 
-    def _state(self, items: tuple) -> dict:
+    def _state(self, items: tuple) -> State:
         state = self.states.get(items)
         if state is None:
-            state = self.states[items] = {ITEMS: items}
+            state = self.states[items] = State(items)
         return state
 
+    def _first_time(self, items: tuple) -> bool:
+        """Whether a state is not known to have been reached; from now on it is. One that shares its mark counts as reached."""
+        at = hash(items) % MET
+        if self.met[at]:
+            return False
+        if self.n_met >= MET // 2:
+            self.met, self.n_met = bytearray(MET), 0
+        self.met[at] = 1
+        self.n_met += 1
+        return True
+
     def merged(self, word: bytes, stop: int = 1) -> list[int]:
         """What the merges make of a short word, the lowest rank first, the leftmost of equals, down to ``stop`` parts."""
         parts = [word[i:i + 1] for i in range(len(word))]
@@ -132,9 +175,10 @@ class Encoder:
             else:
                 b, next_merge = last_right, b + 1
 
-    def _move(self, state: dict, byte: int) -> tuple[tuple[int, ...], dict]:
+    def _move(self, state: State, byte: int) -> Step:
         items, at_end, children, token_at, pairs = [], None, self.children, self.token_at, self.pairs
-        for node, before, pending in state[ITEMS]:
+        parts = iter(state.items)
+        for node, before, pending in zip(parts, parts, parts):
             nxt = children[node].get(byte)
             if nxt is None:
                 continue
@@ -147,7 +191,7 @@ class Encoder:
                 items.append((nxt, before, pending))
         items.append(at_end)
         if len(items) == 1:
-            step = at_end[2], self._state(((0, at_end[1], ()),))
+            out, reached = at_end[2], (0, at_end[1], ())
         else:
             first, shared = items[0][2], 0
             for k, token in enumerate(first):  # the first item is the oldest
@@ -156,8 +200,11 @@ class Encoder:
                 shared += 1
             if shared:
                 items = [(n, b, p[shared:]) for n, b, p in items]
-            step = first[:shared], self._state(tuple(items))
-        state[byte] = step
+            out, reached = first[:shared], tuple(chain.from_iterable(items))
+        if reached not in self.states and self._first_time(reached):
+            return out, State(reached)  # no state points at it, so it goes with the word
+        step = out, self._state(reached)
+        state.learn(byte, step)
         return step
 
     def encode_word(self, word: bytes) -> tuple[int, ...]:
@@ -170,11 +217,10 @@ class Encoder:
         out: list[int] = []
         at = self.start
         for byte in word:
-            step = at.get(byte) or self._move(at, byte)
-            if step[0]:
-                out += step[0]
-            at = step[1]
-        out += at[ITEMS][-1][2]
+            emitted, at = (at.step if at.byte == byte else at.more.get(byte)) or self._move(at, byte)
+            if emitted:
+                out += emitted
+        out += at.items[-1]
         return tuple(out)
 
     def _keep(self, piece: str, known: Known) -> Known:
@@ -192,8 +238,8 @@ class Encoder:
     def _encoded(self, word: str) -> Known:
         """A match's ids by the machine, and what the decoder makes of them."""
         ids = self.encode_word(word.encode())
-        text = self.decoder.feed(ids) + self.decoder.finish()
-        numbers = ",".join(map(str, ids))
+        text = self.decoder.whole_text(ids)
+        numbers = ",".join(map(self.numbers.__getitem__, ids))
         return numbers if text == word else (numbers, text)
 
     def _word(self, word: str) -> Known:
@@ -203,6 +249,11 @@ class Encoder:
         known = self._again(chunk)
         if known:
             return known
+        if self.by_letters and (found := PLAIN.fullmatch(chunk)):
+            letters, marks = found.groups()
+            if not marks:
+                return self._keep(chunk, self._encoded(chunk))
+            return self._keep(chunk, known_as(chunk, *joined([letters, marks], [self._word(letters), self._word(marks)])))
         if "\n" in chunk:  # a lone line end is a match of its own, and so parts what stands around it
             lines = LONE_LINE.split(chunk)
             if len(lines) > 1:
@@ -222,18 +273,13 @@ class Encoder:
     def blocks_of(self, text: str) -> Iterator[tuple[list[str], list[Known]]]:
         """The text's pieces, and what they are encoded and decoded to, a block at a time. A lone space between two visible symbols always
         begins a match, so the pieces that such spaces begin can be encoded, and remembered, by themselves."""
-        first, *rest = LONE_SPACE.split(text) if MIXED_SPACE.search(text) or text[:1] == " " or text[-1:] == " " \
-            else text.split(" ")
-        get, make = self.chunks.get, self._chunk
+        first, *rest = text.split(" ") if only_lone_spaces(text) else LONE_SPACE.split(text)
         for at in range(0, len(rest) + 1, BLOCK):
             pieces = [" " + piece for piece in rest[max(at - 1, 0):at + BLOCK - 1]]
             if at == 0 and first:
                 pieces.insert(0, first)
-            found = list(map(get, pieces))
-            if not all(found):
-                found = [known or get(piece) or make(piece) for known, piece in zip(found, pieces)]
-            if found:
-                yield pieces, found
+            if pieces:
+                yield pieces, list(map(self.chunks.__getitem__, pieces))
 
     def encode(self, text: str) -> list[int]:
         return [i for block in self.blocks_of(text) for i in ids_of(joined(*block)[0])]
@@ -241,7 +287,6 @@ class Encoder:
 
 # Of a piece: its ids joined by commas; with the text that they decode to, unless that is the piece itself.
 Known = str | tuple[str, str]
-ITEMS = -1  # a state's items lie beside its moves, which have bytes as keys
 
 
 def joined(pieces: list[str], known: list[Known]) -> tuple[str, str]:
@@ -253,6 +298,24 @@ def joined(pieces: list[str], known: list[Known]) -> tuple[str, str]:
         return ",".join([numbers for numbers, _ in pairs]), "".join([text for _, text in pairs])
 
 
+class Remembered(dict):
+    """What pieces are encoded and decoded to; one that is not there is made, and its maker keeps it or not."""
+
+    def __init__(self, make: Callable[[str], Known]):
+        self.make = make
+
+    def __missing__(self, piece: str) -> Known:
+        return self.make(piece)
+
+
+class Numbers(dict):
+    """Decimal form of an id."""
+
+    def __missing__(self, i: int) -> str:
+        value = self[i] = str(i)
+        return value
+
+
 def known_as(piece: str, numbers: str, text: str) -> Known:
     return numbers if text == piece else (numbers, text)
 
@@ -264,6 +327,17 @@ def ids_of(numbers: str) -> Iterator[int]:
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 LONE_LINE = re.compile(r"(?<=\S)\n(?=\S)")
 MIXED_SPACE = re.compile(r"\s | \s")
+RUNS = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|"  # in a pattern: letters, and then marks, are a match each
+# letters and marks in all versions of Unicode; an apostrophe may begin another match
+PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def only_lone_spaces(text: str) -> bool:
+    """Whether each space stands between two visible symbols."""
+    if text[:1] == " " or text[-1:] == " " or "  " in text or "\n " in text or " \n" in text:
+        return False
+    # of white space, only the space is printable
+    return text.replace("\n", "").isprintable() or not MIXED_SPACE.search(text)
 
 
 def utf8_step(pending: bytes, more: bytes) -> tuple[str, bytes]:
@@ -301,7 +375,7 @@ class Decoder:
         self.moves = {} if moves is None else moves
         self.whole = WholeTokens(bytes_of) if whole is None else whole
 
-    def feed(self, ids: list[int]) -> str:
+    def feed(self, ids: Sequence[int]) -> str:
         out, moves = [], self.moves
         for at in range(0, len(ids), 64):
             run = ids[at:at + 64]
@@ -323,6 +397,13 @@ class Decoder:
             self.pending = pending
         return "".join(out)
 
+    def whole_text(self, ids: Sequence[int]) -> str:
+        """Text of ids that stand by themselves."""
+        try:
+            return "".join(map(self.whole.__getitem__, ids))
+        except TypeError:  # a token that ends within a character
+            return self.feed(ids) + self.finish()
+
     def finish(self) -> str:
         rest, self.pending = self.pending.decode("utf-8", "replace"), b""
         return rest

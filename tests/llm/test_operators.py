@@ -541,6 +541,23 @@ def test_bpe_memo_holds_one_string_a_piece_and_states_go_at_a_restart():
     assert gc.isenabled()
 
 
+def test_bpe_states_are_kept_from_the_second_time_and_plain_pieces_need_no_pattern():
+    with open(RANKS, "rb") as f:
+        ranks = f.read()
+    own = byte_bpe.Encoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}, public_tokenizers.PATTERN)
+    word = b" ofanstouou"
+    once = own.encode_word(word)
+    assert len(own.states) == 1  # the start; what one rare word passes is not kept
+    assert own.encode_word(word) == own.encode_word(word) == once and len(own.states) > 1
+    rng = random.Random(3)
+    parts = ["Häuser", "it", "'s", "don't", "a", "  ", " ", "\n", "\xa0", ",", "$$$", "'", ".\n", "\u0301", "ǆ", "中", "9", "\x1c"]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 9)))
+        assert own.encode(text) == reference_encoding().encode_ordinary(text), text
+        assert byte_bpe.only_lone_spaces(text) == (
+            not byte_bpe.MIXED_SPACE.search(text) and text[:1] != " " and text[-1:] != " "), text
+
+
 def test_template_filters_stay_out_of_the_plans(spark):
     """The window filters are data: as literals each made half a megabyte of text at every mention in a plan."""
     docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
