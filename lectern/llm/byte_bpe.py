@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from itertools import chain
 from operator import itemgetter
+from threading import Timer
 
 import pyarrow as pa
 import regex
@@ -111,6 +112,14 @@ class Encoder:
         self.states: dict[tuple, State] = {}
         self.start = self._state((0, -1, ()))
 
+    def close(self) -> None:
+        """Drop all that was remembered, and the way back from it; it can't be used any more."""
+        for state in self.states.values():
+            state.forget()
+        for held in (self.states, self.pairs, self.halves, self.chunks, self.older):
+            held.clear()
+        del self.chunks.make
+
     def _state(self, items: tuple) -> State:
         state = self.states.get(items)
         if state is None:
@@ -409,23 +418,39 @@ class Decoder:
         return rest
 
 
-_ENCODERS: dict[str, Encoder] = {}
+IDLE_S = 2.0  # a worker's encoder goes when no task has used it for so long
+_ENCODERS: dict[str, Encoder] = {}  # those not in use
+_LEAVING: dict[str, Timer] = {}
+
+
+def _drop(key: str) -> None:
+    held = _ENCODERS.pop(key, None)
+    if held is not None:
+        held.close()
 
 
 @contextmanager
 def encoder(ranks: bytes, pattern: str) -> Iterator[Encoder]:
-    """The worker's encoder for a rank file's content, made once per Python process. What it remembers has no cycles but
-    those of its states, which it cuts itself; while a task uses it the collector would only walk over it."""
+    """The worker's encoder for a rank file's content, for one task after the other; it goes soon after the last, so that a
+    worker that lives on for other operators holds none of its memory. What it remembers has no cycles but those that
+    ``close`` cuts; while a task uses it the collector would only walk over it."""
     key, collects = hashlib.sha256(ranks + pattern.encode()).hexdigest(), gc.isenabled()
-    if key not in _ENCODERS:
+    if key in _LEAVING:
+        _LEAVING.pop(key).cancel()
+    enc = _ENCODERS.pop(key, None)
+    if enc is None:
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
-        _ENCODERS[key] = Encoder(table, pattern)
+        enc = Encoder(table, pattern)
     gc.disable()
     try:
-        yield _ENCODERS[key]
+        yield enc
     finally:
         if collects:
             gc.enable()
+        _ENCODERS[key] = enc
+        timer = _LEAVING[key] = Timer(IDLE_S, _drop, [key])
+        timer.daemon = True
+        timer.start()
 
 
 def digests(text: str, enc: Encoder, with_ids: bool) -> tuple:

@@ -6,6 +6,8 @@ import hashlib
 import math
 import random
 import re
+import time
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -541,6 +543,22 @@ def test_bpe_memo_holds_one_string_a_piece_and_states_go_at_a_restart():
     assert gc.isenabled()
 
 
+def test_bpe_encoder_goes_when_no_task_uses_it(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "IDLE_S", 0.05)
+    with open(RANKS, "rb") as f:
+        ranks = f.read()
+    with byte_bpe.encoder(ranks, public_tokenizers.PATTERN) as own:
+        own.encode("Häuser am Fluss, unfoldably unfoldably")
+    with byte_bpe.encoder(ranks, public_tokenizers.PATTERN) as again:
+        assert again is own
+        left = weakref.ref(own)
+    del own, again
+    end = time.monotonic() + 20
+    while left() is not None and time.monotonic() < end:
+        time.sleep(0.05)
+    assert left() is None
+
+
 def test_bpe_states_are_kept_from_the_second_time_and_plain_pieces_need_no_pattern():
     with open(RANKS, "rb") as f:
         ranks = f.read()
