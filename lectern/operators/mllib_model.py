@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.scores import pick
+from lectern.operators.sizing import stable_table
 
 
 def build_pipeline(class_names: Sequence[str], text_col: str = "text", label_col: str = "category",
@@ -29,7 +30,14 @@ def build_pipeline(class_names: Sequence[str], text_col: str = "text", label_col
 
 
 def train_mllib(train: DataFrame, class_names: Sequence[str], **kw) -> PipelineModel:
-    return build_pipeline(class_names, **kw).fit(train)
+    """The pipeline fitted stage by stage: label ids and term counts, which need no fit, are written once, for the IDF and the
+    regression would each split and hash all texts again."""
+    *plain, idf, lr = build_pipeline(class_names, **kw).getStages()
+    for stage in plain:
+        train = stage.transform(train)
+    counts = stable_table(train.select(idf.getInputCol(), lr.getLabelCol()), "term-counts")
+    weights = idf.fit(counts)
+    return PipelineModel([*plain, weights, lr.fit(weights.transform(counts))])
 
 
 def objective_history(model: PipelineModel) -> list[float]:

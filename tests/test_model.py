@@ -176,3 +176,26 @@ def test_large_vocabulary_scores_inside_the_row(spark, monkeypatch, max_words):
     assert "Generate" not in plan and "Join" not in plan  # no token leaves its row
     monkeypatch.setattr(naive_bayes, "MAX_PACKS", 0)
     assert scores(naive_bayes.train_nb(train, LANG_CLASSES))[1] == expected
+
+
+def test_mllib_training_reads_the_texts_once(spark):
+    from pyspark.ml.feature import IDFModel
+
+    from lectern.operators import mllib_model
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = [(f"{word} {word} and", lang) for word, lang in (("haus", "de"), ("house", "en")) for _ in range(4)] + [("x", "xx")]
+    train = spark.createDataFrame(rows, "text string, category string").coalesce(1)
+    model = mllib_model.train_mllib(train.withColumn("text", seen("text")), ["de", "en"], num_features=64, max_iter=5)
+    assert read.value <= len(rows)
+    whole = mllib_model.build_pipeline(["de", "en"], num_features=64, max_iter=5).fit(train)
+    assert [type(stage) for stage in model.stages] == [type(stage) for stage in whole.stages]
+    idfs = [stage.idf.toArray().tolist() for m in (model, whole) for stage in m.stages if isinstance(stage, IDFModel)]
+    assert idfs[0] == idfs[1]
+    assert mllib_model.objective_history(model) == pytest.approx(mllib_model.objective_history(whole))
